@@ -171,3 +171,62 @@ def quarantine_counts(spark, d):
             "readings": quality.prepared_for_rules("readings", standins.readings(spark, d)),
         }
     )
+
+
+# --------------------------------------------------------------- 3. profile
+from incidentflow.operators import profile  # noqa: E402
+
+
+@register("null_profile", O.null_profile_sql())
+def null_profile(spark, d):
+    return profile.null_profile(standins.accidents(spark, d), "accidents")
+
+
+@register("numeric_profile", O.numeric_profile_sql())
+def numeric_profile(spark, d):
+    return profile.numeric_profile(standins.accidents(spark, d), "accidents")
+
+
+@register("distinct_profile", O.distinct_profile_sql())
+def distinct_profile(spark, d):
+    return profile.distinct_profile(standins.accidents(spark, d), "accidents")
+
+
+@register("distinct_with_null", O.distinct_with_null_sql())
+def distinct_with_null(spark, d):
+    return profile.distinct_with_null(standins.accidents(spark, d), "accidents")
+
+
+@register("low_card_values", O.low_card_values_sql())
+def low_card_values(spark, d):
+    return profile.low_card_values(standins.accidents(spark, d), "accidents")
+
+
+@register("numeric_summary", O.numeric_summary_sql())
+def numeric_summary(spark, d):
+    return profile.numeric_summary(standins.accidents(spark, d), "accidents")
+
+
+@register("table_profile", O.table_profile_sql())
+def table_profile(spark, d):
+    return profile.table_profile({"accidents": standins.accidents(spark, d)})
+
+
+@register("describe_table")
+def describe_table(spark, d):
+    return profile.describe_table(standins.accidents(spark, d), "accidents")
+
+
+@register("preview_topn", O.with_ctes("SELECT * FROM s_accidents ORDER BY numero_expedient LIMIT 5"))
+def preview_topn(spark, d):
+    from incidentflow.sources.zones import preview
+
+    return preview(standins.accidents(spark, d), 5, order_by=["numero_expedient"])
+
+
+# ------------------------------------------------------------ 8. sources
+@register("resource_catalogue", O.resource_catalogue_sql("/en/"))
+def resource_catalogue(spark, d):
+    from incidentflow.sources.resources import select_resources
+
+    return select_resources(standins.resource_catalogue(spark, d), "/en/")

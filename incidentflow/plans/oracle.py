@@ -47,6 +47,13 @@ SELECT CONCAT('S', CAST(s_suppkey AS STRING)) AS codi_estacio,
        CAST(41.33 + s_suppkey * 0.021 AS DOUBLE) AS latitud_wgs84,
        CAST(2.08 + (s_suppkey * 3 % 5) * 0.023 AS DOUBLE) AS longitud_wgs84
 FROM supplier WHERE s_suppkey < 5""",
+    "s_resources": """
+SELECT url AS api_link,
+       COALESCE(NULLIF(TRIM(regexp_extract(url, '[?&]page=([^&#]*)', 1)), ''), CAST(page_id AS VARCHAR)) AS resource_id,
+       regexp_extract(html, '<title>([^<]*)</title>', 1) AS name,
+       CASE page_id % 3 WHEN 0 THEN 'CSV' WHEN 1 THEN 'JSON' ELSE 'text/csv' END AS format,
+       url
+FROM pages""",
     "s_catalogue": """
 SELECT r.CODI_ESTACIO, r.ACRONIM, s.latitud_wgs84 AS LATITUD, s.longitud_wgs84 AS LONGITUD
 FROM (SELECT DISTINCT codi_estacio AS CODI_ESTACIO, acronim AS ACRONIM FROM s_meteo) r
@@ -159,3 +166,127 @@ def quarantine_sql() -> str:
         ]
     )
     return with_ctes(body)
+
+
+# ------------------------------------------------------------------ profile
+# (column, Spark type name) of the stand-in accidents, in order.
+ACCIDENT_COLUMNS = [
+    ("numero_expedient", "bigint"),
+    ("nom_districte", "string"),
+    ("nom_barri", "string"),
+    ("nk_any", "int"),
+    ("mes_any", "int"),
+    ("dia_mes", "int"),
+    ("hora_dia", "int"),
+    ("numero_morts", "int"),
+    ("numero_lesionats_lleus", "int"),
+    ("numero_lesionats_greus", "int"),
+    ("numero_victimes", "int"),
+    ("latitud_wgs84", "double"),
+    ("longitud_wgs84", "double"),
+]
+_NUMERIC = [c for c, t in ACCIDENT_COLUMNS if t in ("bigint", "int", "double")]
+
+
+def _u(parts):
+    return with_ctes("\nUNION ALL\n".join(parts))
+
+
+def null_profile_sql(table="accidents", source="s_accidents"):
+    return _u(
+        [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+            f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+            f"CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / COUNT(*) * 100 "
+            f"ELSE CAST(0 AS DOUBLE) END AS null_pct FROM {source}"
+            for c, _ in ACCIDENT_COLUMNS
+        ]
+    )
+
+
+def numeric_profile_sql(table="accidents", source="s_accidents"):
+    return _u(
+        [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(MIN({c}) AS DOUBLE) AS min_val, "
+            f"CAST(MAX({c}) AS DOUBLE) AS max_val, ROUND(AVG(CAST({c} AS DOUBLE)), 9) AS avg_val, "
+            f"ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 9) AS std_val FROM {source} HAVING MIN({c}) IS NOT NULL"
+            for c in _NUMERIC
+        ]
+    )
+
+
+def distinct_profile_sql(table="accidents", source="s_accidents"):
+    return _u(
+        [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct FROM {source}"
+            for c, _ in ACCIDENT_COLUMNS
+        ]
+    )
+
+
+def distinct_with_null_sql(table="accidents", source="s_accidents"):
+    return _u(
+        [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+            f"CAST(COUNT(DISTINCT {c}) + COALESCE(MAX(CAST({c} IS NULL AS BIGINT)), 0) AS BIGINT) AS n_distinct_with_null FROM {source}"
+            for c, _ in ACCIDENT_COLUMNS
+        ]
+    )
+
+
+def low_card_values_sql(table="accidents", source="s_accidents"):
+    return _u(
+        [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct, "
+            f"CASE WHEN COUNT(DISTINCT {c}) <= 10 THEN (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) "
+            f"FROM (SELECT DISTINCT {c} AS v FROM {source} WHERE {c} IS NOT NULL)) END AS distinct_values, "
+            f"COALESCE(bool_or({c} IS NULL), false) AS has_null FROM {source} HAVING COUNT(DISTINCT {c}) < 50"
+            for c, _ in ACCIDENT_COLUMNS
+        ]
+    )
+
+
+def numeric_summary_sql(table="accidents", source="s_accidents"):
+    q = ", ".join(
+        f"ROUND(quantile_cont(CAST({{c}} AS DOUBLE), {p}), 9) AS q{int(p * 100)}" for p in (0.25, 0.5, 0.75)
+    )
+    return _u(
+        [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT({c}) AS \"count\", "
+            f"ROUND(AVG(CAST({c} AS DOUBLE)), 9) AS mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 9) AS std, "
+            f"CAST(MIN({c}) AS DOUBLE) AS \"min\", " + q.format(c=c) + f", CAST(MAX({c}) AS DOUBLE) AS \"max\" "
+            f"FROM {source} HAVING COUNT({c}) > 0"
+            for c in _NUMERIC
+        ]
+    )
+
+
+def table_profile_sql(table="accidents", source="s_accidents"):
+    parts = []
+    for i, (c, t) in enumerate(ACCIDENT_COLUMNS):
+        if t in ("bigint", "int", "double"):
+            stats = (
+                f"CAST(MIN({c}) AS DOUBLE) AS min_val, CAST(MAX({c}) AS DOUBLE) AS max_val, "
+                f"ROUND(AVG(CAST({c} AS DOUBLE)), 9) AS avg_val, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 9) AS std_val"
+            )
+        else:
+            stats = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("min_val", "max_val", "avg_val", "std_val"))
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{t}' AS column_type, {i + 1} AS ordinal, "
+            f"COUNT(*) AS row_count, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+            f"CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / COUNT(*) * 100 "
+            f"ELSE CAST(0 AS DOUBLE) END AS null_pct, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct, "
+            f"{stats} FROM {source}"
+        )
+    return _u(parts)
+
+
+def resource_catalogue_sql(target="/en/"):
+    name = "COALESCE(NULLIF(name, ''), CONCAT(resource_id, '.csv'))"
+    cleaned = f"regexp_replace(TRIM({name}), '[^\\p{{L}}\\p{{N}}_.\\-]+', '_', 'g')"
+    return with_ctes(
+        f"SELECT resource_id, CASE WHEN ends_with(lower({cleaned}), '.csv') THEN {cleaned} "
+        f"ELSE CONCAT({cleaned}, '.csv') END AS file_name, TRIM(url) AS url FROM s_resources "
+        f"WHERE contains(lower(concat_ws(' ', COALESCE(name, ''), COALESCE(url, ''))), '{target}') "
+        f"AND contains(lower(COALESCE(format, '')), 'csv') AND length(TRIM(COALESCE(url, ''))) > 0"
+    )

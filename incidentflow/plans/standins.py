@@ -150,3 +150,24 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label",
         ((F.col("numero_expedient") * 7919 % 1000) / F.lit(1000.0)).alias("score"),
     )
+
+
+# Formats given to the stand-in resources by page id modulo 3.
+RESOURCE_FORMATS = ["CSV", "JSON", "text/csv"]
+
+
+def resource_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open-data resource catalogue stand-in: one resource per web page, its
+    id taken from the link's ``page`` query parameter (else the page id), its
+    name from the page title."""
+    from incidentflow.sources.resources import resource_id_of
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    fmt = F.element_at(F.array(*[F.lit(f) for f in RESOURCE_FORMATS]), (F.col("page_id") % 3 + 1).cast("int"))
+    return pages.select(
+        F.col("url").alias("api_link"),
+        F.coalesce(resource_id_of("url", "page"), F.col("page_id").cast("string")).alias("resource_id"),
+        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("name"),
+        fmt.alias("format"),
+        F.col("url"),
+    )
