@@ -230,3 +230,212 @@ def resource_catalogue(spark, d):
     from incidentflow.sources.resources import select_resources
 
     return select_resources(standins.resource_catalogue(spark, d), "/en/")
+
+
+# ---------------------------------------------------- 4. labels and splits
+from incidentflow.functions import labels as L  # noqa: E402
+from incidentflow.functions.mapping import map_or_keep as _map_or_keep  # noqa: E402
+from incidentflow.ml import features as FE  # noqa: E402
+from incidentflow.operators import sampling  # noqa: E402
+from incidentflow.plans import model_table as MT  # noqa: E402
+
+_MODEL = O.model_ctes(MT.STANDIN_GROUPINGS)
+
+
+def _m(body: str) -> str:
+    return O.with_ctes(body, _MODEL)
+
+
+def _labeled_accidents(spark, d):
+    return standins.accidents(spark, d).withColumn("accident_greu", L.severity_label())
+
+
+def _split_accidents(spark, d):
+    return sampling.stratified_split(_labeled_accidents(spark, d), "numero_expedient", ["nom_barri"], "accident_greu")
+
+
+@register("label_rule", _m("SELECT numero_expedient, numero_morts, numero_lesionats_greus, accident_greu FROM a_lab"))
+def label_rule(spark, d):
+    return _labeled_accidents(spark, d).select("numero_expedient", "numero_morts", "numero_lesionats_greus", "accident_greu")
+
+
+@register("split_strata", _m("SELECT numero_expedient, stratum FROM a_strata"))
+def split_strata(spark, d):
+    return sampling.build_strata(_labeled_accidents(spark, d), ["nom_barri"], "accident_greu").select("numero_expedient", "stratum")
+
+
+@register("stratified_split", _m("SELECT numero_expedient, nom_barri, accident_greu, split FROM a_split"))
+def stratified_split(spark, d):
+    return _split_accidents(spark, d).select("numero_expedient", "nom_barri", "accident_greu", "split")
+
+
+@register(
+    "group_split",
+    _m("SELECT numero_expedient, desc_tipus_vehicle_implicat, edat, descripcio_tipus_persona, accident_greu, split FROM u_split"),
+)
+def group_split(spark, d):
+    return MT.split_rows(spark, d).select(
+        "numero_expedient", "desc_tipus_vehicle_implicat", "edat", "descripcio_tipus_persona", "accident_greu", "split"
+    )
+
+
+@register(
+    "hash_sample",
+    _m(
+        "SELECT numero_expedient, nom_barri, accident_greu FROM a_lab "
+        "ORDER BY md5('42:' || CAST(numero_expedient AS VARCHAR)), numero_expedient LIMIT 500"
+    ),
+)
+def hash_sample(spark, d):
+    return sampling.hash_sample(_labeled_accidents(spark, d), "numero_expedient", 500).select(
+        "numero_expedient", "nom_barri", "accident_greu"
+    )
+
+
+@register(
+    "stratified_folds",
+    _m(
+        "SELECT numero_expedient, accident_greu, CAST((row_number() OVER (PARTITION BY accident_greu "
+        "ORDER BY md5('42:' || CAST(numero_expedient AS VARCHAR)), numero_expedient) - 1) % 3 AS INTEGER) AS fold "
+        "FROM a_split WHERE split = 'train'"
+    ),
+)
+def stratified_folds(spark, d):
+    train = _split_accidents(spark, d).where(F.col("split") == "train")
+    return sampling.stratified_folds(train, "numero_expedient", "accident_greu", 3).select("numero_expedient", "accident_greu", "fold")
+
+
+@register(
+    "split_summary",
+    _m(
+        'SELECT split, COUNT(*) AS "rows", ROUND(AVG(CAST(accident_greu AS DOUBLE)), 9) AS accident_greu_rate, '
+        "COUNT(DISTINCT nom_barri) AS n_barris FROM a_split GROUP BY split"
+    ),
+)
+def split_summary(spark, d):
+    return _split_accidents(spark, d).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.round(F.avg(F.col("accident_greu").cast("double")), 9).alias("accident_greu_rate"),
+        F.count_distinct("nom_barri").alias("n_barris"),
+    )
+
+
+@register(
+    "split_sanity",
+    _m(
+        'SELECT split, COUNT(*) AS "rows", ROUND(AVG(CAST(accident_greu AS DOUBLE)), 9) AS target_rate, '
+        "CAST(SUM(accident_greu) AS BIGINT) AS positive_count FROM u_split GROUP BY split"
+    ),
+)
+def split_sanity(spark, d):
+    return MT.split_rows(spark, d).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.round(F.avg(F.col("accident_greu").cast("double")), 9).alias("target_rate"),
+        F.sum(F.col("accident_greu").cast("long")).alias("positive_count"),
+    )
+
+
+@register(
+    "label_distribution",
+    _m(
+        "SELECT s.split, l.accident_greu, CAST(COALESCE(c.n, 0) AS BIGINT) AS n, "
+        "COALESCE(c.n, 0) / CAST(s.total AS DOUBLE) AS share "
+        "FROM (SELECT split, COUNT(*) AS total FROM a_split GROUP BY split) s "
+        "CROSS JOIN (VALUES (0), (1)) l(accident_greu) "
+        "LEFT JOIN (SELECT split, accident_greu, COUNT(*) AS n FROM a_split GROUP BY split, accident_greu) c "
+        "ON c.split = s.split AND c.accident_greu = l.accident_greu"
+    ),
+)
+def label_distribution(spark, d):
+    """Per split, count and share of each label value, absent values as 0:
+    one aggregate per split, then two rows per split (no join)."""
+    agg = _split_accidents(spark, d).groupBy("split").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("accident_greu") == 0).alias("n0"),
+        F.count_if(F.col("accident_greu") == 1).alias("n1"),
+    )
+    rows = F.inline(F.array(*[F.struct(F.lit(v).alias("accident_greu"), F.col(f"n{v}").alias("n")) for v in (0, 1)]))
+    return agg.select("split", "total", rows).select(
+        "split", "accident_greu", "n", (F.col("n") / F.col("total")).alias("share")
+    )
+
+
+@register("projection_policy")
+def projection_policy(spark, d):
+    return FE.projection_policy(MT.split_rows(spark, d))
+
+
+# ------------------------------------------------------------- 5. features
+@register(
+    "flag_from_measure",
+    O.with_ctes("SELECT data_lectura, codi_estacio, PPT, CAST(COALESCE(PPT, 0) > 0 AS INTEGER) AS hi_ha_pluja FROM t_meteo_wide"),
+)
+def flag_from_measure(spark, d):
+    return zones.wide_readings(spark, d).select("data_lectura", "codi_estacio", "PPT", L.flag_from_measure("PPT").alias("hi_ha_pluja"))
+
+
+@register(
+    "map_or_keep",
+    O.with_ctes(
+        "SELECT numero_expedient, "
+        + O._case_map("desc_tipus_vehicle_implicat", MT.STANDIN_GROUPINGS["desc_tipus_vehicle_implicat"])
+        + " AS desc_tipus_vehicle_implicat, "
+        + O._case_map("descripcio_motiu_desplacament_conductor", MT.STANDIN_GROUPINGS["descripcio_motiu_desplacament_conductor"])
+        + " AS descripcio_motiu_desplacament_conductor, edat, descripcio_tipus_persona FROM t_persons"
+    ),
+)
+def map_or_keep(spark, d):
+    p = zones.trusted_persons(spark, d)
+    g = MT.STANDIN_GROUPINGS
+    return p.select(
+        "numero_expedient",
+        _map_or_keep("desc_tipus_vehicle_implicat", g["desc_tipus_vehicle_implicat"]).alias("desc_tipus_vehicle_implicat"),
+        _map_or_keep("descripcio_motiu_desplacament_conductor", g["descripcio_motiu_desplacament_conductor"]).alias(
+            "descripcio_motiu_desplacament_conductor"
+        ),
+        "edat",
+        "descripcio_tipus_persona",
+    )
+
+
+@register(
+    "category_risk",
+    _m(
+        "SELECT desc_tipus_vehicle_implicat AS category, COUNT(accident_greu) AS volumen, "
+        "ROUND(AVG(CAST(accident_greu AS DOUBLE)), 9) AS tasa_graves FROM u_split "
+        "WHERE split = 'train' AND desc_tipus_vehicle_implicat IS NOT NULL "
+        "GROUP BY desc_tipus_vehicle_implicat HAVING COUNT(accident_greu) > 0"
+    ),
+)
+def category_risk(spark, d):
+    train = MT.split_rows(spark, d).where(F.col("split") == "train")
+    return FE.category_risk(train, "desc_tipus_vehicle_implicat", min_volume=0).withColumn(
+        "tasa_graves", F.round("tasa_graves", 9)
+    )
+
+
+@register(
+    "target_encode",
+    _m("SELECT numero_expedient, split, ROUND(ratio_greu_barri, 9) AS ratio_greu_barri FROM ate_enc"),
+)
+def target_encode(spark, d):
+    rows = _split_accidents(spark, d)
+    return MT.target_encoded(rows).select("numero_expedient", "split", F.round("ratio_greu_barri", 9).alias("ratio_greu_barri"))
+
+
+@register("ordinal_encode", _m("SELECT * FROM u_enc"))
+def ordinal_encode(spark, d):
+    return MT.encoded_rows(spark, d)
+
+
+@register(
+    "class_weight",
+    _m(
+        "SELECT CAST(SUM(accident_greu) AS BIGINT) AS positive_count, "
+        "CAST(COUNT(accident_greu) - SUM(accident_greu) AS BIGINT) AS negative_count, "
+        "(COUNT(accident_greu) - SUM(accident_greu)) / CAST(SUM(accident_greu) AS DOUBLE) AS scale_pos_weight "
+        "FROM u_split WHERE split = 'train'"
+    ),
+)
+def class_weight(spark, d):
+    return FE.class_weight(MT.split_rows(spark, d).where(F.col("split") == "train"), "accident_greu")

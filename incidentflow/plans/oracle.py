@@ -290,3 +290,73 @@ def resource_catalogue_sql(target="/en/"):
         f"WHERE contains(lower(concat_ws(' ', COALESCE(name, ''), COALESCE(url, ''))), '{target}') "
         f"AND contains(lower(COALESCE(format, '')), 'csv') AND length(TRIM(COALESCE(url, ''))) > 0"
     )
+
+
+# ------------------------------------------------------- labels and splits
+LABEL_SQL = "CAST((COALESCE(numero_morts, 0) > 0 OR COALESCE(numero_lesionats_greus, 0) > 0) AS INTEGER)"
+
+
+def split_ctes(p: str, source: str, key: str = "numero_expedient", strata: str = "nom_barri", label: str = "accident_greu") -> dict[str, str]:
+    return {
+        f"{p}_raw": f"SELECT *, COALESCE(CAST({strata} AS VARCHAR), 'None') || '__' || CAST({label} AS VARCHAR) AS __raw FROM {source}",
+        f"{p}_strata": f"SELECT * EXCLUDE (__raw), CASE WHEN COUNT(*) OVER (PARTITION BY __raw) < 3 "
+        f"THEN 'rare__' || CAST({label} AS VARCHAR) ELSE __raw END AS stratum FROM {p}_raw",
+        f"{p}_ranked": f"SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || CAST({key} AS VARCHAR)), {key}) AS __rn, "
+        f"COUNT(*) OVER (PARTITION BY stratum) AS __n FROM {p}_strata",
+        f"{p}_split": f"SELECT * EXCLUDE (__rn, __n, stratum), CASE WHEN __rn <= (70 * __n + 50) // 100 THEN 'train' "
+        f"WHEN __rn <= (85 * __n + 50) // 100 THEN 'val' ELSE 'test' END AS split FROM {p}_ranked",
+    }
+
+
+def te_ctes(p: str, source: str) -> dict[str, str]:
+    return {
+        f"{p}_train": f"SELECT * FROM {source} WHERE split = 'train'",
+        f"{p}_g": f"SELECT AVG(CAST(accident_greu AS DOUBLE)) AS g FROM {p}_train",
+        f"{p}_d": f"SELECT nom_districte, (SUM(accident_greu) + 20 * (SELECT g FROM {p}_g)) / (COUNT(accident_greu) + 20) AS r_d "
+        f"FROM {p}_train WHERE nom_districte IS NOT NULL GROUP BY nom_districte",
+        f"{p}_b": f"SELECT b.nom_barri, (b.s + 20 * d.r_d) / (b.n + 20) AS r_b FROM (SELECT nom_barri, SUM(accident_greu) AS s, "
+        f"COUNT(accident_greu) AS n, MIN(nom_districte) AS dist FROM {p}_train WHERE nom_barri IS NOT NULL GROUP BY nom_barri) b "
+        f"LEFT JOIN {p}_d d ON b.dist = d.nom_districte",
+        f"{p}_enc": f"SELECT x.*, COALESCE(b.r_b, d.r_d, (SELECT g FROM {p}_g)) AS ratio_greu_barri FROM {source} x "
+        f"LEFT JOIN {p}_b b ON x.nom_barri = b.nom_barri LEFT JOIN {p}_d d ON x.nom_districte = d.nom_districte",
+    }
+
+
+def _case_map(col: str, mapping: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in sorted(mapping.items()))
+    return f"CASE {col} {whens} ELSE {col} END"
+
+
+def model_ctes(groupings: dict[str, dict[str, str]]) -> dict[str, str]:
+    acr = ", ".join(f'"{a}"' for a in STANDIN_ACRONYMS)
+    veh = _case_map("desc_tipus_vehicle_implicat", groupings["desc_tipus_vehicle_implicat"])
+    mot = _case_map("descripcio_motiu_desplacament_conductor", groupings["descripcio_motiu_desplacament_conductor"])
+    ctes = {
+        "a_lab": f"SELECT *, {LABEL_SQL} AS accident_greu FROM s_accidents",
+        **split_ctes("a", "a_lab"),
+        **te_ctes("ate", "a_split"),
+        "u_lab": f"SELECT *, {LABEL_SQL} AS accident_greu FROM unified",
+        "u_grp": "SELECT numero_expedient, MIN(nom_barri) AS nom_barri, MAX(accident_greu) AS accident_greu FROM u_lab GROUP BY numero_expedient",
+        **split_ctes("ug", "u_grp"),
+        "u_split": "SELECT u.*, g.split FROM u_lab u JOIN ug_split g USING (numero_expedient)",
+        "u_prep": f"SELECT numero_expedient, nom_districte, nom_barri, hora_dia, latitud_wgs84, longitud_wgs84, {acr}, "
+        f"{veh} AS desc_tipus_vehicle_implicat, edat, descripcio_tipus_persona, {mot} AS descripcio_motiu_desplacament_conductor, "
+        f"accident_greu, split, CAST(COALESCE(PPT, 0) > 0 AS INTEGER) AS hi_ha_pluja FROM u_split",
+        **te_ctes("ute", "u_prep"),
+        "u_te": "SELECT * EXCLUDE (nom_districte, nom_barri) FROM ute_enc",
+        "o_counts": "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, {c} AS value, COUNT(*) AS n FROM u_te WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c}"
+            for c in ORDINAL_COLUMNS
+        ),
+        "o_map": "SELECT column_name, value, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) - 1 AS INTEGER) AS code FROM o_counts",
+        "u_enc": "SELECT x.* REPLACE ("
+        + ", ".join(f"m{i}.code AS {c}" for i, c in enumerate(ORDINAL_COLUMNS))
+        + ") FROM u_te x "
+        + " ".join(
+            f"LEFT JOIN o_map m{i} ON m{i}.column_name = '{c}' AND x.{c} = m{i}.value" for i, c in enumerate(ORDINAL_COLUMNS)
+        ),
+    }
+    return ctes
+
+
+ORDINAL_COLUMNS = ["desc_tipus_vehicle_implicat", "descripcio_tipus_persona", "descripcio_motiu_desplacament_conductor"]
