@@ -63,10 +63,13 @@ def station_coords(catalogue: DataFrame, code: str = "CODI_ESTACIO", lat: str =
     )
 
 
-def attach_coords(df: DataFrame, coords: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_STATIONS) -> DataFrame:
+def attach_coords(df: DataFrame, coords: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Left join on the station code; a station without coordinates keeps
-    NULLs.  The coordinates table is broadcast only under its checked bound."""
-    return df.join(bounded_broadcast(coords, max_broadcast_rows), "codi_estacio", "left")
+    NULLs.  By default the planner decides the strategy from measured sizes;
+    with ``max_broadcast_rows`` the coordinates are broadcast after a
+    bounded row-count check (for sources without statistics)."""
+    right = bounded_broadcast(coords, max_broadcast_rows) if max_broadcast_rows else coords
+    return df.join(right, "codi_estacio", "left")
 
 
 def pivot_values(readings: DataFrame, column: str = "acronim", max_values: int = MAX_PIVOT_VALUES) -> list[str]:

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentflow.session import checkpoint_dir, is_bounded
+from incidentflow.session import bounded_collect, checkpoint_dir
 
 MAX_LITERAL_STATIONS = 4096
 
@@ -60,10 +60,14 @@ def nearest_station(
         .distinct()
     )
     located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    if strategy == "auto":
-        strategy = "literal" if is_bounded(st, max_literal_stations) else "grid"
+    rows = None
+    if strategy in ("auto", "literal"):
+        rows = bounded_collect(st.orderBy("__code"), max_literal_stations)
+        if rows is None and strategy == "literal":
+            raise ValueError(f"more than {max_literal_stations} stations; use the grid strategy")
+        strategy = "literal" if rows is not None else "grid"
     if strategy == "literal":
-        return _nearest_literal(located, st, out, lat, lon, distance_col)
+        return _nearest_literal(located, rows, out, lat, lon, distance_col)
     if strategy == "grid":
         if point_key is None:
             raise ValueError("the grid strategy needs a unique point_key")
@@ -71,8 +75,7 @@ def nearest_station(
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _nearest_literal(points, st, out, lat, lon, distance_col):
-    rows = st.orderBy("__code").collect()  # bounded by the caller's check
+def _nearest_literal(points, rows, out, lat, lon, distance_col):
     if not rows:
         return points.where(F.lit(False)).withColumn(out, F.lit(None).cast("string"))
     arr = F.array(

@@ -12,7 +12,7 @@ from incidentflow.functions.mapping import apply_groupings
 from incidentflow.ml import features as FE
 from incidentflow.operators.sampling import group_split
 from incidentflow.plans import zones
-from incidentflow.session import checkpoint_dir
+from incidentflow.session import materialise
 
 LABEL = "accident_greu"
 KEY = "numero_expedient"
@@ -40,9 +40,14 @@ def labeled_unified(spark: SparkSession, d: str) -> DataFrame:
     return zones.unified(spark, d).withColumn(LABEL, severity_label())
 
 
-def split_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Unified rows with the label and the accident-level (group) split."""
-    return group_split(labeled_unified(spark, d), KEY, ["nom_barri"], LABEL)
+def split_rows(spark: SparkSession, d: str, materialised: bool = True) -> DataFrame:
+    """Unified rows with the label and the accident-level (group) split.
+    The unified table is written once first: the split reads it several
+    times (group table, strata counts, join back)."""
+    base = labeled_unified(spark, d)
+    if materialised:
+        base = materialise(base, "unified")
+    return group_split(base, KEY, ["nom_barri"], LABEL)
 
 
 def prepared_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -63,8 +68,7 @@ def target_encoded(rows: DataFrame) -> DataFrame:
 def materialised_rows(spark: SparkSession, d: str) -> DataFrame:
     """Prepared rows written once to the shared checkpoint folder: the fits
     and transforms that follow read them instead of re-running the joins."""
-    checkpoint_dir(spark)
-    return prepared_rows(spark, d).checkpoint()
+    return materialise(prepared_rows(spark, d), "model_rows")
 
 
 def encoded_rows(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:

@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.session import bounded_broadcast, read_table
+from incidentflow.session import read_table
 
-# Bound used before broadcasting a dimension of the stand-ins (nation x region
-# has 25 rows by construction; the check keeps that promise honest).
-SMALL_DIMENSION_ROWS = 100_000
+# Joins with the small dimensions (nation, region, part, stations) are left to
+# the planner: it broadcasts a side only when its measured size (file
+# statistics, and AQE's run-time shuffle statistics) is under
+# spark.sql.autoBroadcastJoinThreshold, and shuffles otherwise.
 
 
 def _int(c: Column) -> Column:
@@ -27,13 +28,13 @@ def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(bounded_broadcast(region, SMALL_DIMENSION_ROWS), nation.n_regionkey == region.r_regionkey).select(
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", F.col("n_name").alias("nom_barri"), F.col("r_name").alias("nom_districte")
     )
     k = F.col("o_orderkey")
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(bounded_broadcast(geo, SMALL_DIMENSION_ROWS), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             k.alias("numero_expedient"),
             "nom_districte",
@@ -133,7 +134,7 @@ def station_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("latitud_wgs84").alias("LATITUD"),
         F.col("longitud_wgs84").alias("LONGITUD"),
     )
-    return reported.join(bounded_broadcast(coords, SMALL_DIMENSION_ROWS), "CODI_ESTACIO")
+    return reported.join(coords, "CODI_ESTACIO")
 
 
 def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

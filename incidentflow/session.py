@@ -74,6 +74,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/incidentflow/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: cuts lineage (a lost executor re-reads files instead of
+    re-running joins) and computes the plan exactly once, unlike an eager
+    RDD checkpoint of an uncached frame, which runs it twice."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bounded_collect(df: DataFrame, max_rows: int):
+    """Rows of ``df`` if it has at most ``max_rows`` rows, else None; one
+    job that never reads more than ``max_rows + 1`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
