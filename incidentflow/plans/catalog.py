@@ -439,3 +439,93 @@ def ordinal_encode(spark, d):
 )
 def class_weight(spark, d):
     return FE.class_weight(MT.split_rows(spark, d).where(F.col("split") == "train"), "accident_greu")
+
+
+# -------------------------------------------------------------- 6. metrics
+from incidentflow.ml import metrics as ME  # noqa: E402
+
+_MET = {**O.SCORED}
+
+
+def _s(body: str) -> str:
+    return O.with_ctes(body, _MODEL, _MET)
+
+
+def _scored(spark, d):
+    return standins.scored_rows(spark, d)
+
+
+@register(
+    "apply_threshold",
+    _s("SELECT split, row_key, label, score, CAST(score >= CAST(0.5 AS DOUBLE) AS INTEGER) AS pred FROM scored"),
+)
+def apply_threshold(spark, d):
+    return _scored(spark, d).withColumn("pred", L.apply_threshold("score", 0.5))
+
+
+@register(
+    "confusion_matrix",
+    _s(
+        "SELECT c.split, l.label, p.pred, CAST(CASE WHEN l.label = 0 AND p.pred = 0 THEN tn WHEN l.label = 0 THEN fp "
+        "WHEN p.pred = 0 THEN fn ELSE tp END AS BIGINT) AS n FROM cm c CROSS JOIN (VALUES (0), (1)) l(label) "
+        "CROSS JOIN (VALUES (0), (1)) p(pred)"
+    ),
+)
+def confusion_matrix(spark, d):
+    return ME.confusion_matrix(_scored(spark, d), ["split"], 0.5)
+
+
+@register("classification_report", _s(O.report_sql()))
+def classification_report(spark, d):
+    return ME.classification_report(_scored(spark, d), ["split"], 0.5)
+
+
+@register("roc_auc", _s("SELECT * FROM auc"))
+def roc_auc(spark, d):
+    return ME.roc_auc(_scored(spark, d), ["split"])
+
+
+@register("average_precision", _s("SELECT * FROM ap"))
+def average_precision(spark, d):
+    return ME.average_precision(_scored(spark, d), ["split"])
+
+
+@register(
+    "roc_points",
+    _s(
+        "SELECT split, score AS threshold, CASE WHEN NN > 0 THEN cum_neg / CAST(NN AS DOUBLE) ELSE 0.0 END AS fpr, "
+        "CASE WHEN PP > 0 THEN cum_pos / CAST(PP AS DOUBLE) ELSE 0.0 END AS tpr FROM ("
+        "SELECT *, SUM(pos) OVER w AS cum_pos, SUM(neg) OVER w AS cum_neg, SUM(pos) OVER (PARTITION BY split) AS PP, "
+        "SUM(neg) OVER (PARTITION BY split) AS NN FROM sc WINDOW w AS (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING)) "
+        "UNION ALL SELECT DISTINCT split, CAST(NULL AS DOUBLE), 0.0, 0.0 FROM sc"
+    ),
+)
+def roc_points(spark, d):
+    return ME.roc_points(_scored(spark, d), ["split"])
+
+
+@register("threshold_sweep", _s("SELECT * FROM sweep"))
+def threshold_sweep(spark, d):
+    return ME.threshold_sweep(_scored(spark, d), ["split"])
+
+
+@register("best_threshold", _s("SELECT * EXCLUDE (rank) FROM ranked WHERE rank = 1"))
+def best_threshold(spark, d):
+    return ME.best_threshold(ME.threshold_sweep(_scored(spark, d), ["split"]), ["split"])
+
+
+@register("topk_thresholds", _s("SELECT * FROM ranked WHERE rank <= 10"))
+def topk_thresholds(spark, d):
+    return ME.topk_thresholds(ME.threshold_sweep(_scored(spark, d), ["split"]), ["split"], 10)
+
+
+@register(
+    "metric_summary",
+    _s(
+        "SELECT s.split, s.threshold, a.roc_auc, p.average_precision, s.f1, s.precision, s.recall FROM sweep s "
+        "JOIN (SELECT threshold AS t FROM ranked WHERE split = 'val' AND rank = 1) b ON s.threshold = b.t "
+        "JOIN auc a ON a.split = s.split JOIN ap p ON p.split = s.split"
+    ),
+)
+def metric_summary(spark, d):
+    return ME.metric_summary(_scored(spark, d), "split", "val")

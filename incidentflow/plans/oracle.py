@@ -360,3 +360,55 @@ def model_ctes(groupings: dict[str, dict[str, str]]) -> dict[str, str]:
 
 
 ORDINAL_COLUMNS = ["desc_tipus_vehicle_implicat", "descripcio_tipus_persona", "descripcio_motiu_desplacament_conductor"]
+
+
+# ------------------------------------------------------------------ metrics
+SCORED = {
+    "scored": "SELECT split, numero_expedient AS row_key, accident_greu AS label, "
+    "(numero_expedient * 7919 % 1000) / CAST(1000 AS DOUBLE) AS score FROM a_split",
+    "grid": "SELECT i, (5 + i) / CAST(100 AS DOUBLE) AS threshold FROM range(91) t(i)",
+    "cm": "SELECT split, COUNT(*) FILTER (WHERE label = 0 AND score < 0.5) AS tn, COUNT(*) FILTER (WHERE label = 0 AND score >= 0.5) AS fp, "
+    "COUNT(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn, COUNT(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp FROM scored GROUP BY split",
+    "sc": "SELECT split, score, CAST(SUM(label) AS BIGINT) AS pos, CAST(SUM(1 - label) AS BIGINT) AS neg FROM scored GROUP BY split, score",
+    "sweep_raw": "SELECT s.split, g.threshold, CAST(COUNT(*) FILTER (WHERE s.score >= g.threshold AND s.label = 1) AS BIGINT) AS tp, "
+    "CAST(COUNT(*) FILTER (WHERE s.score >= g.threshold AND s.label = 0) AS BIGINT) AS fp, CAST(SUM(s.label) AS BIGINT) AS P "
+    "FROM scored s CROSS JOIN grid g GROUP BY s.split, g.threshold",
+    "sweep": "SELECT split, threshold, tp, fp, "
+    "ROUND(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END, 9) AS precision, "
+    "ROUND(CAST(tp AS DOUBLE) / GREATEST(P, 1), 9) AS recall, "
+    "ROUND(CASE WHEN 2 * tp + fp + (P - tp) > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + (P - tp)) ELSE 0.0 END, 9) AS f1 FROM sweep_raw",
+    "ranked": "SELECT *, row_number() OVER (PARTITION BY split ORDER BY f1 DESC, recall DESC, precision DESC, threshold) AS rank FROM sweep",
+    "auc": "SELECT split, ROUND(SUM(pos * (cum_neg - neg + neg * 0.5)) / (SUM(pos) * SUM(neg)), 9) AS roc_auc FROM ("
+    "SELECT *, SUM(neg) OVER (PARTITION BY split ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg FROM sc) GROUP BY split",
+    "ap": "SELECT split, ROUND(CASE WHEN SUM(pos) > 0 THEN SUM(pos * (cum_pos / CAST(cum_pos + cum_neg AS DOUBLE))) / SUM(pos) END, 9) AS average_precision FROM ("
+    "SELECT *, SUM(pos) OVER w AS cum_pos, SUM(neg) OVER w AS cum_neg FROM sc "
+    "WINDOW w AS (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING)) GROUP BY split",
+}
+
+
+def _sd(num, den):
+    return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / ({den}) ELSE 0.0 END"
+
+
+def report_sql():
+    s0, s1, tot = "(tn + fp)", "(tp + fn)", "(tn + fp + tp + fn)"
+    p0, r0, f0 = _sd("tn", "tn + fn"), _sd("tn", "tn + fp"), _sd("2 * tn", "2 * tn + fn + fp")
+    p1, r1, f1 = _sd("tp", "tp + fp"), _sd("tp", "tp + fn"), _sd("2 * tp", "2 * tp + fp + fn")
+    acc = _sd("tp + tn", tot)
+
+    def w(a, b):
+        return f"CASE WHEN {tot} > 0 THEN CAST(({a}) * {s0} + ({b}) * {s1} AS DOUBLE) / {tot} ELSE 0.0 END"
+
+    rows = [
+        ("'0'", p0, r0, f0, s0),
+        ("'1'", p1, r1, f1, s1),
+        ("'accuracy'", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", acc, tot),
+        ("'macro avg'", f"(({p0}) + ({p1})) / 2", f"(({r0}) + ({r1})) / 2", f"(({f0}) + ({f1})) / 2", tot),
+        ("'weighted avg'", w(p0, p1), w(r0, r1), w(f0, f1), tot),
+    ]
+    parts = [
+        f"SELECT split, {n} AS class_name, ROUND({p}, 9) AS precision, ROUND({r}, 9) AS recall, ROUND({f}, 9) AS f1, "
+        f"CAST({sup} AS BIGINT) AS support FROM cm"
+        for n, p, r, f, sup in rows
+    ]
+    return "\nUNION ALL\n".join(parts)
