@@ -126,3 +126,11 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, seed: int
     dealt round-robin, so fold sizes per label differ by at most one."""
     ranked = rank_by_hash(df.withColumn("__label_group", F.col(label).cast("string")), "__label_group", key, seed)
     return ranked.withColumn(out, ((F.col("__rank") - 1) % k).cast("int")).drop("__rank", "__size", "__label_group")
+
+
+def group_folds(df: DataFrame, group_key: str, label: str, k: int = 3, seed: int = 42, out: str = "fold") -> DataFrame:
+    """Stratified folds of whole groups: every row of a group shares a fold
+    (a group's label is its maximum)."""
+    groups = df.groupBy(group_key).agg(F.max(F.col(label)).alias(label))
+    folds = stratified_folds(groups, group_key, label, k, seed, out).select(group_key, out)
+    return df.join(folds, group_key)

@@ -529,3 +529,62 @@ def topk_thresholds(spark, d):
 )
 def metric_summary(spark, d):
     return ME.metric_summary(_scored(spark, d), "split", "val")
+
+
+# ---------------------------------------------------------------- 7. models
+from incidentflow.ml import contributions as CO  # noqa: E402
+from incidentflow.ml import models as MO  # noqa: E402
+from incidentflow.session import materialise  # noqa: E402
+
+# Budget of the registered model queries.  The library defaults are the
+# reference's settings (400 trees; 20 draws x 3 folds of 200-800 trees); a
+# Spark GBT iteration costs a few Spark jobs, so the registered checks keep
+# every row and every other setting but fit fewer trees.
+CHECK_TREES = 40
+CHECK_DRAWS = 3
+CHECK_SPACE = dict(MO.SEARCH_SPACE, n_estimators=("int", 10, 30))
+
+
+def _model_inputs(spark, d):
+    rows = materialise(MT.encoded_rows(spark, d), "encoded_rows")
+    feats = MT.feature_columns(rows)
+    spec = MO.FeatureSpec(feats, MO.columns_with_nulls(rows, feats))
+    return rows, spec
+
+
+def _fitted(spark, d):
+    rows, spec = _model_inputs(spark, d)
+    model, _ = MO.fit_gbt(rows.where(F.col("split") == "train"), spec, {"n_estimators": CHECK_TREES})
+    return rows, spec, model
+
+
+@register("gbt_scores")
+def gbt_scores(spark, d):
+    rows, spec, model = _fitted(spark, d)
+    return MO.score(model, rows, spec).select("split", "numero_expedient", "accident_greu", "score")
+
+
+@register("random_search")
+def random_search(spark, d):
+    rows, spec = _model_inputs(spark, d)
+    train = sampling.group_folds(rows.where(F.col("split") == "train"), "numero_expedient", "accident_greu", 3)
+    table, _, _ = MO.random_search(train, spec, "fold", n_draws=CHECK_DRAWS, space=CHECK_SPACE)
+    return table
+
+
+def _contributions(spark, d):
+    rows, spec, model = _fitted(spark, d)
+    train = rows.where(F.col("split") == "train")
+    feats = model.transform(MO.add_missing_indicators(train, spec))
+    return CO.contributions(feats, model.stages[-1], ["numero_expedient", "split"]), spec
+
+
+@register("contributions")
+def contributions(spark, d):
+    return _contributions(spark, d)[0]
+
+
+@register("importance")
+def importance(spark, d):
+    contribs, spec = _contributions(spark, d)
+    return CO.importance(contribs, spec.names)
