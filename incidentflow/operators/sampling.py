@@ -3,11 +3,11 @@
 The order of rows inside a stratum is the md5 of ``'<seed>:<key>'`` (ties,
 i.e. repeated keys, broken by the key), so every engine that has md5 gets the
 same split.  Ranks inside a stratum are computed without putting a whole
-stratum into one task: a stratum of ``n`` rows is cut into sub-buckets by the
-first ``d`` hex digits of the hash (``16**d ~ n / rows_per_bucket``); because
-hex order is hash order, rank = rows of the earlier sub-buckets + rank inside
-the sub-bucket.  A stratum holding a third of the data is thus spread over
-many tasks, and the per-bucket counts are small aggregates.
+stratum into one task: a stratum is cut into sub-buckets by the first hex
+digits of the hash; because hex order is hash order, rank = rows of the
+earlier sub-buckets + rank inside the sub-bucket.  A stratum holding a third
+of the data is thus spread over many tasks, and the per-bucket counts are
+small aggregates.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
+SUB_DIGITS = 4
 SPLIT_NAMES = ("train", "val", "test")
 
 
@@ -38,21 +38,32 @@ def build_strata(df: DataFrame, strata_cols: list[str], label: str, min_count: i
     return joined.withColumn(out, stratum).drop("__raw", "__n")
 
 
-def rank_by_hash(df: DataFrame, group: str, key: str, seed: int = 42, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``__rank`` (1-based, by hash then key) and ``__size`` per ``group``."""
-    h = df.withColumn("__h", hash_order(key, seed))
-    sizes = h.groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
-    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("__size") / F.lit(float(rows_per_bucket))))).cast("int")
-    sizes = sizes.withColumn("__digits", F.least(digits, F.lit(16)))
-    h = h.join(sizes, group).withColumn("__sub", F.expr("substring(__h, 1, __digits)"))
+def rank_by_hash(df: DataFrame, group: str, key: str, seed: int = 42, sub_digits: int = SUB_DIGITS) -> DataFrame:
+    """Add ``__rank`` (1-based, by hash then key) and ``__size`` per ``group``.
+
+    Rows are keyed by (group, first ``sub_digits`` hex digits of the hash).
+    The per-key counts are a small aggregate (partial aggregation map-side);
+    a window over them gives each sub-bucket its offset and the group size.
+    The rows then meet that table in one join on (group, sub-bucket) and are
+    ranked by a window partitioned the same way, so no exchange is keyed by
+    the group alone and a stratum holding a third of the rows is spread over
+    up to ``16 ** sub_digits`` tasks.
+    """
+    h = df.withColumns({"__h": hash_order(key, seed)}).withColumn("__sub", F.substring("__h", 1, sub_digits))
     per_sub = h.groupBy(group, "__sub").agg(F.count(F.lit(1)).alias("__subn"))
-    w_sub = Window.partitionBy(group).orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_sub.withColumn("__offset", F.coalesce(F.sum("__subn").over(w_sub), F.lit(0))).drop("__subn")
+    before = Window.partitionBy(group).orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(group)
+    offsets = per_sub.select(
+        group,
+        "__sub",
+        F.coalesce(F.sum("__subn").over(before), F.lit(0)).alias("__offset"),
+        F.sum("__subn").over(whole).alias("__size"),
+    )
     w_row = Window.partitionBy(group, "__sub").orderBy("__h", key)
     return (
         h.join(offsets, [group, "__sub"])
         .withColumn("__rank", F.col("__offset") + F.row_number().over(w_row))
-        .drop("__h", "__digits", "__sub", "__offset")
+        .drop("__h", "__sub", "__offset")
     )
 
 

@@ -61,7 +61,7 @@ def left_join_coords(spark, d):
 
 @register("nearest_station", O.with_ctes("SELECT * FROM nearest"))
 def nearest_station(spark, d):
-    wide = zones.wide_readings(spark, d)
+    wide = zones.wide_readings_table(spark, d)
     located = enrich.with_nearest_station(
         zones.trusted_accidents(spark, d), enrich.meteo_stations(wide), distance_col="dist_sq"
     )
@@ -85,7 +85,7 @@ def unify_persons(spark, d):
 
 @register("join_daily_readings", O.with_ctes("SELECT * FROM with_weather"))
 def join_daily_readings(spark, d):
-    return enrich.join_daily_readings(zones.located_accidents(spark, d), zones.wide_readings(spark, d))
+    return enrich.join_daily_readings(zones.located_accidents(spark, d), zones.wide_readings_table(spark, d))
 
 
 @register("unified", O.with_ctes("SELECT * FROM unified"))

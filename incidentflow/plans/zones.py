@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from incidentflow.operators import enrich, quality
 from incidentflow.plans import standins
+from incidentflow.session import materialise
+
+
+# The stand-in readings can only produce these acronyms (see
+# ``standins.ACRONYM_OF_EVENT``), so the pivot is given its columns instead
+# of discovering them with an extra job.
+STANDIN_ACRONYMS = sorted({*standins.ACRONYM_OF_EVENT.values(), standins.OTHER_ACRONYM})
 
 
 def trusted_accidents(spark: SparkSession, d: str) -> DataFrame:
@@ -22,13 +29,22 @@ def trusted_readings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wide_readings(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.readings_wide(trusted_readings(spark, d), standins.stations(spark, d))
+    return enrich.readings_wide(trusted_readings(spark, d), standins.stations(spark, d), values=STANDIN_ACRONYMS)
+
+
+def wide_readings_table(spark: SparkSession, d: str) -> DataFrame:
+    """The wide readings written once as a zone table (one row per station
+    and day).  Joins against it then see its real file size: the planner
+    broadcasts it when it is under the broadcast threshold and uses a
+    shuffle join when it is not, and the station list and the join read the
+    table instead of re-running the pivot."""
+    return materialise(wide_readings(spark, d), "readings_wide")
 
 
 def located_accidents(spark: SparkSession, d: str) -> DataFrame:
-    wide = wide_readings(spark, d)
+    wide = wide_readings_table(spark, d)
     return enrich.with_nearest_station(trusted_accidents(spark, d), enrich.meteo_stations(wide))
 
 
 def unified(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.unify(trusted_accidents(spark, d), trusted_persons(spark, d), wide_readings(spark, d))
+    return enrich.unify(trusted_accidents(spark, d), trusted_persons(spark, d), wide_readings_table(spark, d))
