@@ -2,9 +2,9 @@
 
 Each statistic family is one aggregate over the table (not one query per
 column and statistic); the wide aggregate row is turned into rows with
-``inline``.  Exact distinct counts run as one narrow aggregate per column
-(each reads a single column, so the table is scanned once in total) instead
-of one multi-distinct aggregate that would copy every row per column.
+``inline``.  Exact distinct counts unpivot the table to (column, value) pairs and
+de-duplicate them once, instead of one multi-distinct aggregate that would
+copy every row once per column before any reduction.
 """
 
 from __future__ import annotations
@@ -80,16 +80,26 @@ def numeric_profile(df: DataFrame, table_name: str, digits: int = ROUND) -> Data
     return wide.select(F.lit(table_name).alias("table_name"), rows).where(F.col("min_val").isNotNull())
 
 
+def _distinct_pairs(df: DataFrame) -> DataFrame:
+    """Distinct (column_name, value) pairs of every column in one pass: the
+    table is unpivoted to text values (a value's text form is unique to it)
+    and de-duplicated, with map-side partial aggregation, so the shuffle
+    carries at most the distinct values of each partition."""
+    def text(c: str):
+        x = F.col(c)
+        dtype = dict(df.dtypes)[c]
+        if dtype in ("double", "float"):
+            x = F.when(x == 0, F.lit(0.0).cast(dtype)).otherwise(x)  # -0.0 and 0.0 are one value
+        return x.cast("string")
+
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in df.columns]))
+    return df.select(pairs).distinct()
+
+
 def distinct_profile(df: DataFrame, table_name: str) -> DataFrame:
-    """Exact COUNT(DISTINCT) per column, NULL not counted."""
-    return _union(
-        [
-            df.agg(F.count_distinct(F.col(c)).alias("n_distinct")).select(
-                F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"), "n_distinct"
-            )
-            for c in df.columns
-        ]
-    )
+    """Exact COUNT(DISTINCT) per column, NULL not counted (one pass)."""
+    counts = _distinct_pairs(df).groupBy("column_name").agg(F.count("value").alias("n_distinct"))
+    return counts.select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct")
 
 
 def approx_distinct_profile(df: DataFrame, table_name: str, rsd: float = 0.01) -> DataFrame:
@@ -101,15 +111,9 @@ def approx_distinct_profile(df: DataFrame, table_name: str, rsd: float = 0.01) -
 
 
 def distinct_with_null(df: DataFrame, table_name: str) -> DataFrame:
-    """Distinct count where NULL counts as one more value."""
-    return _union(
-        [
-            df.agg(
-                (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("long"))).alias("n_distinct_with_null")
-            ).select(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"), F.coalesce("n_distinct_with_null", F.lit(0)).alias("n_distinct_with_null"))
-            for c in df.columns
-        ]
-    )
+    """Distinct count where NULL counts as one more value (one pass)."""
+    counts = _distinct_pairs(df).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct_with_null"))
+    return counts.select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct_with_null")
 
 
 def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY, list_up_to: int = LIST_VALUES_UP_TO) -> DataFrame:
@@ -118,11 +122,11 @@ def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY
     from a top-k of the column's distinct values (never more than
     ``list_up_to + 1`` values per task), so a high-cardinality column costs
     no memory."""
-    frames = []
+    counts = _distinct_pairs(df).groupBy("column_name").agg(
+        F.count("value").alias("n_distinct"), F.max(F.col("value").isNull()).alias("has_null")
+    )
+    frames = [counts.withColumn("listed", F.lit(None).cast("string"))]
     for c in df.columns:
-        counts = df.agg(
-            F.count_distinct(F.col(c)).alias("n_distinct"), F.max(F.col(c).isNull()).alias("has_null")
-        ).select(F.lit(c).alias("column_name"), "n_distinct", "has_null", F.lit(None).cast("string").alias("listed"))
         smallest = df.where(F.col(c).isNotNull()).select(F.col(c).alias("v")).distinct().orderBy("v").limit(list_up_to + 1)
         listed = smallest.agg(
             F.array_join(F.transform(F.array_sort(F.collect_list("v")), lambda v: v.cast("string")), ", ").alias("listed")
@@ -132,7 +136,7 @@ def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY
             F.lit(None).cast("boolean").alias("has_null"),
             "listed",
         )
-        frames += [counts, listed]
+        frames.append(listed)
     merged = _union(frames).groupBy("column_name").agg(
         F.max("n_distinct").alias("n_distinct"), F.max("has_null").alias("has_null"), F.max("listed").alias("listed")
     )

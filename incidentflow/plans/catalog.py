@@ -548,7 +548,7 @@ CHECK_SPACE = dict(MO.SEARCH_SPACE, n_estimators=("int", 10, 30))
 def _model_inputs(spark, d):
     rows = materialise(MT.encoded_rows(spark, d), "encoded_rows")
     feats = MT.feature_columns(rows)
-    spec = MO.FeatureSpec(feats, MO.columns_with_nulls(rows, feats))
+    spec = MO.build_spec(rows, feats, F.col("split") == "train")
     return rows, spec
 
 
