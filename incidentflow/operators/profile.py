@@ -118,34 +118,35 @@ def distinct_with_null(df: DataFrame, table_name: str) -> DataFrame:
 
 def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY, list_up_to: int = LIST_VALUES_UP_TO) -> DataFrame:
     """Columns with fewer than ``limit`` distinct values; for those with at
-    most ``list_up_to``, the sorted values as text.  The value list is built
-    from a top-k of the column's distinct values (never more than
-    ``list_up_to + 1`` values per task), so a high-cardinality column costs
-    no memory."""
-    counts = _distinct_pairs(df).groupBy("column_name").agg(
+    most ``list_up_to``, the sorted values as text.  Built on the one-pass
+    distinct pairs; values are gathered only for columns already known to
+    have at most ``list_up_to`` of them, so the lists are bounded."""
+    pairs = _distinct_pairs(df)
+    counts = pairs.groupBy("column_name").agg(
         F.count("value").alias("n_distinct"), F.max(F.col("value").isNull()).alias("has_null")
     )
-    frames = [counts.withColumn("listed", F.lit(None).cast("string"))]
-    for c in df.columns:
-        smallest = df.where(F.col(c).isNotNull()).select(F.col(c).alias("v")).distinct().orderBy("v").limit(list_up_to + 1)
-        listed = smallest.agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list("v")), lambda v: v.cast("string")), ", ").alias("listed")
-        ).select(
-            F.lit(c).alias("column_name"),
-            F.lit(None).cast("long").alias("n_distinct"),
-            F.lit(None).cast("boolean").alias("has_null"),
-            "listed",
-        )
-        frames.append(listed)
-    merged = _union(frames).groupBy("column_name").agg(
-        F.max("n_distinct").alias("n_distinct"), F.max("has_null").alias("has_null"), F.max("listed").alias("listed")
+    numeric = numeric_columns(df)
+    short = counts.where(F.col("n_distinct") <= list_up_to).select("column_name")
+    order = F.struct(
+        F.when(F.col("column_name").isin(numeric), F.col("value").cast("double")).alias("num"),
+        F.col("value").alias("text"),
     )
-    return merged.where(F.col("n_distinct") < limit).select(
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        "n_distinct",
-        F.when(F.col("n_distinct") <= list_up_to, F.col("listed")).alias("distinct_values"),
-        F.coalesce(F.col("has_null"), F.lit(False)).alias("has_null"),
+    listed = (
+        pairs.where(F.col("value").isNotNull())
+        .join(short, "column_name")
+        .groupBy("column_name")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["text"]), ", ").alias("listed"))
+    )
+    return (
+        counts.where(F.col("n_distinct") < limit)
+        .join(listed, "column_name", "left")
+        .select(
+            F.lit(table_name).alias("table_name"),
+            "column_name",
+            "n_distinct",
+            F.col("listed").alias("distinct_values"),
+            F.coalesce(F.col("has_null"), F.lit(False)).alias("has_null"),
+        )
     )
 
 
