@@ -15,7 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from incidentflow.session import bounded_collect
+
 SUB_DIGITS = 4
+ROWS_PER_BUCKET = 1_000_000
+MAX_LITERAL_GROUPS = 100_000
 SPLIT_NAMES = ("train", "val", "test")
 
 
@@ -38,18 +42,50 @@ def build_strata(df: DataFrame, strata_cols: list[str], label: str, min_count: i
     return joined.withColumn(out, stratum).drop("__raw", "__n")
 
 
-def rank_by_hash(df: DataFrame, group: str, key: str, seed: int = 42, sub_digits: int = SUB_DIGITS) -> DataFrame:
+def _sub_digits(df: DataFrame, group: str, rows_per_bucket: int, max_groups: int) -> Column:
+    """Hex digits of the sub-bucket per group: enough that a sub-bucket holds
+    about ``rows_per_bucket`` rows.  The group sizes are one small aggregate,
+    read to the driver only when there are at most ``max_groups`` groups
+    (checked); otherwise every group gets ``SUB_DIGITS``."""
+    sizes = bounded_collect(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), max_groups)
+    if sizes is None:
+        return F.lit(SUB_DIGITS)
+    digits = {}
+    for r in sizes:
+        d, cap = 0, rows_per_bucket
+        while r["n"] > cap and d < 8:
+            d, cap = d + 1, cap * 16
+        if d:
+            digits[r[group]] = d
+    if not digits:
+        return F.lit(0)
+    lookup = F.create_map(*[F.lit(x) for kv in digits.items() for x in kv])
+    return F.coalesce(F.element_at(lookup, F.col(group)), F.lit(0))
+
+
+def rank_by_hash(
+    df: DataFrame,
+    group: str,
+    key: str,
+    seed: int = 42,
+    sub_digits: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    max_groups: int = MAX_LITERAL_GROUPS,
+) -> DataFrame:
     """Add ``__rank`` (1-based, by hash then key) and ``__size`` per ``group``.
 
-    Rows are keyed by (group, first ``sub_digits`` hex digits of the hash).
+    Rows are keyed by (group, first hex digits of the hash); a group gets
+    as many digits as keep its sub-buckets near ``rows_per_bucket`` rows.
     The per-key counts are a small aggregate (partial aggregation map-side);
     a window over them gives each sub-bucket its offset and the group size.
     The rows then meet that table in one join on (group, sub-bucket) and are
     ranked by a window partitioned the same way, so no exchange is keyed by
     the group alone and a stratum holding a third of the rows is spread over
-    up to ``16 ** sub_digits`` tasks.
+    many tasks.
     """
-    h = df.withColumns({"__h": hash_order(key, seed)}).withColumn("__sub", F.substring("__h", 1, sub_digits))
+    digits = F.lit(sub_digits) if sub_digits is not None else _sub_digits(df, group, rows_per_bucket, max_groups)
+    h = df.withColumns({"__h": hash_order(key, seed), "__d": digits})
+    h = h.withColumn("__sub", F.expr("substring(__h, 1, __d)")).drop("__d")
     per_sub = h.groupBy(group, "__sub").agg(F.count(F.lit(1)).alias("__subn"))
     before = Window.partitionBy(group).orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(group)

@@ -96,13 +96,12 @@ def unified(spark, d):
 @register("surrogate_key")
 def surrogate_key(spark, d):
     """Row id for a table without a usable natural key: a monotonically
-    increasing id, made stable by checkpointing once (a recomputed id need
-    not match the first one)."""
-    from incidentflow.session import checkpoint_dir
+    increasing id, made stable by writing the table once (a recomputed id
+    need not match the first one)."""
+    from incidentflow.session import materialise
 
-    checkpoint_dir(spark)
     acc = zones.trusted_accidents(spark, d)
-    return acc.withColumn("accident_row_id", F.monotonically_increasing_id()).checkpoint()
+    return materialise(acc.withColumn("accident_row_id", F.monotonically_increasing_id()), "accidents_with_id")
 
 
 @register(

@@ -377,7 +377,7 @@ SCORED = {
     "ROUND(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END, 9) AS precision, "
     "ROUND(CAST(tp AS DOUBLE) / GREATEST(P, 1), 9) AS recall, "
     "ROUND(CASE WHEN 2 * tp + fp + (P - tp) > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + (P - tp)) ELSE 0.0 END, 9) AS f1 FROM sweep_raw",
-    "ranked": "SELECT *, row_number() OVER (PARTITION BY split ORDER BY f1 DESC, recall DESC, precision DESC, threshold) AS rank FROM sweep",
+    "ranked": "SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY f1 DESC, recall DESC, precision DESC, threshold) AS INTEGER) AS rank FROM sweep",
     "auc": "SELECT split, ROUND(SUM(pos * (cum_neg - neg + neg * 0.5)) / (SUM(pos) * SUM(neg)), 9) AS roc_auc FROM ("
     "SELECT *, SUM(neg) OVER (PARTITION BY split ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg FROM sc) GROUP BY split",
     "ap": "SELECT split, ROUND(CASE WHEN SUM(pos) > 0 THEN SUM(pos * (cum_pos / CAST(cum_pos + cum_neg AS DOUBLE))) / SUM(pos) END, 9) AS average_precision FROM ("

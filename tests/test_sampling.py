@@ -39,6 +39,8 @@ def test_every_row_in_exactly_one_part_and_stable(spark):
 def test_bucketed_rank_equals_plain_window(spark):
     df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("string").alias("g"))
     got = sampling.rank_by_hash(df, "g", "k", sub_digits=2)
+    adaptive = sampling.rank_by_hash(df, "g", "k", rows_per_bucket=20)
+    assert adaptive.select("k", "__rank").exceptAll(got.select("k", "__rank")).count() == 0
     w = Window.partitionBy("g").orderBy(sampling.hash_order("k"), "k")
     want = df.withColumn("__rank", F.row_number().over(w))
     assert got.select("k", "__rank").exceptAll(want.select("k", "__rank")).count() == 0
