@@ -10,7 +10,8 @@ Two exact strategies, no cross join in either:
   each station is copied to its 3x3 neighbour cells and points equi-join on
   their cell.  A point whose best distance is within the cell size is exact
   (any closer station lies in the 3x3 block); the rest go to the next level
-  with a doubled cell.  Each level cuts lineage with ``checkpoint()``.
+  with a doubled cell.  Each level's result is written once under the
+  checkpoint folder, which cuts the lineage of the loop.
 
 Ties are broken by the smaller station code; points without coordinates get
 no station (the match is inner, as in the unified join).
@@ -23,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentflow.session import bounded_collect, checkpoint_dir
+from incidentflow.session import bounded_collect, materialise
 
 MAX_LITERAL_STATIONS = 4096
 
@@ -99,8 +100,6 @@ def _nearest_literal(points, rows, out, lat, lon, distance_col):
 
 
 def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels: int = 40):
-    spark = points.sparkSession
-    checkpoint_dir(spark)
     ext = st.agg(
         F.count("*").alias("n"),
         F.min("__slat").alias("lat0"),
@@ -135,9 +134,9 @@ def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels
             .agg(F.min(F.struct(_sq_distance(F.col("__plat"), F.col("__plon"), F.col("__slat"), F.col("__slon")).alias("d"), F.col("__code").alias("code"))).alias("__b"))
         )
         # strictly inside the cell size: exact whatever the rounding of floor()
-        done = best.where(F.col("__b.d") < (size * 0.999) ** 2).checkpoint()
+        done = materialise(best.where(F.col("__b.d") < (size * 0.999) ** 2), f"nearest_level{level}")
         resolved.append(done)
-        pending = pending.join(done.select("__pk"), "__pk", "left_anti").checkpoint()
+        pending = materialise(pending.join(done.select("__pk"), "__pk", "left_anti"), f"nearest_pending{level}")
         # once the cell exceeds every possible distance (< 404 degrees) the
         # 3x3 block holds every station, so the loop always ends
         if pending.isEmpty():

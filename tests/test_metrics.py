@@ -90,3 +90,16 @@ def test_best_threshold_prefers_f1_then_recall(spark):
     for split, b in best.items():
         top = sweep.where(F.col("split") == split).agg(F.max("f1")).first()[0]
         assert b.f1 == top
+
+
+def test_metrics_stable_across_partitions_and_order(spark):
+    scored = standins.scored_rows(spark, SF001)
+    base = ME.roc_auc(scored, ["split"]).collect(), ME.average_precision(scored, ["split"]).collect()
+    for n in (1, 4, 17):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            shuffled = standins.scored_rows(spark, SF001).repartition(n, "row_key")
+            got = ME.roc_auc(shuffled, ["split"]).collect(), ME.average_precision(shuffled, ["split"]).collect()
+            assert sorted(got[0]) == sorted(base[0]) and sorted(got[1]) == sorted(base[1])
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
