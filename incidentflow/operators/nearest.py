@@ -93,7 +93,11 @@ def _nearest_literal(points, rows, out, lat, lon, distance_col):
             ),
         )
     )
-    cols = {out: best["code"]}
+    # A located point always gets a station; saying so (a non-NULL default
+    # that never applies) lets the optimizer drop the NOT NULL filter it would
+    # infer from a later join on the code and push below the projection,
+    # which would compute every distance twice.
+    cols = {out: F.coalesce(best["code"], F.lit(""))}
     if distance_col:
         cols[distance_col] = best["d"]
     return points.withColumns(cols)
