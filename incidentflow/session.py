@@ -23,6 +23,30 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, shuffle_bytes: int | None = None, partition_bytes: int = 128 * 1024**2) -> dict[str, str]:
+    """Settings for a large cluster, sized from the core count and, when
+    known, the largest expected shuffle.
+
+    The initial shuffle partition count is high enough that each reducer
+    task stays near ``partition_bytes`` (and at least three waves of tasks);
+    AQE then coalesces small partitions toward the same advisory size
+    instead of maximising parallelism, and splits skewed join partitions.
+    """
+    waves = 3 * total_cores
+    by_size = -(-shuffle_bytes // partition_bytes) if shuffle_bytes else 0
+    parts = max(waves, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024**2),
+    }
+
+
 def build_session(
     app_name: str = "incidentflow",
     master: str | None = None,
