@@ -28,20 +28,43 @@ def hash_order(key: str | Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
+def _raw_stratum(df: DataFrame, strata_cols: list[str], label: str) -> Column:
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in strata_cols]
+    return F.concat_ws("__", *parts, F.col(label).cast("string"))
+
+
+def _rare(label: str) -> Column:
+    return F.concat(F.lit("rare__"), F.col(label).cast("string"))
+
+
 def build_strata(df: DataFrame, strata_cols: list[str], label: str, min_count: int = 3, out: str = "stratum") -> DataFrame:
     """``<key>__<label>``; strata with fewer than ``min_count`` rows merge into
     ``rare__<label>``.  A missing key is a stratum of its own (``None``).
     The counts come from an aggregate joined back (partial aggregation, no
     window holding a whole stratum)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in strata_cols]
-    raw = F.concat_ws("__", *parts, F.col(label).cast("string"))
-    with_raw = df.withColumn("__raw", raw)
+    with_raw = df.withColumn("__raw", _raw_stratum(df, strata_cols, label))
     counts = with_raw.groupBy("__raw").agg(F.count(F.lit(1)).alias("__n"))
     joined = with_raw.join(counts, "__raw")
-    stratum = F.when(F.col("__n") < min_count, F.concat(F.lit("rare__"), F.col(label).cast("string"))).otherwise(F.col("__raw"))
+    stratum = F.when(F.col("__n") < min_count, _rare(label)).otherwise(F.col("__raw"))
     return joined.withColumn(out, stratum).drop("__raw", "__n")
 
 
+def _digits_for(n: int, rows_per_bucket: int) -> int:
+    d, cap = 0, rows_per_bucket
+    while n > cap and d < 8:
+        d, cap = d + 1, cap * 16
+    return d
+
+
+def _digits_column(sizes: dict, group: str, rows_per_bucket: int) -> Column:
+    digits = {g: _digits_for(n, rows_per_bucket) for g, n in sizes.items()}
+    digits = {g: d for g, d in digits.items() if d}
+    if not digits:
+        return F.lit(0)
+    lookup = F.create_map(*[F.lit(x) for kv in digits.items() for x in kv])
+    return F.coalesce(F.element_at(lookup, F.col(group)), F.lit(0))
+
+
 def _sub_digits(df: DataFrame, group: str, rows_per_bucket: int, max_groups: int) -> Column:
     """Hex digits of the sub-bucket per group: enough that a sub-bucket holds
     about ``rows_per_bucket`` rows.  The group sizes are one small aggregate,
@@ -50,17 +73,7 @@ def _sub_digits(df: DataFrame, group: str, rows_per_bucket: int, max_groups: int
     sizes = bounded_collect(df.groupBy(group).agg(F.count(F.lit(1)).alias("n")), max_groups)
     if sizes is None:
         return F.lit(SUB_DIGITS)
-    digits = {}
-    for r in sizes:
-        d, cap = 0, rows_per_bucket
-        while r["n"] > cap and d < 8:
-            d, cap = d + 1, cap * 16
-        if d:
-            digits[r[group]] = d
-    if not digits:
-        return F.lit(0)
-    lookup = F.create_map(*[F.lit(x) for kv in digits.items() for x in kv])
-    return F.coalesce(F.element_at(lookup, F.col(group)), F.lit(0))
+    return _digits_column({r[group]: r["n"] for r in sizes}, group, rows_per_bucket)
 
 
 def rank_by_hash(
@@ -68,7 +81,7 @@ def rank_by_hash(
     group: str,
     key: str,
     seed: int = 42,
-    sub_digits: int | None = None,
+    sub_digits: int | Column | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_groups: int = MAX_LITERAL_GROUPS,
 ) -> DataFrame:
@@ -83,7 +96,12 @@ def rank_by_hash(
     the group alone and a stratum holding a third of the rows is spread over
     many tasks.
     """
-    digits = F.lit(sub_digits) if sub_digits is not None else _sub_digits(df, group, rows_per_bucket, max_groups)
+    if isinstance(sub_digits, Column):
+        digits = sub_digits
+    elif sub_digits is not None:
+        digits = F.lit(sub_digits)
+    else:
+        digits = _sub_digits(df, group, rows_per_bucket, max_groups)
     h = df.withColumns({"__h": hash_order(key, seed), "__d": digits})
     h = h.withColumn("__sub", F.expr("substring(__h, 1, __d)")).drop("__d")
     per_sub = h.groupBy(group, "__sub").agg(F.count(F.lit(1)).alias("__subn"))
@@ -110,10 +128,18 @@ def _round_share(n: Column, percent: int) -> Column:
     return F.floor((n * F.lit(percent) + F.lit(50)) / F.lit(100)).cast("long")
 
 
-def assign_split(df: DataFrame, group: str, key: str, seed: int = 42, percents: tuple[int, int, int] = (70, 15, 15), out: str = "split") -> DataFrame:
+def assign_split(
+    df: DataFrame,
+    group: str,
+    key: str,
+    seed: int = 42,
+    percents: tuple[int, int, int] = (70, 15, 15),
+    out: str = "split",
+    sub_digits: int | Column | None = None,
+) -> DataFrame:
     if sum(percents) != 100:
         raise ValueError("percents must add to 100")
-    ranked = rank_by_hash(df, group, key, seed)
+    ranked = rank_by_hash(df, group, key, seed, sub_digits)
     n = F.col("__size")
     train_end = _round_share(n, percents[0])
     val_end = _round_share(n, percents[0] + percents[1])
@@ -137,8 +163,24 @@ def stratified_split(
     ``round(0.70 n)`` go to train, up to ``round(0.85 n)`` to val, the rest
     to test.  ``key`` should identify a row.
     """
-    strata = build_strata(df, strata_cols, label, min_count, out="stratum")
-    return assign_split(strata, "stratum", key, seed, percents, out).drop("stratum")
+    with_raw = df.withColumn("__raw", _raw_stratum(df, strata_cols, label))
+    counts = bounded_collect(
+        with_raw.groupBy("__raw").agg(F.count(F.lit(1)).alias("n"), F.max(F.col(label).cast("string")).alias("y")),
+        MAX_LITERAL_GROUPS,
+    )
+    if counts is None:  # too many strata for a literal: join the counts back
+        strata = build_strata(df, strata_cols, label, min_count, out="stratum")
+        return assign_split(strata, "stratum", key, seed, percents, out).drop("stratum")
+    # one small aggregate gives both the rare strata and every stratum's size
+    rare = [r["__raw"] for r in counts if r["n"] < min_count]
+    sizes: dict[str, int] = {}
+    for r in counts:
+        name = f"rare__{r['y']}" if r["n"] < min_count else r["__raw"]
+        sizes[name] = sizes.get(name, 0) + r["n"]
+    stratum = F.when(F.col("__raw").isin(rare), _rare(label)).otherwise(F.col("__raw")) if rare else F.col("__raw")
+    strata = with_raw.withColumn("stratum", stratum).drop("__raw")
+    digits = _digits_column(sizes, "stratum", ROWS_PER_BUCKET)
+    return assign_split(strata, "stratum", key, seed, percents, out, digits).drop("stratum")
 
 
 def group_split(
