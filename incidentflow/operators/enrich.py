@@ -24,7 +24,6 @@ PERSON_COLUMNS = [
 READING_KEYS = ["data_lectura", "codi_estacio"]
 COORD_COLUMNS = ["latitud_wgs84", "longitud_wgs84"]
 MAX_PIVOT_VALUES = 1000
-MAX_BROADCAST_STATIONS = 1_000_000
 
 
 def event_timestamp(year: str = "nk_any", month: str = "mes_any", day: str = "dia_mes", hour: str = "hora_dia", strict: bool = True):
