@@ -211,7 +211,7 @@ def table_profile(spark, d):
     return profile.table_profile({"accidents": standins.accidents(spark, d)})
 
 
-@register("describe_table")
+@register("describe_table", O.describe_sql("accidents", O.with_ctes("SELECT * FROM s_accidents")))
 def describe_table(spark, d):
     return profile.describe_table(standins.accidents(spark, d), "accidents")
 
@@ -359,7 +359,7 @@ def label_distribution(spark, d):
     )
 
 
-@register("projection_policy")
+@register("projection_policy", O.policy_sql(FE.SELECTION_POLICY, O.with_ctes("SELECT * FROM u_split", O.model_ctes(MT.STANDIN_GROUPINGS))))
 def projection_policy(spark, d):
     return FE.projection_policy(MT.split_rows(spark, d))
 

@@ -412,3 +412,26 @@ def report_sql():
         for n, p, r, f, sup in rows
     ]
     return "\nUNION ALL\n".join(parts)
+
+
+# ---------------------------------------------------------- schema queries
+_TYPE_NAMES = (
+    "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+    "WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+    "WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(column_type) END"
+)
+
+
+def describe_sql(table: str, query: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS ordinal, column_name, "
+        f"{_TYPE_NAMES} AS column_type FROM (DESCRIBE {query})"
+    )
+
+
+def policy_sql(policy: dict[str, list[str]], query: str) -> str:
+    values = ", ".join(f"('{rule}', '{c}')" for rule, cols in policy.items() for c in cols)
+    return (
+        f"SELECT p.rule, p.column_name, d.column_name IS NOT NULL AS present FROM (VALUES {values}) p(rule, column_name) "
+        f"LEFT JOIN (DESCRIBE {query}) d ON d.column_name = p.column_name"
+    )
