@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from incidentflow.session import bounded_collect, materialise
 
-MAX_LITERAL_STATIONS = 4096
+# Above this many stations the per-row cost of the literal scan (one distance
+# per station) exceeds the grid join, whose candidates are the 3x3 cells only.
+MAX_LITERAL_STATIONS = 256
 
 
 def _sq_distance(lat: Column, lon: Column, s_lat: Column, s_lon: Column) -> Column:

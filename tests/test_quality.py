@@ -90,3 +90,20 @@ def test_rules_run_on_a_stream(spark, tmp_dir):
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_dir}/valid").count() == 2
     assert spark.read.parquet(f"{tmp_dir}/rejected").count() == 1
+
+
+def test_stream_dedup_within_watermark(spark, tmp_dir):
+    from incidentflow.streaming.rowwise import checked_readings, readings_stream
+
+    src = f"{tmp_dir}/in2"
+    rows = [("2024-01-01", "X", "TM", 20.0), ("2024-01-01", "X", "TM", 20.0), ("2024-01-01", "X", "TM", 99.0)]
+    spark.createDataFrame(rows, "data_lectura string, codi_estacio string, acronim string, valor double").select(
+        F.to_date("data_lectura").alias("data_lectura"), "codi_estacio", "acronim", "valor"
+    ).write.parquet(src)
+    valid, rejected = checked_readings(readings_stream(spark, src), watermark="2 days")
+    q = (
+        valid.writeStream.format("parquet").option("path", f"{tmp_dir}/v2").option("checkpointLocation", f"{tmp_dir}/c2")
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_dir}/v2").count() == 1
