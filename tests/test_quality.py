@@ -107,3 +107,12 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
     )
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_dir}/v2").count() == 1
+
+
+def test_rule_counts_before_dedup_match_blueprint(spark):
+    """The blueprint's draft applied the rules without de-duplication."""
+    persons = Q.apply_rules(Q.fill_text(standins.persons(spark, SF01)), Q.person_rules()).valid
+    readings = standins.readings(spark, SF01)
+    assert persons.count() == 47_681
+    assert Q.apply_rules(readings, Q.reading_rules()).valid.count() == 6_768
+    assert readings.where(F.col("valor").isNotNull()).count() == 9_756
