@@ -20,6 +20,7 @@ from incidentflow.session import bounded_collect
 SUB_DIGITS = 4
 ROWS_PER_BUCKET = 1_000_000
 MAX_LITERAL_GROUPS = 100_000
+MAX_LITERAL_RARE = 10_000
 SPLIT_NAMES = ("train", "val", "test")
 
 
@@ -168,11 +169,11 @@ def stratified_split(
         with_raw.groupBy("__raw").agg(F.count(F.lit(1)).alias("n"), F.max(F.col(label).cast("string")).alias("y")),
         MAX_LITERAL_GROUPS,
     )
-    if counts is None:  # too many strata for a literal: join the counts back
+    rare = [r["__raw"] for r in counts if r["n"] < min_count] if counts is not None else []
+    if counts is None or len(rare) > MAX_LITERAL_RARE:  # too many for a literal: join the counts back
         strata = build_strata(df, strata_cols, label, min_count, out="stratum")
         return assign_split(strata, "stratum", key, seed, percents, out).drop("stratum")
     # one small aggregate gives both the rare strata and every stratum's size
-    rare = [r["__raw"] for r in counts if r["n"] < min_count]
     sizes: dict[str, int] = {}
     for r in counts:
         name = f"rare__{r['y']}" if r["n"] < min_count else r["__raw"]
