@@ -202,20 +202,62 @@ def numeric_summary(df: DataFrame, table_name: str, probs: tuple[float, ...] = (
     )
 
 
+def _one_pass_stats(df: DataFrame, table_name: str, digits: int = ROUND) -> DataFrame:
+    """Rows, NULL count / share and numeric statistics of every column from
+    a single aggregate, as one row per column."""
+    cols = df.columns
+    numeric = set(numeric_columns(df))
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(cols):
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__z{i}"))
+        if c in numeric:
+            x = F.col(c).cast("double")
+            aggs += [F.min(x).alias(f"__mn{i}"), F.max(x).alias(f"__mx{i}"), F.avg(x).alias(f"__av{i}"), F.stddev_samp(x).alias(f"__sd{i}")]
+    none = F.lit(None).cast("double")
+    rows = F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.col(f"__z{i}").alias("null_count"),
+                    (F.col(f"__mn{i}") if c in numeric else none).alias("min_val"),
+                    (F.col(f"__mx{i}") if c in numeric else none).alias("max_val"),
+                    (F.round(F.col(f"__av{i}"), digits) if c in numeric else none).alias("avg_val"),
+                    (F.round(F.col(f"__sd{i}"), digits) if c in numeric else none).alias("std_val"),
+                )
+                for i, c in enumerate(cols)
+            ]
+        )
+    )
+    pct = F.when(F.col("__n") > 0, F.col("null_count").cast("double") / F.col("__n") * 100).otherwise(F.lit(0.0))
+    return df.agg(*aggs).select("__n", rows).select(
+        F.lit(table_name).alias("table_name"),
+        "column_name",
+        F.col("__n").alias("row_count"),
+        "null_count",
+        pct.alias("null_pct"),
+        "min_val",
+        "max_val",
+        "avg_val",
+        "std_val",
+    )
+
+
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Per (table, column): type, rows, NULLs, distinct count and numeric
-    statistics, one row each; the union of the per-table profiles."""
+    statistics, one row each.  Two passes per table: one aggregate for
+    rows, NULLs and numeric statistics, one for the distinct counts."""
     frames = []
     for name, df in tables.items():
         types = describe_table(df, name).select("table_name", "column_name", "column_type", "ordinal")
-        shape = table_shape(df, name).select("table_name", "row_count")
-        nulls = null_profile(df, name)
+        stats = _one_pass_stats(df, name)
         dist = distinct_profile(df, name)
-        nums = numeric_profile(df, name)
         frames.append(
-            types.join(shape, "table_name")
-            .join(nulls, ["table_name", "column_name"])
+            types.join(stats, ["table_name", "column_name"])
             .join(dist, ["table_name", "column_name"])
-            .join(nums, ["table_name", "column_name"], "left")
+            .select(
+                "table_name", "column_name", "column_type", "ordinal", "row_count", "null_count", "null_pct",
+                "n_distinct", "min_val", "max_val", "avg_val", "std_val",
+            )
         )
     return _union(frames)
