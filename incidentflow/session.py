@@ -67,6 +67,26 @@ def build_session(
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``incidentflow`` importable in the Python workers of this
+    context (needed by the ``mapInPandas`` step): the package is zipped once
+    on the driver and handed to ``SparkContext.addPyFile``, which serves it
+    to every executor."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="incidentflow-py-")
+    archive = shutil.make_archive(os.path.join(out, "incidentflow"), "zip", os.path.dirname(pkg_dir), "incidentflow")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
