@@ -120,7 +120,7 @@ def table_name_from_path(path: str) -> str:
     """One naming rule for every zone: file stem, lower case, leading year kept
     as a prefix word, anything outside ``[a-z0-9_]`` folded to ``_``.
 
-    ``../x/2025_accidents_gu_bcn.csv`` -> ``t2025_accidents_gu_bcn``.
+    ``../in/2025_Accidents-City.csv`` -> ``t2025_accidents_city``.
     """
     stem = os.path.splitext(os.path.basename(path.rstrip("/")))[0].lower()
     stem = re.sub(r"[^a-z0-9_]+", "_", stem).strip("_")

@@ -8,7 +8,7 @@ from incidentflow.operators import enrich
 from incidentflow.schemas import READINGS, table_name_from_path
 from incidentflow.sources import csv, jdbc, resources, zones
 
-# The four stations of the shipped catalogue and their
+# The four stations of the station catalogue and their
 # coordinates (code, latitude, longitude).
 STATIONS = [("D5", 41.41864, 2.12379), ("X2", 41.38943, 2.18847), ("X4", 41.3839, 2.16775), ("X8", 41.37919, 2.1054)]
 HEADER = (
@@ -28,7 +28,7 @@ def _catalogue(path):
 
 
 def test_catalogue_csv_schema_and_coords(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "2020_MeteoCat_Estacions.csv")
+    path = os.path.join(tmp_dir, "2020_station_catalogue.csv")
     _catalogue(path)
     cat = csv.read_station_catalogue(spark, path)
     assert cat.count() == 12
@@ -37,7 +37,7 @@ def test_catalogue_csv_schema_and_coords(spark, tmp_dir):
     coords = {r.codi_estacio: (r.latitud_wgs84, r.longitud_wgs84) for r in enrich.station_coords(cat).collect()}
     assert coords == {c: (a, b) for c, a, b in STATIONS}
     named = csv.with_source_table(cat).select("source_table").distinct().collect()
-    assert [r.source_table for r in named] == [table_name_from_path(path)] == ["t2020_meteocat_estacions"]
+    assert [r.source_table for r in named] == [table_name_from_path(path)] == ["t2020_station_catalogue"]
 
 
 def test_zone_write_list_copy_and_typed_save(spark, tmp_dir):
