@@ -73,7 +73,7 @@ def nearest_station(
         return _nearest_literal(located, rows, out, lat, lon, distance_col)
     if strategy == "grid":
         if point_key is None:
-            raise ValueError("the grid strategy needs a unique point_key")
+            raise ValueError("the grid strategy needs a point_key")
         return _nearest_grid(located, st, out, lat, lon, distance_col, point_key)
     raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -136,13 +136,15 @@ def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels
         )
         best = (
             cells.join(spread, ["__cx", "__cy"])
-            .groupBy("__pk")
+            .groupBy("__pk", "__plat", "__plon")
             .agg(F.min(F.struct(_sq_distance(F.col("__plat"), F.col("__plon"), F.col("__slat"), F.col("__slon")).alias("d"), F.col("__code").alias("code"))).alias("__b"))
         )
         # strictly inside the cell size: exact whatever the rounding of floor()
         done = materialise(best.where(F.col("__b.d") < (size * 0.999) ** 2), f"nearest_level{level}")
         resolved.append(done)
-        pending = materialise(pending.join(done.select("__pk"), "__pk", "left_anti"), f"nearest_pending{level}")
+        pending = materialise(
+            pending.join(done.select("__pk", "__plat", "__plon"), ["__pk", "__plat", "__plon"], "left_anti"), f"nearest_pending{level}"
+        )
         # once the cell exceeds every possible distance (< 404 degrees) the
         # 3x3 block holds every station, so the loop always ends
         if pending.isEmpty():
@@ -150,7 +152,9 @@ def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels
     found = resolved[0]
     for extra in resolved[1:]:
         found = found.unionByName(extra)
-    cols = [F.col("__pk"), F.col("__b.code").alias(out)]
+    cols = [F.col("__pk"), F.col("__plat"), F.col("__plon"), F.col("__b.code").alias(out)]
     if distance_col:
         cols.append(F.col("__b.d").alias(distance_col))
-    return points.join(found.select(*cols), points[point_key] == F.col("__pk")).drop("__pk")
+    f = found.select(*cols)
+    cond = (points[point_key] == f["__pk"]) & (points[lat] == f["__plat"]) & (points[lon] == f["__plon"])
+    return points.join(f, cond).drop("__pk", "__plat", "__plon")

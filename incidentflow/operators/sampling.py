@@ -26,16 +26,21 @@ SPLIT_NAMES = ("train", "val", "test")
 
 def hash_order(key: str | Column, seed: int = 42) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit("None"))))
+
+
+def _text(c: str) -> Column:
+    """A value as text, a missing one as ``None`` (never NULL, so strata and
+    fold groups always join)."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("None"))
 
 
 def _raw_stratum(df: DataFrame, strata_cols: list[str], label: str) -> Column:
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in strata_cols]
-    return F.concat_ws("__", *parts, F.col(label).cast("string"))
+    return F.concat_ws("__", *[_text(c) for c in strata_cols], _text(label))
 
 
 def _rare(label: str) -> Column:
-    return F.concat(F.lit("rare__"), F.col(label).cast("string"))
+    return F.concat(F.lit("rare__"), _text(label))
 
 
 def build_strata(df: DataFrame, strata_cols: list[str], label: str, min_count: int = 3, out: str = "stratum") -> DataFrame:
@@ -166,7 +171,7 @@ def stratified_split(
     """
     with_raw = df.withColumn("__raw", _raw_stratum(df, strata_cols, label))
     counts = bounded_collect(
-        with_raw.groupBy("__raw").agg(F.count(F.lit(1)).alias("n"), F.max(F.col(label).cast("string")).alias("y")),
+        with_raw.groupBy("__raw").agg(F.count(F.lit(1)).alias("n"), F.max(_text(label)).alias("y")),
         MAX_LITERAL_GROUPS,
     )
     rare = [r["__raw"] for r in counts if r["n"] < min_count] if counts is not None else []
@@ -202,7 +207,9 @@ def group_split(
         *[F.min(c).alias(c) for c in strata_cols], F.max(F.col(label)).alias(label)
     )
     split = stratified_split(groups, group_key, strata_cols, label, seed, percents, min_count, out)
-    return df.join(split.select(group_key, out), group_key)
+    s = split.select(F.col(group_key).alias("__gk"), out)
+    # null-safe: rows without a group key form one group and are kept
+    return df.join(s, df[group_key].eqNullSafe(s["__gk"])).drop("__gk")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -214,7 +221,7 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 3, seed: int = 42, out: str = "fold") -> DataFrame:
     """Shuffled stratified k folds: inside each label, rows in hash order are
     dealt round-robin, so fold sizes per label differ by at most one."""
-    ranked = rank_by_hash(df.withColumn("__label_group", F.col(label).cast("string")), "__label_group", key, seed)
+    ranked = rank_by_hash(df.withColumn("__label_group", _text(label)), "__label_group", key, seed)
     return ranked.withColumn(out, ((F.col("__rank") - 1) % k).cast("int")).drop("__rank", "__size", "__label_group")
 
 
@@ -222,5 +229,5 @@ def group_folds(df: DataFrame, group_key: str, label: str, k: int = 3, seed: int
     """Stratified folds of whole groups: every row of a group shares a fold
     (a group's label is its maximum)."""
     groups = df.groupBy(group_key).agg(F.max(F.col(label)).alias(label))
-    folds = stratified_folds(groups, group_key, label, k, seed, out).select(group_key, out)
-    return df.join(folds, group_key)
+    folds = stratified_folds(groups, group_key, label, k, seed, out).select(F.col(group_key).alias("__gk"), out)
+    return df.join(folds, df[group_key].eqNullSafe(folds["__gk"])).drop("__gk")

@@ -84,3 +84,12 @@ def test_unified_draft_counts(spark):
 def test_station_coords_from_catalogue(spark):
     coords = enrich.station_coords(standins.station_catalogue(spark, SF01), lat="LATITUD", lon="LONGITUD")
     assert coords.count() == 5 and coords.where(F.col("latitud_wgs84").isNull()).count() == 0
+
+
+def test_grid_with_repeated_point_keys(spark):
+    _, stations, _, s = _random_case(spark, 5, 20, 5)
+    pts = [(1, 41.31, 2.01), (1, 41.49, 2.29), (2, 41.4, 2.15)]
+    p = spark.createDataFrame(pts, "pid long, latitud_wgs84 double, longitud_wgs84 double")
+    got = sorted((r.pid, r.latitud_wgs84, r.st) for r in nearest_station(p, s, out="st", strategy="grid", point_key="pid").collect())
+    want = sorted((pid, lat, _brute([(0, lat, lon)], stations)[0]) for pid, lat, lon in pts)
+    assert got == want

@@ -67,3 +67,11 @@ def test_hash_sample_is_repeatable(spark):
     a = [r.numero_expedient for r in sampling.hash_sample(acc, "numero_expedient", 50).collect()]
     b = [r.numero_expedient for r in sampling.hash_sample(acc.repartition(7), "numero_expedient", 50).collect()]
     assert a == b and len(a) == 50
+
+
+def test_null_label_and_group_key_rows_are_kept(spark):
+    rows = [(None if i % 50 == 0 else i // 2, i, None if i % 7 == 0 else i % 2, f"b{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "grp long, rid long, label int, barri string")
+    assert sampling.stratified_split(df, "rid", ["barri"], "label").count() == 300
+    assert sampling.group_split(df, "grp", ["barri"], "label").count() == 300
+    assert sampling.stratified_folds(df, "rid", "label").count() == 300
