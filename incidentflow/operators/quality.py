@@ -106,6 +106,9 @@ def apply_rules(df: DataFrame, rules: list[Rule], on_unknown: str = "drop") -> R
     """
     if on_unknown not in ("drop", "keep"):
         raise ValueError("on_unknown must be 'drop' or 'keep'")
+    if not rules:
+        empty = F.array().cast("array<string>")
+        return RuleResult(df, df.where(F.lit(False)).withColumns({"violated_rules": empty, "unknown_rules": empty}))
     verdict = any_violation(rules)
     keep = ~verdict if on_unknown == "drop" else ~F.coalesce(verdict, F.lit(False))
     valid = df.where(keep)
