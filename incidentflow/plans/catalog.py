@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.operators import enrich, quality
+from incidentflow.functions import labels as L
+from incidentflow.functions.mapping import map_or_keep as _map_or_keep
+from incidentflow.ml import contributions as CO
+from incidentflow.ml import features as FE
+from incidentflow.ml import metrics as ME
+from incidentflow.ml import models as MO
+from incidentflow.operators import enrich, profile, quality, sampling
+from incidentflow.plans import model_table as MT
 from incidentflow.plans import oracle as O
 from incidentflow.plans import standins, zones
+from incidentflow.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,8 +106,6 @@ def surrogate_key(spark, d):
     """Row id for a table without a usable natural key: a monotonically
     increasing id, made stable by writing the table once (a recomputed id
     need not match the first one)."""
-    from incidentflow.session import materialise
-
     acc = zones.trusted_accidents(spark, d)
     return materialise(acc.withColumn("accident_row_id", F.monotonically_increasing_id()), "accidents_with_id")
 
@@ -173,7 +179,6 @@ def quarantine_counts(spark, d):
 
 
 # --------------------------------------------------------------- 3. profile
-from incidentflow.operators import profile  # noqa: E402
 
 
 @register("null_profile", O.null_profile_sql())
@@ -232,11 +237,6 @@ def resource_catalogue(spark, d):
 
 
 # ---------------------------------------------------- 4. labels and splits
-from incidentflow.functions import labels as L  # noqa: E402
-from incidentflow.functions.mapping import map_or_keep as _map_or_keep  # noqa: E402
-from incidentflow.ml import features as FE  # noqa: E402
-from incidentflow.operators import sampling  # noqa: E402
-from incidentflow.plans import model_table as MT  # noqa: E402
 
 _MODEL = O.model_ctes(MT.STANDIN_GROUPINGS)
 
@@ -441,7 +441,6 @@ def class_weight(spark, d):
 
 
 # -------------------------------------------------------------- 6. metrics
-from incidentflow.ml import metrics as ME  # noqa: E402
 
 _MET = {**O.SCORED}
 
@@ -531,9 +530,6 @@ def metric_summary(spark, d):
 
 
 # ---------------------------------------------------------------- 7. models
-from incidentflow.ml import contributions as CO  # noqa: E402
-from incidentflow.ml import models as MO  # noqa: E402
-from incidentflow.session import materialise  # noqa: E402
 
 # Budget of the registered model queries.  The library defaults are the
 # reference's settings (400 trees; 20 draws x 3 folds of 200-800 trees); a

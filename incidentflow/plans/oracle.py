@@ -78,7 +78,7 @@ def _or(rules):
     return " OR ".join(f"({r})" for _, r in rules)
 
 
-def _pivot_cols(prefix=""):
+def _pivot_cols():
     return ",\n       ".join(
         f"MAX(CASE WHEN upper(acronim) = '{a}' THEN valor END) AS \"{a}\"" for a in STANDIN_ACRONYMS
     )
