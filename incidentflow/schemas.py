@@ -120,9 +120,14 @@ def table_name_from_path(path: str) -> str:
     """One naming rule for every zone: file stem, lower case, leading year kept
     as a prefix word, anything outside ``[a-z0-9_]`` folded to ``_``.
 
-    ``../in/2025_Accidents-City.csv`` -> ``t2025_accidents_city``.
+    ``../in/2025_Accidents-City.csv`` -> ``t2025_accidents_city``; a glob
+    (``../accidents/*.csv``) is named after its folder.
     """
-    stem = os.path.splitext(os.path.basename(path.rstrip("/")))[0].lower()
+    trimmed = path.rstrip("/")
+    base = os.path.basename(trimmed)
+    if any(ch in base for ch in "*?["):
+        base = os.path.basename(os.path.dirname(trimmed))
+    stem = os.path.splitext(base)[0].lower()
     stem = re.sub(r"[^a-z0-9_]+", "_", stem).strip("_")
     if stem[:1].isdigit():
         stem = "t" + stem
