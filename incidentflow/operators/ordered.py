@@ -4,37 +4,20 @@ Rows (one per distinct key value inside a partition, e.g. one per distinct
 score of a split) are cut into buckets by approximate quantiles of the key,
 computed per partition by ``percentile_approx`` (a bounded sketch per group).
 Bucket totals are a tiny table whose prefix sums give each bucket's offset;
-inside a bucket an ordinary window adds the running part.  So no task ever
+inside a bucket an ordinary window adds the running part.  Boundaries and
+offsets are joined in the same job (not read to the driver first), so the
+input is computed once and its exchanges are reused.  So no task ever
 holds more than about ``1 / n_buckets`` of a partition's keys, even when one
 partition (a 70 % train split, one numeric column) holds most of the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from incidentflow.session import bounded_collect
 
 DEFAULT_BUCKETS = 64
 DEFAULT_ACCURACY = 10_000
-# Up to this many groups the bucket boundaries and offsets (a few numbers
-# per group) are read once and put in the plan as literal maps, so the rows
-# never join them; beyond it they are joined.
-MAX_LITERAL_GROUPS = 10_000
-
-
-def _group_key(parts: list[str]) -> Column:
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(p).cast("string"), F.lit("\u0000")) for p in parts])
-
-
-def _row_key(row, parts: list[str]) -> str:
-    return "\u0001".join("\u0000" if row[p] is None else _text(row[p]) for p in parts)
-
-
-def _text(v) -> str:
-    return str(v)
 
 
 def running_totals(
@@ -59,15 +42,9 @@ def running_totals(
         F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy).alias("__bounds")
     )
     key = F.col(order_col).cast("double")
-    literal = all(isinstance(t, (T.StringType, T.IntegralType)) for t in (df.schema[p].dataType for p in parts))
-    bound_rows = bounded_collect(bounds, MAX_LITERAL_GROUPS) if literal else None
-    if bound_rows is not None:
-        lookup = F.create_map(*[x for r in bound_rows for x in (F.lit(_row_key(r, parts)), F.lit(r["__bounds"]))])
-        bucketed = df.withColumn("__bucket", F.size(F.filter(F.element_at(lookup, _group_key(parts)), lambda b: b < key)))
-    else:
-        bucketed = df.join(bounds, parts).withColumn(
-            "__bucket", F.size(F.filter(F.col("__bounds"), lambda b: b < key))
-        ).drop("__bounds")
+    bucketed = df.join(bounds, parts).withColumn(
+        "__bucket", F.size(F.filter(F.col("__bounds"), lambda b: b < key))
+    ).drop("__bounds")
     totals = bucketed.groupBy(*parts, "__bucket").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
     border = F.col("__bucket").desc() if descending else F.col("__bucket").asc()
     before = Window.partitionBy(*parts).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
@@ -76,25 +53,9 @@ def running_totals(
     )
     korder = F.col(order_col).desc() if descending else F.col(order_col).asc()
     upto = Window.partitionBy(*parts, "__bucket").orderBy(korder).rowsBetween(Window.unboundedPreceding, 0)
-    offset_rows = bounded_collect(offsets, MAX_LITERAL_GROUPS * n_buckets) if bound_rows is not None else None
-    if offset_rows is not None:
-        types = {v: offsets.schema[f"__o_{v}"].dataType for v in value_cols}
-        omap = F.create_map(
-            *[
-                x
-                for r in offset_rows
-                for x in (
-                    F.lit(_row_key(r, parts) + "\u0002" + str(r["__bucket"])),
-                    F.struct(*[F.lit(r[f"__o_{v}"]).cast(types[v]).alias(v) for v in value_cols]),
-                )
-            ]
-        )
-        okey = F.concat(_group_key(parts), F.lit("\u0002"), F.col("__bucket").cast("string"))
-        got = F.element_at(omap, okey)
-        with_off = bucketed.withColumns({f"__o_{v}": F.coalesce(got[v], F.lit(0).cast(types[v])) for v in value_cols})
-    else:
-        with_off = bucketed.join(offsets, parts + ["__bucket"])
-    out = with_off.withColumns({f"{prefix}{v}": F.col(f"__o_{v}") + F.sum(v).over(upto) for v in value_cols})
+    out = bucketed.join(offsets, parts + ["__bucket"]).withColumns(
+        {f"{prefix}{v}": F.col(f"__o_{v}") + F.sum(v).over(upto) for v in value_cols}
+    )
     drop = ["__bucket"] + [f"__o_{v}" for v in value_cols]
     if not partition_cols:
         drop.append("__all")

@@ -105,13 +105,8 @@ def test_metrics_stable_across_partitions_and_order(spark):
             spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_running_totals_of_doubles_and_join_fallback(spark, monkeypatch):
-    from incidentflow.operators import ordered
-
+def test_running_totals_of_doubles(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("p"), F.col("id").cast("double").alias("k"), (F.col("id") * 0.25).alias("v"))
     want = df.withColumn("cum_v", F.sum("v").over(Window.partitionBy("p").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
     got = running_totals(df, ["p"], "k", ["v"], n_buckets=8)
     assert got.select("p", "k", "cum_v").exceptAll(want.select("p", "k", "cum_v")).count() == 0
-    monkeypatch.setattr(ordered, "MAX_LITERAL_GROUPS", 0)
-    joined = running_totals(df, ["p"], "k", ["v"], n_buckets=8)
-    assert joined.select("p", "k", "cum_v").exceptAll(want.select("p", "k", "cum_v")).count() == 0
