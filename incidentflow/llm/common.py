@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, most_bytes: int) ->
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(batch.column(text_col)).to_pylist()], dtype=np.int64)
+        sizes = np.array([0 if n is None else n for n in pc.binary_length(batch.column(text_col)).to_pylist()], dtype=np.int64)
         group = (np.cumsum(sizes) - sizes) // most_bytes
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:]):
