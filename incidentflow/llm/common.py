@@ -49,6 +49,26 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+class HashTable:
+    """Which entry of a table of distinct hashes each hash is (-1: none); a
+    bit for each value of the high bits answers most of them."""
+
+    def __init__(self, keys: np.ndarray, bits: int = 20):
+        self.order = np.argsort(keys)
+        self.keys, self.shift = keys[self.order], np.uint64(64 - bits)
+        self.mask = np.zeros(1 << bits, dtype=bool)
+        self.mask[(keys >> self.shift).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a known hash stands, and its entry."""
+        at = np.flatnonzero(self.mask[(hashes >> self.shift).astype(np.int64)])
+        if not len(self.keys):
+            return at, at
+        k = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        same = self.keys[k] == hashes[at]
+        return at[same], self.order[k[same]]
+
+
 # ---------------------------------------------------------------- word arrays
 #: 64-bit values of the word hash: a polynomial over random byte values, modulo 2**64.
 _SEED = np.random.default_rng(20_231)
@@ -116,10 +136,11 @@ class Words:
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         self.start, self.end = edge[0::2], edge[1::2]
         with np.errstate(over="ignore"):
-            total = np.empty(len(data) + 1, dtype=np.uint64)
-            total[0] = 0
-            np.cumsum(_BYTE[data] * _power(_ODD, len(data)), out=total[1:])
-            self.hash = mix((total[self.end] - total[self.start]) * _power(_ODD_INV, len(data))[self.start])
+            self.total = np.empty(len(data) + 1, dtype=np.uint64)
+            self.total[0] = 0
+            np.cumsum(_BYTE[data] * _power(_ODD, len(data)), out=self.total[1:])
+            self.shift = _power(_ODD_INV, len(data))[self.start]
+            self.hash = mix((self.total[self.end] - self.total[self.start]) * self.shift)
         # text d lies between its break before and its break after
         breaks = np.concatenate([[0], ends[1:] + np.arange(1, self.n_docs + 1)])
         self.first = np.searchsorted(self.start, breaks)
@@ -137,6 +158,13 @@ class Words:
         whole = np.arange(n) + k <= self.first[self.doc + 1] if n else np.zeros(0, bool)
         return mix(out), whole
 
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words of more than ``n`` bytes, and the hashes of their first ``n``."""
+        long = np.flatnonzero(self.end - self.start > n)
+        at = self.start[long]
+        with np.errstate(over="ignore"):
+            return long, mix((self.total[at + n] - self.total[at]) * self.shift[long])
+
     def text(self, a: int, b: int) -> bytes:
         """Words ``a`` to ``b`` joined by one space."""
         return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.start[a:b].tolist(), self.end[a:b].tolist()))

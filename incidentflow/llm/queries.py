@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, token_counts
-from incidentflow.llm.common import read
+from incidentflow.llm import byte_bpe, decontaminate, token_counts, toxicity
+from incidentflow.llm.common import crc_mod, read
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +33,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), usable=~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_token_counts": op9_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
