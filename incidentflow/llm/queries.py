@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, token_counts, toxicity
+from incidentflow.llm import byte_bpe, decontaminate, substring_dedup, token_counts, toxicity
 from incidentflow.llm.common import crc_mod, read
 
 
@@ -29,6 +29,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_spans(read(spark, sf_dir, "documents")).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,8 +46,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+#: Sentences numbered from 1; runs of two; every occurrence but the first covers
+#: its sentences; covered stretches of 25 words or more are cut.
+OP8_SQL = r"""
+WITH split AS (
+  SELECT doc_id, unnest(s) AS s, generate_subscripts(s, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+') AS s FROM documents)),
+runs AS (
+  SELECT *, trim(s, E' \t\n\r') || E'\n' || lead(trim(s, E' \t\n\r')) OVER w AS run FROM split WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (
+  SELECT doc_id, pos, run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1 AS again FROM runs),
+covered AS (
+  SELECT split.*, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY pos), false) AS hit
+  FROM split JOIN later USING (doc_id, pos)),
+stretch AS (
+  SELECT *, pos - row_number() OVER (PARTITION BY doc_id, hit ORDER BY pos) AS g FROM covered),
+sized AS (
+  SELECT *, hit AND sum(len(regexp_extract_all(s, '[^ \t\n\r]+'))) OVER (PARTITION BY doc_id, hit, g) >= 25 AS gone FROM stretch)
+SELECT d.doc_id, count(pos) AS n_sentences, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(s, '' ORDER BY pos) FILTER (NOT gone), '') AS text
+FROM documents d LEFT JOIN sized USING (doc_id) GROUP BY d.doc_id
+"""
+
+SQL: dict[str, str] = {"op8_substring_dedup": OP8_SQL}
