@@ -168,3 +168,21 @@ class Words:
     def text(self, a: int, b: int) -> bytes:
         """Words ``a`` to ``b`` joined by one space."""
         return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.start[a:b].tolist(), self.end[a:b].tolist()))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables that hold whole groups, of batches sorted by ``key``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        at = int(np.searchsorted(keys, keys[-1]))  # the last group may go on
+        if at or (held and held[-1].column(key)[-1].as_py() != keys[-1]):
+            if at:
+                held.append(batch.slice(0, at))
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)

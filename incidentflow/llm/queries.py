@@ -9,10 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, substring_dedup, token_counts, toxicity
+from incidentflow.llm import byte_bpe, decontaminate, ngram_join, substring_dedup, token_counts, toxicity
 from incidentflow.llm.common import crc_mod, read
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -44,6 +48,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_join": op2_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_substring_dedup": op8_substring_dedup,
