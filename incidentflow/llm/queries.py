@@ -9,9 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, ngram_join, substring_dedup, token_counts, toxicity
+from incidentflow.llm import byte_bpe, decontaminate, mtree, ngram_join, substring_dedup, token_counts, toxicity, url_filter
 from incidentflow.llm.common import crc_mod, read
 
+#: The rules of the URL filter's query.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
@@ -33,6 +40,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = mtree.integer_vectors(read(spark, sf_dir, "embeddings"))
+    return mtree.top_k(vectors, vectors.where("id % 100 = 0"), k=10)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_spans(read(spark, sf_dir, "documents")).select("doc_id", "n_sentences", "n_removed", "text")
 
@@ -48,9 +60,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_ngram_join": op2_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_mtree_search": op7_mtree_search,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
@@ -78,4 +92,16 @@ SELECT d.doc_id, count(pos) AS n_sentences, count(*) FILTER (gone) AS n_removed,
 FROM documents d LEFT JOIN sized USING (doc_id) GROUP BY d.doc_id
 """
 
-SQL: dict[str, str] = {"op8_substring_dedup": OP8_SQL}
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+SQL: dict[str, str] = {"op7_mtree_search": OP7_SQL, "op8_substring_dedup": OP8_SQL}
