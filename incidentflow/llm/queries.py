@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, mtree, ngram_join, substring_dedup, token_counts, toxicity, url_filter
+from incidentflow.llm import byte_bpe, decontaminate, mtree, ngram_join, substring_dedup, token_counts, toxicity, transcripts, url_filter
 from incidentflow.llm.common import crc_mod, read
 
 #: The rules of the URL filter's query.
@@ -40,6 +40,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recovered role of every turn and its canonical rendering; the model
+    learns from conversations whose crc32(conv_id) mod 5 is not 0."""
+    rows = transcripts.turns(read(spark, sf_dir, "conversations"))
+    held_out = crc_mod(F.col("conv_id"), 5) == 0
+    parsed = transcripts.parse(rows, transcripts.fit(rows, usable=~held_out))
+    return parsed.select("conv_id", "turn", "role", "rendered", held_out.alias("held_out"), (F.col("role") == F.col("given")).alias("as_given"))
+
+
 def op7_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = mtree.integer_vectors(read(spark, sf_dir, "embeddings"))
     return mtree.top_k(vectors, vectors.where("id % 100 = 0"), k=10)
@@ -64,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_chat_format": op6_chat_format,
     "op7_mtree_search": op7_mtree_search,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
