@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, mtree, ngram_join, substring_dedup, token_counts, toxicity, transcripts, url_filter
+from incidentflow.llm import byte_bpe, decontaminate, gru_lm, mtree, ngram_join, substring_dedup, token_counts, toxicity, transcripts, url_filter
 from incidentflow.llm.common import crc_mod, read
 
 #: The rules of the URL filter's query.
@@ -24,6 +24,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
 
 
+def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(read(spark, sf_dir, "documents"), train=crc_mod(F.col("doc_id"), 5) != 1)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -71,6 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_join": op2_ngram_join,
+    "op3_gru_lm": op3_gru_lm,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_chat_format": op6_chat_format,
