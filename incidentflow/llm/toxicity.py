@@ -279,7 +279,8 @@ def fit(
     if share < 1:
         chosen = F.pmod(F.xxhash64(common.ID), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
         own, texts = own.where(chosen), texts.where(chosen)
-    rows = texts.join(own, common.ID).groupBy(common.TEXT).agg(F.max("toxic").alias("toxic"))
+    # about ``most_rows`` ids and labels at most: small enough for every task
+    rows = texts.join(F.broadcast(own), common.ID).groupBy(common.TEXT).agg(F.max("toxic").alias("toxic"))
     rows = materialise(rows.select(common.TEXT, "toxic"), "toxicity-rows")
     n_rows, n_bad = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < n_bad < n_rows:
