@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -97,6 +98,8 @@ def vocabulary(counts: DataFrame, n_words: int, n_tails: int, most_head: int) ->
     near = counts.where((F.col("c") >= F.lit(least)) | (F.col("suffix") == -1)).where(F.floor(F.log2(F.col("c").cast("double")) * 8) >= math.floor(math.log2(least) * 8 + 1e-9))
     head = near.toPandas()
     end = counts.where("suffix = -1").toPandas()
+    if end.empty:  # nothing to learn from: the end alone, never seen
+        end = pd.DataFrame({"h": [END.view(np.int64)], "suffix": [-1], "c": [0]})
     head = head[head["suffix"] != -1].sort_values(["c", "h"], ascending=[False, True])
     hashes = np.append(end["h"].to_numpy(), head["h"].to_numpy()).view(np.uint64)
     c = np.append(end["c"].to_numpy(), head["c"].to_numpy()).astype(np.int64)
@@ -438,8 +441,7 @@ def score(
     Tokens are the words between ASCII white space, A-Z lower-cased, then one
     end.  A null or empty text is the end alone.  Null ids count as the
     condition says (null: not trained on); repeated rows are trained on and
-    scored as often as they occur; without any training row both scores are the
-    unigram model's with no counts, 0.  Counts of words too rare to be
+    scored as often as they occur; without any training row both scores are 0.  Counts of words too rare to be
     broadcast are joined to the documents that hold them.
     """
     rows = common.texts(df, id_col, text_col)
@@ -488,12 +490,13 @@ def score(
     )
     scale = math.log10(vocab.total + 0.5 * (vocab.distinct + 1))
     more = F.coalesce("more", F.lit(0.0))
+    base = (F.col("base") + more) / math.log(10) - F.col("n_tokens") * scale
     return scored.join(sums, "uid", "left").select(
         common.ID,
         (~F.coalesce(train, F.lit(False))).alias("held_out"),
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(vocab.total).cast("long").alias("train_tokens"),
-        ((F.col("base") + more) / math.log(10) - F.col("n_tokens") * scale).alias("base_score"),
-        ((F.col("net") + more) / math.log(10)).alias("score"),
+        base.alias("base_score"),
+        ((F.col("net") + more) / math.log(10) if vocab.total else base).alias("score"),
     )

@@ -61,8 +61,8 @@ def _seen(kind: int, name: str) -> Transducer:
 
 
 def _negation(reach: int = 3) -> Transducer:
-    """Says 'negated' if an insult or threat stands at most ``reach`` words
-    behind a negation, and none outside such reach."""
+    """Says 'negated' if the clause's first insult or threat stands at most
+    ``reach`` words behind a negation."""
     bad, negated = reach + 1, reach + 2
     rows = []
     for left in range(reach + 1):  # words that the last negation still reaches
