@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentflow.llm import common
+from incidentflow.session import materialise
 
 #: A text is the concatenation of its sentences: each ends with all the marks that follow it.
 SENTENCE = r"[^.!?\n]+[.!?\n]*|[.!?\n]+"
@@ -85,6 +86,8 @@ def dedup_spans(df: DataFrame, run: int = 2, min_words: int = 25, id_col: str =
     own = own.where("doc IS NOT NULL AND text IS NOT NULL")
     spans = common.per_task(own, _spans(run), "h1 long, h2 long, doc long, digest long, pos int").withColumn("place", F.expr(PLACE))
     repeated = spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n")
+    # written once, so that both sides of the join are plain shuffles, of which Spark splits a hot run's part
+    repeated = materialise(repeated, "repeated-runs")
     later = spans.join(repeated, ["h1", "h2"]).where("place <> first")
     marks = later.groupBy("doc", "digest").agg(F.collect_set("pos").alias("_positions"))
     rest = [c for c in df.columns if c not in ("n_sentences", "n_removed")]
