@@ -32,7 +32,12 @@ _XOR = _RANDOM.integers(1, 2**63, size=SIGNATURE, dtype=np.uint64)
 _TIMES = _RANDOM.integers(1, 2**63, size=SIGNATURE, dtype=np.uint64) | np.uint64(1)
 #: Buckets of up to so many sets are compared as they are; larger ones are
 #: split, and past the last level dealt out in pairs of blocks.
-SMALL, DEPTH = 256, 6
+SMALL, DEPTH = 1024, 4
+#: Runs after which what has met is joined: later runs only compare buckets
+#: that still hold sets of different groups.
+FIRST_RUNS = 3
+#: Candidate groups of up to so many sets are verified as one comparison.
+WHOLE = 256
 
 
 def runs_for(recall: float, similarity: float, depth: int = 3) -> int:
@@ -83,14 +88,14 @@ def fingerprint(value: np.ndarray, first: np.ndarray, which: int) -> np.ndarray:
 def describe(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every set: its size, two 64-bit fingerprints and the signature."""
     size = np.diff(first)
-    sig = np.zeros((len(size), SIGNATURE), dtype=np.uint16)
+    sig = np.zeros((len(size), SIGNATURE), dtype=np.int32)
     full = np.flatnonzero(size)
     if len(full):
         at = first[full]
         with np.errstate(over="ignore"):
             for i in range(SIGNATURE):
                 least = np.minimum.reduceat((value ^ _XOR[i]) * _TIMES[i], at)
-                sig[full, i] = mix(least) & np.uint64(0xFFFF)
+                sig[full, i] = (mix(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     return size, fingerprint(value, first, 0), fingerprint(value, first, 1), sig
 
 
@@ -98,7 +103,7 @@ def _describer(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches, common.TEXT, 1 << 22):
             size, fp1, fp2, sig = describe(*shingle_sets(Words(part.column(1)), k))
-            flat = pa.array(sig.ravel().astype(np.int32))
+            flat = pa.array(sig.ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * SIGNATURE), flat)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size.astype(np.int64)), pa.array(fp1), pa.array(fp2), lists], names=[common.ID, "n", "fp1", "fp2", "sig"])
 
@@ -119,12 +124,11 @@ def _children(path: Column) -> Column:
     return F.when(both, F.array(_child(path, one), _child(path, two))).otherwise(F.array(_child(path, one)))
 
 
-def _with_keys(rows: DataFrame) -> DataFrame:
+def _with_keys(rows: DataFrame, whole: int, blocks: Column) -> DataFrame:
     """Rows of ``path`` and ``size`` with ``keys``, the comparisons they take
-    part in and their block there: one for a small group, or for a large one
-    each pair of blocks of 64 to 256 rows that holds the row's own."""
-    blocks = F.ceil(F.col("size") / F.greatest(F.lit(64), F.least(F.lit(256), F.col("size") / 32)))
-    rows = rows.withColumn("_n", F.when(F.col("size") <= SMALL, 1).otherwise(blocks).cast("int"))
+    part in and their block there: one for a group of up to ``whole`` rows, or
+    for a larger one each pair of its ``blocks`` that holds the row's own."""
+    rows = rows.withColumn("_n", F.when(F.col("size") <= whole, 1).otherwise(F.ceil(blocks)).cast("int"))
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("id", F.lit(9)), F.col("_n")).cast("int"))
     keys = F.expr("transform(sequence(0, _n - 1), j -> struct(xxhash64(path, least(j, _b), greatest(j, _b)) AS key, _b AS block))")
     return rows.withColumn("keys", keys).drop("_n", "_b", "size", "path")
@@ -142,58 +146,67 @@ def _local_classes(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _bucket_edges(least_equal: int):
-    """Of the sets that meet in a bucket, those whose signatures agree enough,
-    as edges to the smallest id they are connected to there."""
+    """Of the groups that meet in a bucket, those with sets whose signatures
+    agree enough, as edges to the smallest group they are connected to there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in common.whole_groups(batches, "key"):
             key = table.column("key").to_numpy()
-            ids = table.column("id").to_numpy()
-            sig = np.asarray(table.column("sig").combine_chunks().flatten(), dtype=np.uint16).reshape(-1, SIGNATURE)
+            groups = table.column("group").to_numpy()
+            sig = np.asarray(table.column("sig").combine_chunks().flatten(), dtype=np.int32).reshape(-1, SIGNATURE)
             cuts = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key)).tolist()
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            found = [np.zeros((0, 2), np.int64)]
             for i, j in zip(cuts[:-1], cuts[1:]):
+                own, group = sig[i:j], groups[i:j]
                 if j - i == 2:
-                    if (sig[i] == sig[i + 1]).sum() >= least_equal:
-                        a.append(ids[i : i + 1])
-                        b.append(ids[i + 1 : j])
+                    if group[0] != group[1] and (own[0] == own[1]).sum() >= least_equal:
+                        found.append(group[None, :].copy())
                 elif j - i > 2:
-                    own = sig[i:j]
                     equal = np.zeros((j - i, j - i), dtype=np.int16)
                     for c in range(SIGNATURE):
                         equal += own[:, c][:, None] == own[:, c]
-                    label = _local_classes(equal >= least_equal, ids[i:j])
-                    tied = label != ids[i:j]
-                    a.append(ids[i:j][tied])
-                    b.append(label[tied])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                    label = _local_classes((equal >= least_equal) | (group[:, None] == group), group)
+                    found.append(np.unique(np.stack([group, label], axis=1)[label != group], axis=0))
+            edges = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], names=["a", "b"])
 
     return run
 
 
-def candidates(sets: DataFrame, recall: float, similarity: float) -> DataFrame:
-    """Edges (``a``, ``b``) between sets that met in a bucket of some run and
-    whose signatures agree up to four standard deviations below the threshold."""
-    least_equal = int(SIGNATURE * similarity - 4 * (SIGNATURE * similarity * (1 - similarity)) ** 0.5)
-    roots = F.array(*[F.lit(r).cast("long") for r in range(runs_for(recall, similarity))])
+def _met(sets: DataFrame, runs: range, least_equal: int) -> DataFrame:
+    """Edges between groups whose sets (``id, group, sig``) meet in a bucket of
+    some of the runs and whose signatures agree."""
+    roots = F.array(*[F.lit(r).cast("long") for r in runs])
     # the root of each run holds all sets
-    rows = sets.select("id", "sig", F.explode(roots).alias("path")).select("id", F.explode(_children(F.col("path"))).alias("path"))
+    rows = sets.select("id", "group", "sig", F.explode(roots).alias("path")).select("id", "group", F.explode(_children(F.col("path"))).alias("path"))
     found = None
     for level in range(1, DEPTH + 1):
-        sizes = rows.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
+        # a bucket of a single group has nothing to compare
+        sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("group").alias("_a"), F.max("group").alias("_b")).where("_a < _b").drop("_a", "_b")
         met = materialise(rows.join(sizes, "path"), "paths")
         ready = met if level == DEPTH else met.where(F.col("size") <= SMALL)
-        dealt = _with_keys(ready).select("id", F.explode("keys.key").alias("key")).join(sets.select("id", "sig"), "id")
-        dealt = dealt.select("key", "id", "sig").repartition("key").sortWithinPartitions("key")
+        dealt = _with_keys(ready, SMALL, F.col("size") / (SMALL // 2)).select("id", "group", F.explode("keys.key").alias("key")).join(sets.select("id", "sig"), "id")
+        dealt = dealt.select("key", "group", "sig").repartition("key").sortWithinPartitions("key")
         edges = common.per_task(dealt, _bucket_edges(least_equal), "a long, b long")
         found = edges if found is None else found.unionAll(edges)
         rest = met.where(F.col("size") > SMALL)
         if level == DEPTH or rest.isEmpty():
             break
-        rows = rest.drop("size").join(sets.select("id", "sig"), "id").select("id", F.explode(_children(F.col("path"))).alias("path"))
+        rows = rest.drop("size").join(sets.select("id", "sig"), "id").select("id", "group", F.explode(_children(F.col("path"))).alias("path"))
     return found
 
 
+def candidate_groups(sets: DataFrame, recall: float, similarity: float) -> DataFrame:
+    """``node, component``: sets that chains of agreeing signatures (up to four
+    standard deviations below the threshold) connect, of those that met."""
+    least_equal = int(SIGNATURE * similarity - 4 * (SIGNATURE * similarity * (1 - similarity)) ** 0.5)
+    runs = runs_for(recall, similarity)
+    first = components(_met(sets.withColumn("group", F.col("id")), range(min(FIRST_RUNS, runs)), least_equal))
+    joined = sets.join(first, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("group"), "sig")
+    later = _met(materialise(joined, "joined-sets"), range(FIRST_RUNS, runs), least_equal)
+    return components(later.unionAll(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
 def _exact(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Verifies all pairs of a comparison on their shingle sets: for each set
     how many others it links to, and the smallest id it is connected to.  In a
@@ -254,7 +267,8 @@ def _shingles(k: int):
 def links(docs: DataFrame, sets: DataFrame, groups: DataFrame, similarity: float, k: int) -> DataFrame:
     """``id, links, root`` of every comparison in which a set has a link."""
     sizes = groups.groupBy("component").agg(F.count("*").alias("size")).where("size > 1")
-    rows = _with_keys(groups.join(sizes, "component").select(F.col("node").alias("id"), F.col("component").alias("path"), "size"))
+    rows = groups.join(sizes, "component").select(F.col("node").alias("id"), F.col("component").alias("path"), "size")
+    rows = _with_keys(rows, WHOLE, F.col("size") / F.greatest(F.lit(64), F.least(F.lit(256), F.col("size") / 32)))
     rows = rows.join(sets.select("id", "fp1"), "id")
     texts = docs.join(rows, docs[common.ID] == rows["id"]).select("id", common.TEXT, "fp1", "keys")
     kept = common.per_task(texts, _shingles(k), "id long, keys array<struct<key:long,block:int>>, shingles array<long>")
@@ -284,7 +298,7 @@ def ngram_join(
     usable = own.where("doc_id IS NOT NULL AND n > 0")
     # min(sig) is any signature of the set: they are equal
     sets = materialise(usable.groupBy("fp1", "fp2", "n").agg(F.min(common.ID).alias("id"), F.count_distinct(common.ID).alias("copies"), F.min("sig").alias("sig")), "distinct-sets")
-    groups = components(candidates(sets, recall, similarity))
+    groups = candidate_groups(sets, recall, similarity)
     found = materialise(links(docs.where("doc_id IS NOT NULL"), sets, groups, similarity, k), "links")
     total = found.groupBy("id").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))

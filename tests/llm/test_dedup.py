@@ -51,6 +51,7 @@ def test_join_equals_brute_force(spark):
 def test_large_groups_are_split_and_lose_no_link(spark, monkeypatch):
     """With a tiny limit, groups go through all levels and pairs of blocks."""
     monkeypatch.setattr(ngram_join, "SMALL", 8)
+    monkeypatch.setattr(ngram_join, "WHOLE", 8)
     monkeypatch.setattr(ngram_join, "DEPTH", 2)
     text = prose(900, 150)
     rows = [(i, edited(text, 75, i), 0) for i in range(90)] + [(200 + i, prose(300 + i, 80), 0) for i in range(40)]
