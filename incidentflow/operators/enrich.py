@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentflow.operators.nearest import nearest_station
-from incidentflow.session import bounded_broadcast
 
 # The person attributes carried into the unified table.
 PERSON_COLUMNS = [
@@ -62,13 +61,10 @@ def station_coords(catalogue: DataFrame, code: str = "CODI_ESTACIO", lat: str =
     )
 
 
-def attach_coords(df: DataFrame, coords: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def attach_coords(df: DataFrame, coords: DataFrame) -> DataFrame:
     """Left join on the station code; a station without coordinates keeps
-    NULLs.  By default the planner decides the strategy from measured sizes;
-    with ``max_broadcast_rows`` the coordinates are broadcast after a
-    bounded row-count check (for sources without statistics)."""
-    right = bounded_broadcast(coords, max_broadcast_rows) if max_broadcast_rows else coords
-    return df.join(right, "codi_estacio", "left")
+    NULLs.  The planner decides the strategy from measured sizes."""
+    return df.join(coords, "codi_estacio", "left")
 
 
 def pivot_values(readings: DataFrame, column: str = "acronim", max_values: int = MAX_PIVOT_VALUES) -> list[str]:

@@ -13,8 +13,10 @@ Two exact strategies, no cross join in either:
   with a doubled cell.  Each level's result is written once under the
   checkpoint folder, which cuts the lineage of the loop.
 
-Ties are broken by the smaller station code; points without coordinates get
-no station (the match is inner, as in the unified join).
+Both give the same rows: ties are broken by the smaller station code; points
+without coordinates (NULL or NaN) get no station and are dropped (the match is
+inner, as in the unified join); points with a NULL key are kept; stations
+without a code or without coordinates are no stations.
 """
 
 from __future__ import annotations
@@ -37,6 +39,16 @@ def _sq_distance(lat: Column, lon: Column, s_lat: Column, s_lon: Column) -> Colu
     return dlat * dlat + dlon * dlon
 
 
+def _placed(lat: str, lon: str) -> Column:
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return known(lat) & known(lon)
+
+
+def _same_point(a: DataFrame, b: DataFrame) -> Column:
+    """The point's key (NULL equals NULL) and place agree."""
+    return a["__pk"].eqNullSafe(b["__pk"]) & (a["__plat"] == b["__plat"]) & (a["__plon"] == b["__plon"])
+
+
 def nearest_station(
     points: DataFrame,
     stations: DataFrame,
@@ -54,7 +66,7 @@ def nearest_station(
     """Add ``out`` (and optionally the squared distance) to every point with
     coordinates; points without coordinates are dropped."""
     st = (
-        stations.where(F.col(station_lat).isNotNull() & F.col(station_lon).isNotNull())
+        stations.where(_placed(station_lat, station_lon) & F.col(station_key).isNotNull())
         .select(
             F.col(station_key).alias("__code"),
             F.col(station_lat).cast("double").alias("__slat"),
@@ -62,7 +74,7 @@ def nearest_station(
         )
         .distinct()
     )
-    located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    located = points.where(_placed(lat, lon))
     rows = None
     if strategy in ("auto", "literal"):
         rows = bounded_collect(st.orderBy("__code"), max_literal_stations)
@@ -142,13 +154,13 @@ def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels
         # strictly inside the cell size: exact whatever the rounding of floor()
         done = materialise(best.where(F.col("__b.d") < (size * 0.999) ** 2), f"nearest_level{level}")
         resolved.append(done)
-        pending = materialise(
-            pending.join(done.select("__pk", "__plat", "__plon"), ["__pk", "__plat", "__plon"], "left_anti"), f"nearest_pending{level}"
-        )
+        pending = materialise(pending.join(done, _same_point(pending, done), "left_anti"), f"nearest_pending{level}")
         # once the cell exceeds every possible distance (< 404 degrees) the
         # 3x3 block holds every station, so the loop always ends
         if pending.isEmpty():
             break
+    else:
+        raise RuntimeError(f"points without a proven nearest station after {max_levels} levels")
     found = resolved[0]
     for extra in resolved[1:]:
         found = found.unionByName(extra)
@@ -156,5 +168,5 @@ def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels
     if distance_col:
         cols.append(F.col("__b.d").alias(distance_col))
     f = found.select(*cols)
-    cond = (points[point_key] == f["__pk"]) & (points[lat] == f["__plat"]) & (points[lon] == f["__plon"])
+    cond = points[point_key].eqNullSafe(f["__pk"]) & (points[lat] == f["__plat"]) & (points[lon] == f["__plon"])
     return points.join(f, cond).drop("__pk", "__plat", "__plon")

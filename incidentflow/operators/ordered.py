@@ -1,23 +1,35 @@
-"""Running totals over a sorted key without a single-task global window.
-
-Rows (one per distinct key value inside a partition, e.g. one per distinct
-score of a split) are cut into buckets by approximate quantiles of the key,
-computed per partition by ``percentile_approx`` (a bounded sketch per group).
-Bucket totals are a tiny table whose prefix sums give each bucket's offset;
-inside a bucket an ordinary window adds the running part.  Boundaries and
-offsets are joined in the same job (not read to the driver first), so the
-input is computed once and its exchanges are reused.  So no task ever
-holds more than about ``1 / n_buckets`` of a partition's keys, even when one
-partition (a 70 % train split, one numeric column) holds most of the data.
+"""Running totals and row numbers over a sort order without one task for a
+whole group.
+
+The rows are dealt out by ranges of (group, order), so a large group lies in
+many tasks, and written once with the number of their range.  The totals of
+the ranges are a tiny table (a row for each range and group in it) whose prefix
+sums give each range's offset; inside a range an ordinary window adds the
+running part.  The number of ranges follows the session's shuffle partitions
+and the data (AQE merges small ones), and no exchange is keyed by the group
+alone.  Groups may be NULL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-DEFAULT_ACCURACY = 10_000
+from incidentflow.session import materialise
+
+
+def _in_ranges(df: DataFrame, parts: list[str], order: list[Column]) -> DataFrame:
+    dealt = df.repartitionByRange(*parts, *order).withColumn("__range", F.spark_partition_id())
+    return materialise(dealt, "ranges")
+
+
+def _with_offsets(ranged: DataFrame, offsets: DataFrame, parts: list[str]) -> DataFrame:
+    keys = [*parts, "__range"]
+    renamed = offsets.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [ranged[k].eqNullSafe(renamed[f"__k_{k}"]) for k in keys])
+    return ranged.join(renamed, same).drop(*[f"__k_{k}" for k in keys])
 
 
 def running_totals(
@@ -26,37 +38,39 @@ def running_totals(
     order_col: str,
     value_cols: list[str],
     descending: bool = False,
-    n_buckets: int = DEFAULT_BUCKETS,
-    accuracy: int = DEFAULT_ACCURACY,
     prefix: str = "cum_",
+    total_prefix: str | None = None,
 ) -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over rows of the same partition whose
-    key is <= the row's key (>= if ``descending``), the row itself included.
-    ``order_col`` must be unique inside a partition (aggregate first)."""
+    key is <= the row's key (>= if ``descending``), the row itself included;
+    with ``total_prefix`` also the partition's totals.  ``order_col`` must be
+    unique inside a partition (aggregate first)."""
     parts = list(partition_cols)
-    if not parts:
-        df = df.withColumn("__all", F.lit(0))
-        parts = ["__all"]
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.groupBy(*parts).agg(
-        F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy).alias("__bounds")
-    )
-    key = F.col(order_col).cast("double")
-    bucketed = df.join(bounds, parts).withColumn(
-        "__bucket", F.size(F.filter(F.col("__bounds"), lambda b: b < key))
-    ).drop("__bounds")
-    totals = bucketed.groupBy(*parts, "__bucket").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    border = F.col("__bucket").desc() if descending else F.col("__bucket").asc()
-    before = Window.partitionBy(*parts).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    ranged = _in_ranges(df, parts, [order])
+    totals = ranged.groupBy(*parts, "__range").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
+    group = Window.partitionBy(*parts)
+    before = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *parts, "__bucket", *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in value_cols]
+        *parts,
+        "__range",
+        *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in value_cols],
+        *[F.sum(f"__t_{v}").over(group).alias(f"{total_prefix}{v}") for v in value_cols if total_prefix],
     )
-    korder = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    upto = Window.partitionBy(*parts, "__bucket").orderBy(korder).rowsBetween(Window.unboundedPreceding, 0)
-    out = bucketed.join(offsets, parts + ["__bucket"]).withColumns(
+    upto = Window.partitionBy(*parts, "__range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = _with_offsets(ranged, offsets, parts).withColumns(
         {f"{prefix}{v}": F.col(f"__o_{v}") + F.sum(v).over(upto) for v in value_cols}
     )
-    drop = ["__bucket"] + [f"__o_{v}" for v in value_cols]
-    if not partition_cols:
-        drop.append("__all")
-    return out.drop(*drop)
+    return out.drop("__range", *[f"__o_{v}" for v in value_cols])
+
+
+def row_numbers(df: DataFrame, partition_cols: list[str], order: list[Column], out: str) -> DataFrame:
+    """Add ``out`` = the row's number, from 1, within its partition in the
+    given order (which should have no ties)."""
+    parts = list(partition_cols)
+    ranged = _in_ranges(df, parts, order)
+    sizes = ranged.groupBy(*parts, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*parts).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*parts, "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy(*parts, "__range").orderBy(*order)
+    return _with_offsets(ranged, offsets, parts).withColumn(out, F.col("__o") + F.row_number().over(inside)).drop("__range", "__o")

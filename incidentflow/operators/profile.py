@@ -38,12 +38,6 @@ def describe_table(df: DataFrame, table_name: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, column_type string")
 
 
-def table_shape(df: DataFrame, table_name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(table_name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
-    )
-
-
 def null_profile(df: DataFrame, table_name: str) -> DataFrame:
     """NULL count and percentage per column (0 % on an empty table)."""
     cols = df.columns
@@ -96,23 +90,24 @@ def _distinct_pairs(df: DataFrame) -> DataFrame:
     return df.select(pairs).distinct()
 
 
+def _of_every_column(df: DataFrame, counts: DataFrame, zero: dict) -> DataFrame:
+    """``counts`` with a row for each column of ``df``, also of an empty table."""
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
+    return names.join(counts, "column_name", "left").fillna(zero)
+
+
 def distinct_profile(df: DataFrame, table_name: str) -> DataFrame:
-    """Exact COUNT(DISTINCT) per column, NULL not counted (one pass)."""
+    """Exact COUNT(DISTINCT) per column, NULL not counted (one pass); 0 for
+    every column of an empty table."""
     counts = _distinct_pairs(df).groupBy("column_name").agg(F.count("value").alias("n_distinct"))
+    counts = _of_every_column(df, counts, {"n_distinct": 0})
     return counts.select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct")
 
 
-def approx_distinct_profile(df: DataFrame, table_name: str, rsd: float = 0.01) -> DataFrame:
-    """HyperLogLog++ distinct counts of every column in one pass (named
-    separately: approximate, for very wide or very large tables)."""
-    wide = df.agg(*[F.approx_count_distinct(c, rsd).alias(f"__d{i}") for i, c in enumerate(df.columns)])
-    rows = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__d{i}").alias("approx_distinct")) for i, c in enumerate(df.columns)]))
-    return wide.select(F.lit(table_name).alias("table_name"), rows)
-
-
 def distinct_with_null(df: DataFrame, table_name: str) -> DataFrame:
     """Distinct count where NULL counts as one more value (one pass)."""
     counts = _distinct_pairs(df).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct_with_null"))
+    counts = _of_every_column(df, counts, {"n_distinct_with_null": 0})
     return counts.select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct_with_null")
 
 
@@ -125,6 +120,7 @@ def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY
     counts = pairs.groupBy("column_name").agg(
         F.count("value").alias("n_distinct"), F.max(F.col("value").isNull()).alias("has_null")
     )
+    counts = _of_every_column(df, counts, {"n_distinct": 0, "has_null": False})
     numeric = numeric_columns(df)
     short = counts.where(F.col("n_distinct") <= list_up_to).select("column_name")
     order = F.struct(
@@ -176,7 +172,8 @@ def numeric_summary(df: DataFrame, table_name: str, probs: tuple[float, ...] = (
         pos[f"__hi{j}"] = F.ceil(h)
     targets = basic.select("column_name", "count").withColumns(pos)
     # the value at 0-based position t is the one with cum_k - k <= t < cum_k
-    sel = cum.join(targets, "column_name")
+    # (a row for each numeric column of the table)
+    sel = cum.join(F.broadcast(targets), "column_name")
     aggs = []
     for j in range(len(probs)):
         for side in ("lo", "hi"):

@@ -19,6 +19,7 @@ from incidentflow.ml import features as FE
 from incidentflow.ml import metrics as ME
 from incidentflow.ml import models as MO
 from incidentflow.operators import enrich, profile, quality, sampling
+from incidentflow.operators.ordered import row_numbers
 from incidentflow.plans import model_table as MT
 from incidentflow.plans import oracle as O
 from incidentflow.plans import standins, zones
@@ -67,15 +68,25 @@ def left_join_coords(spark, d):
     return enrich.attach_coords(zones.trusted_readings(spark, d), standins.stations(spark, d))
 
 
-@register("nearest_station", O.with_ctes("SELECT * FROM nearest"))
-def nearest_station(spark, d):
+def _nearest(spark, d, strategy):
     wide = zones.wide_readings_table(spark, d)
     located = enrich.with_nearest_station(
-        zones.trusted_accidents(spark, d), enrich.meteo_stations(wide), distance_col="dist_sq"
+        zones.trusted_accidents(spark, d), enrich.meteo_stations(wide), distance_col="dist_sq", strategy=strategy
     )
     return located.select("numero_expedient", "meteo_estacio_proxima", "dist_sq")
 
 
+@register("nearest_station", O.with_ctes("SELECT * FROM nearest"))
+def nearest_station(spark, d):
+    return _nearest(spark, d, "auto")
+
+
+@register("nearest_station_grid", O.with_ctes("SELECT * FROM nearest"))
+def nearest_station_grid(spark, d):
+    """The same by the grid, the plan for any number of stations."""
+    return _nearest(spark, d, "grid")
+
+
 @register(
     "unify_persons",
     O.with_ctes(
@@ -93,7 +104,8 @@ def unify_persons(spark, d):
 
 @register("join_daily_readings", O.with_ctes("SELECT * FROM with_weather"))
 def join_daily_readings(spark, d):
-    return enrich.join_daily_readings(zones.located_accidents(spark, d), zones.wide_readings_table(spark, d))
+    wide = zones.wide_readings_table(spark, d)
+    return enrich.join_daily_readings(zones.located_accidents(spark, d, wide), wide)
 
 
 @register("unified", O.with_ctes("SELECT * FROM unified"))
@@ -101,13 +113,12 @@ def unified(spark, d):
     return zones.unified(spark, d)
 
 
-@register("surrogate_key")
+@register("surrogate_key", O.with_ctes("SELECT *, row_number() OVER (ORDER BY numero_expedient) - 1 AS accident_row_id FROM t_accidents_ts"))
 def surrogate_key(spark, d):
-    """Row id for a table without a usable natural key: a monotonically
-    increasing id, made stable by writing the table once (a recomputed id
-    need not match the first one)."""
+    """Row id that can be recomputed: the row's number in key order, counted
+    within ranges of the key (no single-task sort)."""
     acc = zones.trusted_accidents(spark, d)
-    return materialise(acc.withColumn("accident_row_id", F.monotonically_increasing_id()), "accidents_with_id")
+    return row_numbers(acc, [], [F.col("numero_expedient")], "__n").withColumn("accident_row_id", F.col("__n") - 1).drop("__n")
 
 
 @register(
@@ -361,7 +372,8 @@ def label_distribution(spark, d):
 
 @register("projection_policy", O.policy_sql(FE.SELECTION_POLICY, O.with_ctes("SELECT * FROM u_split", O.model_ctes(MT.STANDIN_GROUPINGS))))
 def projection_policy(spark, d):
-    return FE.projection_policy(MT.split_rows(spark, d))
+    # only the names count: no split is run for them
+    return FE.projection_policy(MT.labeled_unified(spark, d).withColumn("split", F.lit("")))
 
 
 # ------------------------------------------------------------- 5. features

@@ -38,15 +38,15 @@ SELECT l.l_orderkey AS numero_expedient, 2024 AS nk__any, 1 AS mes__any,
        l.l_linenumber AS ordre_persona, l.l_quantity AS edat
 FROM lineitem l""",
     "s_meteo": """
-SELECT CAST(ts AS DATE) AS data_lectura, CONCAT('S', CAST(user_id % 6 AS STRING)) AS codi_estacio,
+SELECT CAST(ts AS DATE) AS data_lectura, CONCAT('S', CAST(user_id AS STRING)) AS codi_estacio,
        CASE event_type WHEN 'click' THEN 'TM' WHEN 'view' THEN 'HRM' WHEN 'purchase' THEN 'PPT' WHEN 'error' THEN 'DVM10' ELSE 'RS24H' END AS acronim,
        CASE WHEN event_id % 41 <> 0 THEN value - 20 END AS valor
 FROM events""",
     "s_stations": """
 SELECT CONCAT('S', CAST(s_suppkey AS STRING)) AS codi_estacio,
-       CAST(41.33 + s_suppkey * 0.021 AS DOUBLE) AS latitud_wgs84,
-       CAST(2.08 + (s_suppkey * 3 % 5) * 0.023 AS DOUBLE) AS longitud_wgs84
-FROM supplier WHERE s_suppkey < 5""",
+       CAST(41.32 + (s_suppkey * 7907 % 1000) * 0.00015 AS DOUBLE) AS latitud_wgs84,
+       CAST(2.07 + (s_suppkey * 104711 % 1000) * 0.00015 AS DOUBLE) AS longitud_wgs84
+FROM supplier""",
     "s_resources": """
 SELECT url AS api_link,
        COALESCE(NULLIF(TRIM(regexp_extract(url, '[?&]page=([^&#]*)', 1)), ''), CAST(page_id AS VARCHAR)) AS resource_id,

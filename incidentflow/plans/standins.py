@@ -107,19 +107,20 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         acronym = F.when(F.col("event_type") == event_type, code).otherwise(acronym)
     return events.select(
         F.to_date("ts").alias("data_lectura"),
-        F.concat(F.lit("S"), (F.col("user_id") % 6).cast("string")).alias("codi_estacio"),
+        F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("codi_estacio"),
         acronym.alias("acronim"),
         F.when(F.col("event_id") % 41 != 0, F.col("value") - 20).alias("valor"),
     )
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier is a station, spread over the accidents' area.  Some
+    readings come from stations that are not among them."""
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey")
-    key = F.col("s_suppkey")
-    return supplier.where(key < 5).select(
-        F.concat(F.lit("S"), key.cast("string")).alias("codi_estacio"),
-        F.expr("CAST(41.33 + s_suppkey * 0.021 AS DOUBLE)").alias("latitud_wgs84"),
-        F.expr("CAST(2.08 + (s_suppkey * 3 % 5) * 0.023 AS DOUBLE)").alias("longitud_wgs84"),
+    return supplier.select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("codi_estacio"),
+        F.expr("CAST(41.32 + (s_suppkey * 7907 % 1000) * 0.00015 AS DOUBLE)").alias("latitud_wgs84"),
+        F.expr("CAST(2.07 + (s_suppkey * 104711 % 1000) * 0.00015 AS DOUBLE)").alias("longitud_wgs84"),
     )
 
 

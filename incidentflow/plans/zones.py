@@ -46,8 +46,7 @@ def wide_readings_table(spark: SparkSession, d: str) -> DataFrame:
     return materialise(wide_readings(spark, d), "readings_wide")
 
 
-def located_accidents(spark: SparkSession, d: str) -> DataFrame:
-    wide = wide_readings_table(spark, d)
+def located_accidents(spark: SparkSession, d: str, wide: DataFrame) -> DataFrame:
     return enrich.with_nearest_station(trusted_accidents(spark, d), enrich.meteo_stations(wide))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -103,7 +105,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder every executor shares"
             )
@@ -125,31 +127,38 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     RDD checkpoint of an uncached frame, which runs it twice."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def bounded_collect(df: DataFrame, max_rows: int):
-    """Rows of ``df`` if it has at most ``max_rows`` rows, else None; one
-    job that never reads more than ``max_rows + 1`` rows."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
+_WRITTEN: list[str] = []
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def release(spark: SparkSession) -> int:
+    """Removes the tables that :func:`materialise` has written; frames read
+    from them can no longer be used.  Returns how many there were.  Called at
+    the end of the Python process for a session that is still up."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths, _WRITTEN[:] = list(_WRITTEN), []
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    return len(paths)
 
-    The check reads at most ``max_rows + 1`` rows, so its cost is bounded too.
-    Beyond the bound the frame is returned unchanged and the planner (with
-    AQE's runtime size statistics) picks a shuffle join.
-    """
-    if is_bounded(df, max_rows):
-        return F.broadcast(df)
-    return df
 
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _WRITTEN and spark.sparkContext._jsc is not None:
+        release(spark)
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def bounded_collect(df: DataFrame, max_rows: int):
+    """Rows of ``df`` if it has at most ``max_rows`` rows, else None; one
+    job that never reads more than ``max_rows + 1`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -39,6 +39,17 @@ def checked_readings(stream: DataFrame, watermark: str | None = None, event_time
     return res.valid, res.rejected
 
 
+def write_checked(batch: DataFrame, epoch_id: int, valid_path: str, rejected_path: str) -> None:
+    """Both outputs of one micro-batch, from one reading of it."""
+    batch = batch.persist()
+    try:
+        res = apply_rules(batch, reading_rules())
+        res.valid.write.mode("overwrite").parquet(f"{valid_path.rstrip('/')}/epoch={epoch_id}")
+        res.rejected.write.mode("overwrite").parquet(f"{rejected_path.rstrip('/')}/epoch={epoch_id}")
+    finally:
+        batch.unpersist()
+
+
 def start_cleaning(
     spark: SparkSession,
     source: str,
@@ -47,15 +58,15 @@ def start_cleaning(
     checkpoint_location: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the cleaning stream; each micro-batch appends its valid rows to
-    ``valid_path`` and its quarantined rows to ``rejected_path``.  The
-    checkpoint makes a restarted query resume where it stopped."""
+    """Start the cleaning stream; each micro-batch writes its valid rows to a
+    folder ``epoch=<n>`` of its own under ``valid_path`` and its quarantined
+    rows likewise under ``rejected_path``.  The checkpoint makes a restarted
+    query resume where it stopped; a batch that is replayed after a failure
+    overwrites its folders, so no row is written twice."""
     stream = readings_stream(spark, source)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        res = apply_rules(batch, reading_rules())
-        res.valid.write.mode("append").parquet(valid_path)
-        res.rejected.write.mode("append").parquet(rejected_path)
+        write_checked(batch, epoch_id, valid_path, rejected_path)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

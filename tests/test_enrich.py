@@ -72,18 +72,28 @@ def test_timestamp_missing_hour_is_midnight_and_try_variant(spark):
 
 def test_unified_draft_counts(spark):
     """Sum rule on accidents only, raw persons and raw readings: the counts of
-    the blueprint's draft (43,080 rows, 10,622 accidents at sf0.01)."""
+    the blueprint's draft (38,230 rows, 9,422 accidents at sf0.01)."""
     acc = enrich.with_event_timestamp(quality.clean_accidents(standins.accidents(spark, SF01)).valid)
     wide = enrich.readings_wide(standins.readings(spark, SF01), standins.stations(spark, SF01))
     unified = enrich.unify(acc, standins.persons(spark, SF01), wide)
-    assert unified.count() == 43_080
-    assert unified.select("numero_expedient").distinct().count() == 10_622
+    assert unified.count() == 38_230
+    assert unified.select("numero_expedient").distinct().count() == 9_422
     assert len(unified.columns) == len(set(unified.columns))
 
 
 def test_station_coords_from_catalogue(spark):
     coords = enrich.station_coords(standins.station_catalogue(spark, SF01), lat="LATITUD", lon="LONGITUD")
-    assert coords.count() == 5 and coords.where(F.col("latitud_wgs84").isNull()).count() == 0
+    assert coords.count() == 100 and coords.where(F.col("latitud_wgs84").isNull()).count() == 0
+
+
+def test_null_keys_and_nan_places_on_both_strategies(spark):
+    nan = float("nan")
+    pts = [(None, 41.31, 2.01), (None, 41.49, 2.29), (1, nan, 2.1), (2, 41.4, None), (3, 41.4, 2.15)]
+    sts = [("A", 41.3, 2.0), ("B", 41.5, 2.3), (None, 41.4, 2.15), ("C", nan, 2.1), ("D", None, 2.1)]
+    p = spark.createDataFrame(pts, "pid long, latitud_wgs84 double, longitud_wgs84 double")
+    s = spark.createDataFrame(sts, "codi_estacio string, latitud_wgs84 double, longitud_wgs84 double")
+    out = [sorted(map(str, nearest_station(p, s, out="st", strategy=x, point_key="pid").collect())) for x in ("literal", "grid")]
+    assert out[0] == out[1] and len(out[0]) == 3
 
 
 def test_grid_with_repeated_point_keys(spark):

@@ -51,10 +51,10 @@ def test_step_ap_differs_from_interpolated_area(spark):
 def test_running_totals_equals_window(spark):
     df = spark.range(2000).select((F.col("id") % 4).alias("p"), (F.col("id") * 7 % 1999).cast("double").alias("k"), F.lit(1).alias("v"))
     df = df.groupBy("p", "k").agg(F.sum("v").alias("v"))
-    got = running_totals(df, ["p"], "k", ["v"], n_buckets=8)
+    got = running_totals(df, ["p"], "k", ["v"])
     want = df.withColumn("cum_v", F.sum("v").over(Window.partitionBy("p").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
     assert got.select("p", "k", "cum_v").exceptAll(want.select("p", "k", "cum_v")).count() == 0
-    got_d = running_totals(df, ["p"], "k", ["v"], descending=True, n_buckets=8)
+    got_d = running_totals(df, ["p"], "k", ["v"], descending=True)
     want_d = df.withColumn("cum_v", F.sum("v").over(Window.partitionBy("p").orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)))
     assert got_d.select("p", "k", "cum_v").exceptAll(want_d.select("p", "k", "cum_v")).count() == 0
 
@@ -108,5 +108,31 @@ def test_metrics_stable_across_partitions_and_order(spark):
 def test_running_totals_of_doubles(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("p"), F.col("id").cast("double").alias("k"), (F.col("id") * 0.25).alias("v"))
     want = df.withColumn("cum_v", F.sum("v").over(Window.partitionBy("p").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
-    got = running_totals(df, ["p"], "k", ["v"], n_buckets=8)
+    got = running_totals(df, ["p"], "k", ["v"])
     assert got.select("p", "k", "cum_v").exceptAll(want.select("p", "k", "cum_v")).count() == 0
+
+
+def test_running_totals_and_numbers_of_null_groups_and_one_large_group(spark):
+    from incidentflow.operators.ordered import row_numbers
+
+    df = spark.range(3000).select(F.when(F.col("id") % 10 > 7, F.lit("b")).when(F.col("id") % 10 > 5, F.lit(None)).otherwise("a").alias("p"), F.col("id").alias("k"), F.lit(2).alias("v"))
+    w = Window.partitionBy("p").orderBy("k")
+    want = df.select("*", F.sum("v").over(w).alias("cum_v"), F.sum("v").over(Window.partitionBy("p")).alias("all_v"), F.row_number().over(w).alias("n"))
+    got = row_numbers(running_totals(df, ["p"], "k", ["v"], total_prefix="all_"), ["p"], [F.col("k")], "n")
+    cols = ["p", "k", "cum_v", "all_v", "n"]
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+
+
+def test_null_and_one_class_groups(spark):
+    rows = [("x", 1, 0.9), ("x", 0, 0.1), (None, 1, 0.2), (None, 0, 0.3), ("neg", 0, 0.5), ("pos", 1, 0.5)]
+    df = spark.createDataFrame(rows, "split string, label int, score double")
+    auc = {r.split: r.roc_auc for r in ME.roc_auc(df, ["split"]).collect()}
+    assert auc == {"x": 1.0, None: 0.0, "neg": None, "pos": None}
+    assert len(ME.average_precision(df, ["split"]).collect()) == 4
+    both = df.select(F.lit("m1").alias("model"), "*").unionAll(df.select(F.lit("m2").alias("model"), "split", "label", (1 - F.col("score")).alias("score")))
+    out = {(r.model, r.split): r for r in ME.metric_summary(both, "split", "x", model="model").collect()}
+    assert set(out) == {(m, s) for m in ("m1", "m2") for s in ("x", None, "neg", "pos")}
+    assert out["m1", "x"].roc_auc == 1.0 and out["m2", "x"].roc_auc == 0.0
+    chosen = ME.chosen_thresholds(both, "split", "x", "model")
+    at = ME.at_chosen_threshold(both, chosen, "model")
+    assert at.count() == both.count() and at.where("threshold IS NULL").count() == 0

@@ -46,3 +46,10 @@ def test_distinct_with_null_and_table_profile(spark):
     assert d == {"x": 2, "y": 2}
     tp = {r.column_name: r for r in profile.table_profile({"t": df}).collect()}
     assert tp["x"].row_count == 3 and tp["x"].null_count == 1 and tp["y"].avg_val is None
+
+
+def test_empty_tables_keep_their_columns(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    for out in (profile.null_profile(df, "t"), profile.distinct_profile(df, "t"), profile.distinct_with_null(df, "t"), profile.low_card_values(df, "t"), profile.table_profile({"t": df})):
+        assert sorted(r.column_name for r in out.collect()) == ["a", "b"]
+    assert [r.n_distinct for r in profile.distinct_profile(df, "t").collect()] == [0, 0]

@@ -116,3 +116,13 @@ def test_rule_counts_before_dedup_match_blueprint(spark):
     assert persons.count() == 47_681
     assert Q.apply_rules(readings, Q.reading_rules()).valid.count() == 6_768
     assert readings.where(F.col("valor").isNotNull()).count() == 9_756
+
+
+def test_a_replayed_batch_writes_no_row_twice(spark, tmp_dir):
+    from incidentflow.streaming.rowwise import write_checked
+
+    rows = [("2024-01-01", "X", "TM", 50.0), ("2024-01-02", "Y", "HRM", 40.0)]
+    batch = spark.createDataFrame(rows, "data_lectura string, codi_estacio string, acronim string, valor double")
+    for epoch in (0, 1, 1):
+        write_checked(batch, epoch, f"{tmp_dir}/valid", f"{tmp_dir}/rejected")
+    assert spark.read.parquet(f"{tmp_dir}/valid").count() == 2 and spark.read.parquet(f"{tmp_dir}/rejected").count() == 2

@@ -79,3 +79,41 @@ def test_resource_selection(spark):
     assert [r.rid for r in ids] == ["abc", "def", "ghi", "jkl"]
     out = {r.resource_id: r.file_name for r in resources.select_resources(cat, "2025").collect()}
     assert out == {"abc": "Accidents_2025_Òmnibus.csv", "def": "def.csv"}
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    for name, lines in (("one.csv", ["b,a,other", "x,1,z"]), ("two.csv", ["a,b", "2,y"])):
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as fh:
+            fh.write("\n".join(lines) + "\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()), T.StructField("c", T.DoubleType())])
+    paths = [os.path.join(tmp_dir, n) for n in ("one.csv", "two.csv")]
+    assert sorted(map(tuple, csv.read_csv(spark, paths, schema).collect())) == [(1, "x", None), (2, "y", None)]
+
+
+def test_unparsable_values_are_named(spark):
+    df = spark.createDataFrame([("2024-01-02", "X", "TM", "12.5"), ("bad", "Y", "HRM", "x"), (None, "Z", "TM", None)], "data_lectura string, codi_estacio string, acronim string, valor string")
+    out = zones.unparsable(df, READINGS).collect()
+    assert [(r.codi_estacio, r.unparsable_columns) for r in out] == [("Y", ["data_lectura", "valor"])]
+
+
+def test_sorted_storage_has_ranges_that_do_not_overlap(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "sorted")
+    zones.write_table(spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(6), path, sort_within=["k"])
+    files = spark.read.parquet(path).groupBy("_metadata.file_name").agg(F.min("k").alias("a"), F.max("k").alias("b")).orderBy("a").collect()
+    assert all(x.b < y.a for x, y in zip(files, files[1:]))
+
+
+def test_written_tables_can_be_released(spark):
+    from incidentflow import session
+
+    df = session.materialise(spark.range(3).toDF("a"), "release_me")
+    path = session._WRITTEN[-1]
+    assert df.count() == 3 and "release_me" in path
+    keep, session._WRITTEN[:] = session._WRITTEN[:-1], [path]
+    assert session.release(spark) == 1
+    session._WRITTEN[:] = keep
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    assert not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
