@@ -32,6 +32,8 @@ from incidentflow.session import materialise
 #: The hash that stands for the end of a text (no word has it but by chance of 2**-64).
 END = np.uint64(0x0E4D0F7E8C0DE5A1)
 GROUP = 64
+#: Targets after which a text goes on from a fresh state in training (scoring carries it on).
+PIECE = 2048
 
 
 # ---------------------------------------------------------------- vocabulary
@@ -141,7 +143,7 @@ class Network:
         self.class_b = np.log(mass / mass.sum()).astype(np.float32)
         self.word_w = np.zeros((groups, hidden, GROUP), dtype=np.float32)
         with np.errstate(divide="ignore"):
-            self.word_b = np.maximum(np.log(share / share.sum(axis=1, keepdims=True)), -1e4).astype(np.float32)
+            self.word_b = np.maximum(np.log(share / share.sum(axis=1, keepdims=True)), -60).astype(np.float32)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -183,40 +185,21 @@ class Network:
         """Log-probability of each target's class and, where ``word`` is not
         negative, of the word in it; with ``grad`` also the loss's gradient by
         the states, its share of the parameters' being added to ``grad``."""
-        rows = np.arange(len(h))
-        logits = h @ self.class_w
-        logits += self.class_b
-        logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[rows, cls]
-        np.exp(logits, out=logits)
-        mass = logits.sum(axis=1)
-        logp = picked - np.log(mass)
-        dh = None
-        if grad is not None:
-            logits /= mass[:, None]
-            logits[rows, cls] -= 1
-            grad["class_w"] += h.T @ logits
-            grad["class_b"] += logits.sum(axis=0)
-            dh = logits @ self.class_w.T
+        ones = np.ones((len(h), 1), dtype=np.float32)
+        wide = np.concatenate([h, ones], axis=1)
+        part = None if grad is None else (grad["class_w"], grad["class_b"])
+        logp, dh = _softmax(wide, self.class_w, self.class_b, cls, part)
         known = np.flatnonzero(word >= 0)
         known = known[np.argsort(cls[known], kind="stable")]
         cut = np.flatnonzero(np.concatenate([[True], np.diff(cls[known]) > 0])) if len(known) else []
         for a, b in zip(cut, [*cut[1:], len(known)]):
             at = known[a:b]
-            g, own = cls[at[0]], h[at]
-            logits = own @ self.word_w[g]
-            logits += self.word_b[g]
-            logits -= logits.max(axis=1, keepdims=True)
-            picked = logits[np.arange(len(at)), word[at]]
-            np.exp(logits, out=logits)
-            mass = logits.sum(axis=1)
-            logp[at] += picked - np.log(mass)
+            g = cls[at[0]]
+            part = None if grad is None else (grad["word_w"][g], grad["word_b"][g])
+            more, dmore = _softmax(wide[at], self.word_w[g], self.word_b[g], word[at], part)
+            logp[at] += more
             if grad is not None:
-                logits /= mass[:, None]
-                logits[np.arange(len(at)), word[at]] -= 1
-                grad["word_w"][g] += own.T @ logits
-                grad["word_b"][g] += logits.sum(axis=0)
-                dh[at] += logits @ self.word_w[g].T
+                dh[at] += dmore
         return logp, dh
 
     def backward(self, x, fresh, states, held, dh_out, grad) -> None:
@@ -224,25 +207,63 @@ class Network:
         steps, lanes = x.shape
         n = self.hidden
         dgiven = np.empty((steps, lanes, 3 * n), dtype=np.float32)
+        du = np.empty((steps, lanes, 3 * n), dtype=np.float32)
         dh = np.zeros((lanes, n), dtype=np.float32)
         keeps = (~fresh).astype(np.float32)[:, :, None]
+        # the parts that do not depend on the steps behind
+        slopes = held[0] * (1 - held[0])
+        z, r = held[0][:, :, :n], held[0][:, :, n:]
+        for_new = (1 - z) * (1 - held[2] * held[2])
+        for_z = (states[:-1] - held[2]) * slopes[:, :, :n]
+        for_r = held[1] * slopes[:, :, n:]
+        back = np.ascontiguousarray(self.recur.T)
         for t in range(steps - 1, -1, -1):
-            dh = dh + dh_out[t]
-            gates, u, new, h = held[0][t], held[1][t], held[2][t], states[t]
-            z, r = gates[:, :n], gates[:, n:]
-            dnew = dh * (1 - z) * (1 - new * new)
-            dz = dh * (h - new) * z * (1 - z)
-            dr = dnew * u * r * (1 - r)
-            dgiven[t, :, :n], dgiven[t, :, n : 2 * n], dgiven[t, :, 2 * n :] = dz, dr, dnew
-            du = np.concatenate([dz, dr, dnew * r], axis=1)
-            grad["recur"] += h.T @ du
-            dh = (dh * z + du @ self.recur.T) * keeps[t]
+            dh += dh_out[t]
+            dnew = dgiven[t, :, 2 * n :]
+            np.multiply(dh, for_new[t], out=dnew)
+            np.multiply(dh, for_z[t], out=du[t, :, :n])
+            np.multiply(dnew, for_r[t], out=du[t, :, n : 2 * n])
+            np.multiply(dnew, r[t], out=du[t, :, 2 * n :])
+            dh *= z[t]
+            dh += du[t] @ back
+            dh *= keeps[t]
+        dgiven[:, :, : 2 * n] = du[:, :, : 2 * n]
+        grad["recur"] += states[:-1].reshape(-1, n).T @ du.reshape(-1, 3 * n)
         flat, rows = dgiven.reshape(-1, 3 * n), x.ravel()
         order = np.argsort(rows, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) > 0]))
         grad["inputs"][rows[order][first]] += np.add.reduceat(flat[order], first, axis=0)
 
 
+def _softmax(wide: np.ndarray, w: np.ndarray, b: np.ndarray, target: np.ndarray, grad: tuple[np.ndarray, np.ndarray] | None):
+    """Log-probabilities of the targets and, with ``grad`` (of ``w`` and ``b``,
+    added to), the gradient by the states; ``wide``: states and a one.
+
+    States lie within one of zero, so the columns' absolute sums bound every
+    logit; as long as the bounds are near each other one shift does for all
+    rows, otherwise each row is shifted by its largest logit."""
+    reach = np.abs(w).sum(axis=0)
+    shift = float((b + reach).max())
+    logits = wide @ np.concatenate([w, (b - shift)[None, :]])
+    if shift - float((b - reach).max()) > 20:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.maximum(logits, -60, out=logits)  # no denormal numbers
+    rows = np.arange(len(wide))
+    picked = logits[rows, target]
+    np.exp(logits, out=logits)
+    mass = logits @ np.ones(len(b), dtype=np.float32)
+    logp = picked - np.log(mass)
+    if grad is None:
+        return logp, None
+    # the division by the mass is left to the narrow side of each product
+    logits[rows, target] -= mass
+    share = 1 / mass
+    own = (wide * share[:, None]).T @ logits
+    grad[0][...] += own[:-1]
+    grad[1][...] += own[-1]
+    return logp, (logits @ w.T) * share[:, None]
+
+
 class Adam:
     """Takes a step once the gradients of ``batch`` targets have come together,
     so that the last windows of a long text, alone in its lane, weigh no more
@@ -275,16 +296,28 @@ class Adam:
 # --------------------------------------------------------------------- lanes
 @dataclass
 class Lanes:
-    """Texts laid end to end in lanes: ``x`` inputs, ``cls``/``word`` targets,
-    ``fresh`` first steps, ``where`` the target's place (all steps by lanes,
-    falling lane length: ``active`` lanes at each step)."""
+    """Texts laid end to end in lanes: ``order`` has the targets lane by lane,
+    each lane from ``start`` and ``load`` long, by falling load.  A window is
+    cut out when it is used, so a long text does not widen all lanes."""
 
-    x: np.ndarray
+    before: np.ndarray  # input of each target
     cls: np.ndarray
     word: np.ndarray
-    fresh: np.ndarray
-    where: np.ndarray
-    active: np.ndarray
+    begins: np.ndarray
+    order: np.ndarray
+    start: np.ndarray
+    load: np.ndarray
+
+    def windows(self, steps: int):
+        """``where`` (steps by lanes still active; -1: beyond a lane's end),
+        inputs and first-step marks of each window."""
+        for a in range(0, int(self.load[0]), steps):
+            n = int(np.searchsorted(-self.load, -a))  # lanes longer than a
+            t = np.arange(a, min(a + steps, int(self.load[0])))[:, None]
+            inside = t < self.load[:n]
+            where = np.where(inside, self.order[np.minimum(self.start[:n] + t, len(self.order) - 1)], -1)
+            at = np.where(inside, where, 0)
+            yield where, self.before[at], self.begins[at] | ~inside
 
 
 def encode(words: Words, vocab: Vocabulary):
@@ -309,8 +342,12 @@ def encode(words: Words, vocab: Vocabulary):
     return ids, cls, word, count, is_word
 
 
-def lay_out(ids: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarray, lanes: int) -> Lanes:
-    """The longest texts first, each into the shortest lane so far."""
+def lay_out(ids: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarray, lanes: int, longest: int | None = None) -> Lanes:
+    """The longest texts first, each into the shortest lane so far; with
+    ``longest`` texts are cut into pieces of so many targets, each from a
+    fresh state (for training)."""
+    if longest:
+        first = np.unique(np.concatenate([first, *[np.arange(a, b, longest) for a, b in zip(first[:-1], first[1:]) if b - a > longest]]))
     size = np.diff(first)
     lanes = max(1, min(lanes, len(size)))
     heap = [(0, k) for k in range(lanes)]
@@ -320,36 +357,26 @@ def lay_out(ids: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarra
         own[k].append(d)
         heapq.heappush(heap, (load + int(size[d]), k))
     loads = {k: load for load, k in heap}
-    order = sorted(range(lanes), key=lambda k: -loads[k])
-    steps = loads[order[0]]
-    where = np.full((lanes, steps), -1, dtype=np.int64)
-    for row, k in enumerate(order):
-        line = np.concatenate([np.arange(first[d], first[d + 1]) for d in own[k]]) if own[k] else np.zeros(0, np.int64)
-        where[row, : len(line)] = line
+    ranked = sorted(range(lanes), key=lambda k: -loads[k])
+    pieces = np.array([d for k in ranked for d in own[k]])
+    end = np.cumsum(size[pieces])
+    order = np.repeat(first[pieces] - (end - size[pieces]), size[pieces]) + np.arange(end[-1])
+    load = np.array([loads[k] for k in ranked])
     before = np.concatenate([[0], ids[:-1]])
-    before[first[:-1]] = 0  # a text begins after an end
     begins = np.zeros(len(ids), dtype=bool)
     begins[first[:-1]] = True
-    where = np.ascontiguousarray(where.T)
-    inside = where >= 0
-    at = np.where(inside, where, 0)
-    return Lanes(before[at], cls[at], word[at], begins[at] | ~inside, where, inside.sum(axis=1))
-
-
-def _windows(steps: Lanes, window: int):
-    for a in range(0, len(steps.active), window):
-        lanes = int(steps.active[a])
-        yield slice(a, min(a + window, len(steps.active))), lanes
+    # a text begins after an end (id 0), which is also what comes before it here
+    return Lanes(before, cls, word, begins, order, np.cumsum(load) - load, load)
 
 
 def train_on(net: Network, adam: Adam, lanes: Lanes, window: int) -> None:
-    h = np.zeros((lanes.x.shape[1], net.hidden), dtype=np.float32)
-    for rows, n in _windows(lanes, window):
-        x, fresh, where = lanes.x[rows, :n], lanes.fresh[rows, :n], lanes.where[rows, :n]
-        states, held = net.forward(x, fresh, h[:n], True)
+    h = np.zeros((len(lanes.load), net.hidden), dtype=np.float32)
+    for where, x, fresh in lanes.windows(window):
+        states, held = net.forward(x, fresh, h[: x.shape[1]], True)
         h = states[-1]
         real = np.flatnonzero(where.ravel() >= 0)
-        _, dh = net.outputs(states[1:].reshape(-1, net.hidden)[real], lanes.cls[rows, :n].ravel()[real], lanes.word[rows, :n].ravel()[real], adam.grad)
+        at = where.ravel()[real]
+        _, dh = net.outputs(states[1:].reshape(-1, net.hidden)[real], lanes.cls[at], lanes.word[at], adam.grad)
         dh_out = np.zeros((x.size, net.hidden), dtype=np.float32)
         dh_out[real] = dh
         net.backward(x, fresh, states, held, dh_out.reshape(*x.shape, -1), adam.grad)
@@ -359,14 +386,13 @@ def train_on(net: Network, adam: Adam, lanes: Lanes, window: int) -> None:
 def score_on(net: Network, lanes: Lanes, n_targets: int, window: int) -> np.ndarray:
     """Log-probability of every target."""
     out = np.zeros(n_targets)
-    h = np.zeros((lanes.x.shape[1], net.hidden), dtype=np.float32)
-    for rows, n in _windows(lanes, window):
-        where = lanes.where[rows, :n].ravel()
-        states, _ = net.forward(lanes.x[rows, :n], lanes.fresh[rows, :n], h[:n], False)
+    h = np.zeros((len(lanes.load), net.hidden), dtype=np.float32)
+    for where, x, fresh in lanes.windows(window):
+        states, _ = net.forward(x, fresh, h[: x.shape[1]], False)
         h = states[-1]
-        real = np.flatnonzero(where >= 0)
-        logp, _ = net.outputs(states[1:].reshape(-1, net.hidden)[real], lanes.cls[rows, :n].ravel()[real], lanes.word[rows, :n].ravel()[real], None)
-        out[where[real]] = logp
+        real = np.flatnonzero(where.ravel() >= 0)
+        at = where.ravel()[real]
+        out[at], _ = net.outputs(states[1:].reshape(-1, net.hidden)[real], lanes.cls[at], lanes.word[at], None)
     return out
 
 
@@ -391,7 +417,7 @@ def _train_round(texts: DataFrame, vocab: Vocabulary, net: Network, lanes: int,
             words = Words(part.column(0), split_on_space=True)
             ids, cls, word, _, _ = encode(words, words_of)
             tokens += len(ids)
-            train_on(own, adam, lay_out(ids, cls, word, _targets_first(words), lanes), window)
+            train_on(own, adam, lay_out(ids, cls, word, _targets_first(words), lanes, PIECE), window)
         if tokens:
             flat = own.flat().astype(np.float64) * tokens
             flat = np.append(flat, np.zeros(-len(flat) % chunk)).reshape(-1, chunk)
@@ -416,7 +442,7 @@ def _train_round(texts: DataFrame, vocab: Vocabulary, net: Network, lanes: int,
 
 
 def fit(
-    texts: DataFrame, counts: DataFrame, hidden: int = 16, n_words: int = 2048, n_tails: int = 48, most_head: int = 262_144, rounds: int = 3, lanes: int = 512, window: int = 16, rate: float = 0.01
+    texts: DataFrame, counts: DataFrame, hidden: int = 16, n_words: int = 1536, n_tails: int = 40, most_head: int = 262_144, rounds: int = 3, lanes: int = 512, window: int = 16, rate: float = 0.01
 ) -> tuple[Vocabulary, Network]:
     """Vocabulary and network from all of ``texts`` (column ``text``); each
     text is read once, in the round that a hash of it names."""
@@ -455,7 +481,7 @@ def score(
         words_of, own = shared.value
         uid = TaskContext.get().partitionId() << 33
         log_mass = np.log(words_of.tail_mass)
-        for part in common.slices(batches, common.TEXT, 1 << 22):
+        for part in common.slices(batches, common.TEXT, 6 << 20):
             words = Words(part.column(1), split_on_space=True)
             ids, cls, word, count, is_word = encode(words, words_of)
             first = _targets_first(words)
@@ -469,11 +495,12 @@ def score(
             total = lambda w: np.bincount(doc, weights=w, minlength=words.n_docs)
             # words outside the head: hash and how often, by text
             rare = np.flatnonzero(~held[is_word])
-            key = np.empty(len(rare), dtype=[("d", np.int64), ("h", np.uint64)])
-            key["d"], key["h"] = words.doc[rare], words.hash[rare]
-            pair, times = np.unique(key, return_counts=True)
-            offset = pa.array(np.searchsorted(pair["d"], np.arange(words.n_docs + 1)).astype(np.int32))
-            structs = pa.StructArray.from_arrays([pa.array(pair["h"].view(np.int64)), pa.array(times.astype(np.int32))], names=["h", "n"])
+            rare = rare[np.lexsort((words.hash[rare], words.doc[rare]))]
+            d, h = words.doc[rare], words.hash[rare]
+            once = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])) if len(rare) else rare
+            offset = pa.array(np.searchsorted(d[once], np.arange(words.n_docs + 1)).astype(np.int32))
+            times = np.diff(np.append(once, len(rare)))
+            structs = pa.StructArray.from_arrays([pa.array(h[once].view(np.int64)), pa.array(times.astype(np.int32))], names=["h", "n"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(uid + np.arange(words.n_docs)), part.column(0), pa.array(np.diff(first)), pa.array(total((held & (count > 0)).astype(float)).astype(np.int64)),
                  pa.array(total(np.where(held, log_count, 0.0))), pa.array(total(logp)), pa.ListArray.from_arrays(offset, structs)],
