@@ -178,21 +178,23 @@ def _met(sets: DataFrame, runs: range, least_equal: int) -> DataFrame:
     some of the runs and whose signatures agree."""
     roots = F.array(*[F.lit(r).cast("long") for r in runs])
     # the root of each run holds all sets
-    rows = sets.select("id", "group", "sig", F.explode(roots).alias("path")).select("id", "group", F.explode(_children(F.col("path"))).alias("path"))
+    no_parent = F.lit(2**62).alias("parent")
+    rows = sets.select("id", "group", "sig", F.explode(roots).alias("path")).select("id", "group", no_parent, F.explode(_children(F.col("path"))).alias("path"))
     found = None
     for level in range(1, DEPTH + 1):
         # a bucket of a single group has nothing to compare
         sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("group").alias("_a"), F.max("group").alias("_b")).where("_a < _b").drop("_a", "_b")
         met = materialise(rows.join(sizes, "path"), "paths")
-        ready = met if level == DEPTH else met.where(F.col("size") <= SMALL)
-        dealt = _with_keys(ready, SMALL, F.col("size") / (SMALL // 2)).select("id", "group", F.explode("keys.key").alias("key")).join(sets.select("id", "sig"), "id")
+        # a bucket that keeps half of its parent is one of similar sets: to split it on would only repeat it
+        final = F.lit(level == DEPTH) | (F.col("size") <= SMALL) | (2 * F.col("size") >= F.col("parent"))
+        dealt = _with_keys(met.where(final), SMALL, F.col("size") / (SMALL // 2)).select("id", "group", F.explode("keys.key").alias("key")).join(sets.select("id", "sig"), "id")
         dealt = dealt.select("key", "group", "sig").repartition("key").sortWithinPartitions("key")
         edges = common.per_task(dealt, _bucket_edges(least_equal), "a long, b long")
         found = edges if found is None else found.unionAll(edges)
-        rest = met.where(F.col("size") > SMALL)
+        rest = met.where(~final)
         if level == DEPTH or rest.isEmpty():
             break
-        rows = rest.drop("size").join(sets.select("id", "sig"), "id").select("id", "group", F.explode(_children(F.col("path"))).alias("path"))
+        rows = rest.join(sets.select("id", "sig"), "id").select("id", "group", F.col("size").alias("parent"), F.explode(_children(F.col("path"))).alias("path"))
     return found
 
 
