@@ -217,6 +217,13 @@ def test_network_probabilities_sum_to_one_and_gradients_hold():
         assert grad[n][at] == pytest.approx((up - down) / 2e-2, abs=5e-2), n
 
 
+def test_network_knows_2047_words_and_48_endings(spark):
+    text = " ".join(f"word{i}{'abcdefgh'[i % 8]}{'klmnopqrst'[i // 8 % 10]}" for i in range(3000))
+    df = spark.createDataFrame([(text,)], "text string")
+    vocab, _ = gru_lm.fit(df, gru_lm.count_words(df), rounds=0)
+    assert vocab.n_words == 2048 and len(vocab.tail_mass) == 48
+
+
 def test_state_is_carried_across_windows():
     ids = np.array([1, 2, 3, 1, 2, 0, 3, 3, 0])
     first = np.array([0, 6, 9])
