@@ -279,8 +279,15 @@ class Adam:
     def add(self, targets: int) -> None:
         """``targets`` more have been added to ``grad``."""
         self.targets += targets
-        if self.targets < self.batch:
-            return
+        if self.targets >= self.batch:
+            self._step(self.rate)
+
+    def rest(self) -> None:
+        """A last step with what is left, shorter by its share of a batch."""
+        if self.targets:
+            self._step(self.rate * self.targets / self.batch)
+
+    def _step(self, rate: float) -> None:
         self.t += 1
         fix = math.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
         for n, g in self.grad.items():
@@ -288,7 +295,7 @@ class Adam:
             m, v = self.first[n], self.second[n]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            getattr(self.net, n)[...] -= self.rate * fix * m / (np.sqrt(v) + 1e-6)
+            getattr(self.net, n)[...] -= rate * fix * m / (np.sqrt(v) + 1e-6)
             g[...] = 0
         self.targets = 0
 
@@ -418,6 +425,7 @@ def _train_round(texts: DataFrame, vocab: Vocabulary, net: Network, lanes: int,
             ids, cls, word, _, _ = encode(words, words_of)
             tokens += len(ids)
             train_on(own, adam, lay_out(ids, cls, word, _targets_first(words), lanes, PIECE), window)
+        adam.rest()
         if tokens:
             flat = own.flat().astype(np.float64) * tokens
             flat = np.append(flat, np.zeros(-len(flat) % chunk)).reshape(-1, chunk)

@@ -224,6 +224,14 @@ def test_network_knows_2047_words_and_48_endings(spark):
     assert vocab.n_words == 2048 and len(vocab.tail_mass) == 48
 
 
+def test_small_partitions_train(spark):
+    """No partition has the 4,096 targets of a full step."""
+    df = spark.createDataFrame([(prose(i % 10, 100),) for i in range(40)], "text string").repartition(20)
+    vocab, start = gru_lm.fit(df, gru_lm.count_words(df), rounds=0)
+    flat = gru_lm._train_round(df, vocab, start, 512, 16, 0.01)
+    assert np.abs(flat[: len(start.flat())] - start.flat()).max() > 1e-4
+
+
 def test_state_is_carried_across_windows():
     ids = np.array([1, 2, 3, 1, 2, 0, 3, 3, 0])
     first = np.array([0, 6, 9])
