@@ -93,9 +93,9 @@ def lexical(df: DataFrame) -> DataFrame:
 
 def with_rates(df: DataFrame, rates: dict[str, DataFrame], prior: float) -> DataFrame:
     """Adds each suffix's block rate; unseen suffixes have the prior.  The
-    tables come from the bounded training sample, so they may be broadcast."""
+    tables grow with the labelled URLs: Spark chooses how to join them."""
     for s, table in rates.items():
-        df = df.join(F.broadcast(table), f"key_{s}", "left").withColumn(f"rate_{s}", F.coalesce(f"rate_{s}", F.lit(prior)))
+        df = df.join(table, f"key_{s}", "left").withColumn(f"rate_{s}", F.coalesce(f"rate_{s}", F.lit(prior)))
     return df
 
 
@@ -106,7 +106,8 @@ def judge(
 
     ``rules`` are (``host/path``, verdict) pairs, written by hand: they become
     part of the plan.  At most about ``most_rows`` labelled URLs, chosen by a
-    hash of the URL, train the trees (a URL that repeats counts once).
+    hash of the URL, train the trees (a URL that repeats counts once); the
+    suffixes' block rates are those of all labelled URLs.
     ``block_score`` is the trees' probability of ``block``, null where a rule
     decides.  Without labelled URLs of both verdicts, what no rule decides gets
     the one verdict that there is, or ``allow``.  A null URL, or one without
@@ -116,17 +117,18 @@ def judge(
     rows = df.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host_of(F.col(url_col)).alias("_host"), path_of(F.col(url_col)).alias("_path"))
     rows = rows.withColumn("_rule", longest_rule(rules, F.col("_host"), F.col("_path")))
     labelled = rows.where("_rule IS NOT NULL").select("_url", "_host", "_path", (F.col("_rule.verdict") == BLOCK).cast("double").alias("label")).distinct()
+    labelled = materialise(labelled, "urls")
     n, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     result = [F.col("_id").alias(id_col), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule")]
     if not 0 < blocked < n:
         only = BLOCK if n and blocked == n else ALLOW
         return rows.select(*result, F.coalesce("_rule.verdict", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("block_score"))
     share = min(1.0, most_rows / n)
-    sample = materialise(lexical(labelled.where(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))), "urls")
+    sample = materialise(lexical(labelled.where(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))), "url-sample")
     prior = blocked / n
     rates = {
-        s: materialise(sample.groupBy(f"key_{s}").agg(((F.sum("label") + smooth * prior) / (F.count("*") + smooth)).alias(f"rate_{s}")), "url-rates")
-        for s in SUFFIXES
+        s: materialise(labelled.groupBy(F.expr(e).alias(f"key_{s}")).agg(((F.sum("label") + smooth * prior) / (F.count("*") + smooth)).alias(f"rate_{s}")), "url-rates")
+        for s, e in SUFFIXES.items()
     }
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     trees_of = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, featuresCol="features", labelCol="label")

@@ -130,6 +130,17 @@ def test_trees_learn_held_out_rule_urls(spark):
     assert both.count() == 0 or both.where("truth = verdict").count() / both.count() > 0.5
 
 
+def test_rates_cover_labelled_urls_outside_the_sample(spark, monkeypatch):
+    rows = [(i, f"http://s{i // 4}.com/{'bad' if i % 4 < i // 4 % 4 else 'ok'}/{i}") for i in range(400)]
+    seen, own = {}, url_filter.with_rates
+    monkeypatch.setattr(url_filter, "with_rates", lambda df, rates, prior: seen.update(rates) or own(df, rates, prior))
+    rules = [("com/bad", "block"), ("com/", "allow")]
+    assert url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, most_rows=40, trees=2).count() == 400
+    prior = sum("bad" in u for _, u in rows) / 400
+    expected = {f"s{k}.com": pytest.approx((k % 4 + 10 * prior) / 14) for k in range(100)}
+    assert {r.key_host_2: r.rate_host_2 for r in seen["host_2"].collect()} == expected
+
+
 # --------------------------------------------------------------- transcripts
 def test_roles_are_recovered_from_held_out_conversations(spark):
     out = queries.op6_chat_format(spark, "/root/testdata/sf0.01")
