@@ -113,14 +113,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """The words of many texts as arrays: lower-cased A-Z, then maximal runs
     of word bytes (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``; with
-    ``split_on_space`` of bytes that are not ASCII white space).
+    ``split_on_space`` of bytes that are not ASCII white space; without
+    ``fold`` case is kept).
 
     ``data`` holds the texts' bytes with a break after each; ``start``/``end``
     are byte offsets of words, ``hash`` their 64-bit hashes, ``doc`` the text
     each belongs to and ``first[d]:first[d + 1]`` the words of text ``d``.
     """
 
-    def __init__(self, column: pa.Array, split_on_space: bool = False):
+    def __init__(self, column: pa.Array, split_on_space: bool = False, fold: bool = True):
         column = column.cast(pa.large_binary()).fill_null(b"")
         self.n_docs = len(column)
         ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
@@ -130,7 +131,7 @@ class Words:
         keep = np.ones(len(data), dtype=bool)
         keep[ends[1:] + np.arange(1, self.n_docs + 1)] = False
         keep[0] = False
-        data[keep] = _FOLD[raw]
+        data[keep] = _FOLD[raw] if fold else raw
         self.data = data
         inside = (_NOT_SPACE if split_on_space else _IS_WORD)[data]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1

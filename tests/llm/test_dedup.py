@@ -109,3 +109,57 @@ def test_rows_without_id_stay_and_repeated_rows_agree(spark):
         by[r.doc_id].append(r.text)
     assert by[None] == [PASSAGE] * 2 and by[1] == [PASSAGE] * 2 and by[2] == [""]
     assert substring_dedup.dedup_spans(df.limit(0)).count() == 0
+
+
+def brute_passages(rows, k=51):
+    """Texts as words, without those in a window that occurs before."""
+    first, out = {}, []
+    for i, t, _ in sorted(rows):
+        w = t.split()
+        gone = set()
+        for p in range(len(w) - k + 1):
+            place = first.setdefault(tuple(w[p : p + k]), (i, p))
+            if place[0] != i or p - place[1] >= k:
+                gone.update(range(p, p + k))
+        out.append((i, [x for p, x in enumerate(w) if p not in gone]))
+    return dict(out)
+
+
+def _stage(spark, rows):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(i, t, len(t)) for i, t, _ in rows], "doc_id long, text string, n_chars int")
+    return {r.doc_id: r for r in corpus_pipeline.cut_repeats(spark, df, "").collect()}
+
+
+def _unmarked(seed, n):
+    return " ".join(f"{w}{seed}" for w in prose(seed, n).replace(".", "").replace(",", "").split())
+
+
+def test_passages_without_whole_sentences_are_cut(spark):
+    """One sentence of 51 words, 60 and 300 words set into running text, exact
+    copies without ends, a text that repeats itself, and 50 words that stay."""
+    one, mid, long, fifty = _unmarked(1, 51), _unmarked(2, 60), _unmarked(3, 300), _unmarked(4, 50)
+    own = [_unmarked(10 + i, 40) for i in range(12)]
+    rows = [(1, one), (2, f"{own[0]} {mid} {own[1]}"), (3, f"{own[2]} {long} {own[3]}."), (4, f"{own[4]} {fifty} {own[5]}"), (5, one + "."), (6, f"{own[6]} {mid} {own[7]}")]
+    rows += [(7, f"{own[8]}\n{long}\n{own[9]}"), (8, one), (9, f"{own[10]} {fifty} {own[11]}"), (10, " ".join(["again"] * 130)), (11, f"{mid} {mid}"), (12, ""), (13, one.upper())]
+    rows = [(i, t, 0) for i, t in rows]
+    expected = brute_passages(rows)
+    assert expected[6] == (own[6] + " " + own[7]).split() and expected[8] == [] and len(expected[10]) == 51
+    got = _stage(spark, rows)
+    assert {i: r.text.split() for i, r in got.items()} == expected
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_passages_equal_brute_force(spark):
+    rows = [(i, t, n) for i, t, n in documents() if i not in (None, 0, 50, 60)]
+    out = substring_dedup.cut_passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.text.split() for r in out} == brute_passages(rows)
+
+
+def test_passages_of_rows_without_id_stay_and_repeated_rows_agree(spark):
+    text = _unmarked(5, 80)
+    rows = [(None, text, 1), (1, text, 1), (1, text, 1), (2, text, 1), (3, None, 1)]
+    out = substring_dedup.cut_passages(spark.createDataFrame(rows, SCHEMA))
+    assert _sorted(out.collect()) == _sorted([(None, text, 1), (1, text, 1), (1, text, 1), (2, "", 1), (3, None, 1)])
+    assert substring_dedup.cut_passages(out.limit(0)).count() == 0
