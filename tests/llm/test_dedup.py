@@ -163,3 +163,12 @@ def test_passages_of_rows_without_id_stay_and_repeated_rows_agree(spark):
     out = substring_dedup.cut_passages(spark.createDataFrame(rows, SCHEMA))
     assert _sorted(out.collect()) == _sorted([(None, text, 1), (1, text, 1), (1, text, 1), (2, "", 1), (3, None, 1)])
     assert substring_dedup.cut_passages(out.limit(0)).count() == 0
+
+
+def test_passages_with_short_whole_sentences_are_cut(spark):
+    """Whole sentences of 20 words between two that begin and end differently."""
+    passage = f"{_unmarked(30, 20)}. {_unmarked(31, 10)}. {_unmarked(32, 10)}. {_unmarked(33, 20)}"
+    rows = [(1, f"{_unmarked(34, 9)} {passage} {_unmarked(35, 9)}.", 0), (2, f"{_unmarked(36, 9)} {passage} {_unmarked(37, 9)}.", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {r.doc_id: r.text for r in substring_dedup.dedup_spans(df).collect()} == {i: t for i, t, _ in rows}
+    assert {i: r.text for i, r in _stage(spark, rows).items()} == {1: rows[0][1], 2: f"{_unmarked(36, 9)} {_unmarked(37, 9)}."}
