@@ -29,7 +29,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that another document has before are cut from the text: windows
     of more than 50 words, then shorter runs of whole sentences."""
-    out = substring_dedup.dedup_spans(substring_dedup.cut_passages(docs))
+    # written once: the second step reads its input three times
+    out = substring_dedup.dedup_spans(materialise(substring_dedup.cut_passages(docs), "pipeline-passages"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
