@@ -9,7 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentflow.llm import byte_bpe, decontaminate, gru_lm, mtree, ngram_join, substring_dedup, token_counts, toxicity, transcripts, url_filter
+from incidentflow.llm import (
+    byte_bpe,
+    decontaminate,
+    filter_audit,
+    gru_lm,
+    importance,
+    license_scan,
+    mtree,
+    ngram_join,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    transcripts,
+    twins,
+    url_filter,
+)
 from incidentflow.llm.common import crc_mod, read
 
 #: The rules of the URL filter's query.
@@ -72,6 +87,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = filter_audit.label_flags(read(spark, sf_dir, "labels"), {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1})
+    filters, states = filter_audit.failure_states(read(spark, sf_dir, "documents"), flags, F.col("source"))
+    return filter_audit.audit(states, filters)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.label_scores(license_scan.scan(read(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_join": op2_ngram_join,
@@ -83,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_license_scan": op12_license_scan,
+    "op13_importance": op13_importance,
 }
 
 #: Sentences numbered from 1; runs of two; every occurrence but the first covers
@@ -119,4 +162,10 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 10
 """
 
-SQL: dict[str, str] = {"op7_mtree_search": OP7_SQL, "op8_substring_dedup": OP8_SQL}
+SQL: dict[str, str] = {
+    "op7_mtree_search": OP7_SQL,
+    "op8_substring_dedup": OP8_SQL,
+    "op11_filter_audit": twins.OP11_SQL,
+    "op12_license_scan": twins.op12_sql(),
+    "op13_importance": twins.OP13_SQL,
+}
