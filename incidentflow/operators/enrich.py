@@ -109,7 +109,24 @@ def meteo_stations(wide: DataFrame) -> DataFrame:
 
 
 def with_nearest_station(accidents: DataFrame, stations: DataFrame, **kwargs) -> DataFrame:
-    return nearest_station(accidents, stations, out="meteo_estacio_proxima", point_key="numero_expedient", **kwargs)
+    return nearest_station(accidents, stations, out="meteo_estacio_proxima", **kwargs)
+
+
+def located_on_day(accidents: DataFrame, wide: DataFrame, distance_col: str | None = None) -> DataFrame:
+    """The nearest station among those with a reading on the accident's day:
+    where the nearest of all has none, the next nearest that does, proven by
+    the index of that day's stations rather than searched for in rounds.
+
+    A wide row is a reading, even if all its values are null.  Accidents on a
+    day without any reading by a station with coordinates, without a timestamp
+    or without coordinates are dropped (the match is inner); ties go to the
+    smaller code.
+    """
+    day = "_" * (1 + max(len(c) for c in accidents.columns)) + "day"
+    dated = accidents.withColumn(day, F.to_date("data_accident"))
+    stations = wide.select(F.col("data_lectura").cast("date").alias("day"), "codi_estacio", *COORD_COLUMNS)
+    found = nearest_station(dated, stations, out="meteo_estacio_proxima", within={day: "day"}, distance_col=distance_col)
+    return found.drop(day)
 
 
 def join_daily_readings(located: DataFrame, wide: DataFrame, how: str = "inner") -> DataFrame:
@@ -130,16 +147,20 @@ def join_daily_readings(located: DataFrame, wide: DataFrame, how: str = "inner")
     return keyed.join(m, cond, how).drop("__day", "__station")
 
 
-def unify(accidents: DataFrame, persons: DataFrame, wide: DataFrame, how: str = "inner", station_strategy: str = "auto") -> DataFrame:
+def unify(accidents: DataFrame, persons: DataFrame, wide: DataFrame, how: str = "inner", fallback: str | None = None) -> DataFrame:
     """One row per (accident, person) whose nearest station has a reading on
     the accident's day.
 
     ``accidents`` are the cleaned accidents (with ``data_accident``),
     ``persons`` the cleaned persons, ``wide`` the pivoted readings with
-    coordinates.  Order of work: nearest station (projection), daily readings
-    (broadcast-sized join), then the one large shuffle join with persons.
+    coordinates.  Order of work: nearest station (an equi-join with its cells),
+    daily readings (broadcast-sized join), then the one large shuffle join with
+    persons.  ``fallback="next_nearest"`` takes the nearest station that has a
+    reading on the accident's day (see :func:`located_on_day`).
     """
-    located = with_nearest_station(accidents, meteo_stations(wide), strategy=station_strategy)
+    if fallback not in (None, "next_nearest"):
+        raise ValueError(f"unknown fallback {fallback!r}")
+    located = located_on_day(accidents, wide) if fallback else with_nearest_station(accidents, meteo_stations(wide))
     with_weather = join_daily_readings(located, wide, how)
     person_cols = [c for c in PERSON_COLUMNS if c in persons.columns]
     p = persons.select(F.col("numero_expedient").alias("__pk"), *person_cols)

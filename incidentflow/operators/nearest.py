@@ -1,36 +1,51 @@
 """Nearest-station match (k = 1) by squared Euclidean distance in degrees.
 
-Two exact strategies, no cross join in either:
-
-* ``literal`` - the station set is small (checked: at most
-  ``max_literal_stations`` rows).  The stations become one literal array in
-  the plan and every point takes ``array_min`` over its distances: a pure
-  projection, no shuffle, no join; whole-stage codegen keeps it in the JVM.
-* ``grid`` - any station set.  Points and stations are put on a square grid;
-  each station is copied to its 3x3 neighbour cells and points equi-join on
-  their cell.  A point whose best distance is within the cell size is exact
-  (any closer station lies in the 3x3 block); the rest go to the next level
-  with a doubled cell.  Each level's result is written once under the
-  checkpoint folder, which cuts the lineage of the loop.
-
-Both give the same rows: ties are broken by the smaller station code; points
-without coordinates (NULL or NaN) get no station and are dropped (the match is
-inner, as in the unified join); points with a NULL key are kept; stations
-without a code or without coordinates are no stations.
+The stations are packed once into an index of cells that covers the whole plane;
+each cell carries the stations that can be the nearest of a point in it, so every
+point finds its cell by arithmetic, meets the candidates in one equi-join and
+takes the least distance.  The points are never aggregated or written, need no
+key, and move at most once (not at all where the planner broadcasts the index).
+
+The cells:
+
+* Inside the stations' square, slabs of equal station counts by longitude, each
+  cut into tiles of equal counts by latitude (sort-tile packing; the bounds are
+  mergeable quantiles), every tile cut into a small grid.
+* Outside, rings of doubling size, twelve squares each, out to ``PLACE_LIMIT``.
+
+The candidates: a station is left out of a cell only if another one is nearer at
+all four corners.  The difference of two squared distances is linear in the
+point, so it is then nearer everywhere in the cell; a margin far above rounding
+error keeps every station that the computed distances could prefer.  Which
+stations a region's champion (the least largest corner distance) leaves is found
+for tiles and rings first, then for a tile's grid from the tile's list.
+
+``within`` matches inside groups: a point only sees the stations of its own group
+(such as those with a reading on its day), each group with candidates of its own.
 """
 
 from __future__ import annotations
 
-import math
+from math import ceil, log2, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentflow.session import bounded_collect, materialise
+from incidentflow.session import materialise
 
-# Above this many stations the per-row cost of the literal scan (one distance
-# per station) exceeds the grid join, whose candidates are the 3x3 cells only.
-MAX_LITERAL_STATIONS = 256
+#: Coordinates beyond this (no place on Earth in degrees or metres) are no places.
+PLACE_LIMIT = 1e9
+#: Tiles along each side at most, and stations in a tile where that suffices.
+MOST_SLABS = 64
+PER_TILE = 16
+_MARGIN = 1e-12  # of a squared distance; rounding errors stay below 1e-14
+_PAD = 1e-9  # of a cell's size, for points that rounding puts in a neighbouring cell
+
+
+def placed(lat: str, lon: str) -> Column:
+    """Both coordinates are known, finite and within ``PLACE_LIMIT``."""
+    known = lambda c: F.col(c).isNotNull() & (F.abs(F.col(c).cast("double")) <= PLACE_LIMIT)
+    return known(lat) & known(lon)
 
 
 def _sq_distance(lat: Column, lon: Column, s_lat: Column, s_lon: Column) -> Column:
@@ -39,14 +54,156 @@ def _sq_distance(lat: Column, lon: Column, s_lat: Column, s_lon: Column) -> Colu
     return dlat * dlat + dlon * dlon
 
 
-def _placed(lat: str, lon: str) -> Column:
-    known = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    return known(lat) & known(lon)
+def _doubles(values) -> str:
+    return "array(" + ", ".join(_doubles(v) if isinstance(v, list) else f"{float(v)!r}D" for v in values) + ")"
+
+
+class Cells:
+    """The plane's cells: ``cx, cy, half`` of the stations' square, slab bounds,
+    each slab's tile bounds, and how many rings lie around."""
+
+    def __init__(self, center: tuple[float, float], half: float, slabs: list[float], tiles: list[list[float]], grid: int):
+        self.cx, self.cy = center
+        self.half, self.grid = half, grid
+        self.lon = [self.cx - half, *slabs, self.cx + half]
+        self.lat = [[self.cy - half, *row, self.cy + half] for row in tiles]
+        self.side = len(self.lat)
+        self.rings = max(1, ceil(log2(4 * PLACE_LIMIT / half)))
+
+    def regions(self) -> list[tuple[float, float, float, float]]:
+        """West, east, south, north of every region by its number, a little enlarged."""
+        out = []
+        for i in range(self.side):
+            for j in range(self.side):
+                out.append((self.lon[i], self.lon[i + 1], self.lat[i][j], self.lat[i][j + 1]))
+        for k in range(self.rings):
+            size = self.half * 2**k
+            for code in range(16):
+                span = lambda far, minus: (-(far + 1) * size, -far * size) if minus else (far * size, (far + 1) * size)
+                x, y = span(code & 1, code >> 1 & 1), span(code >> 2 & 1, code >> 3 & 1)
+                # the four squares around the centre are tiled: no point asks for them
+                empty = not code & 5
+                out.append((self.cx + x[0], self.cx + x[0] if empty else self.cx + x[1], self.cy + y[0], self.cy + y[0] if empty else self.cy + y[1]))
+        return [(a - _PAD * (b - a), b + _PAD * (b - a), c - _PAD * (d - c), d + _PAD * (d - c)) for a, b, c, d in out]
+
+    def region(self, lat: Column, lon: Column) -> dict[str, Column]:
+        """A point's region and its place in the tile's grid, to be added to a
+        frame in this order."""
+        x, y = (lon - self.cx) / self.half, (lat - self.cy) / self.half
+        reach = F.greatest(F.abs(x), F.abs(y))
+        ring = F.size(F.filter(F.expr(_doubles(2.0**k for k in range(1, self.rings))), lambda b: b <= reach)) if self.rings > 1 else F.lit(0)
+        size = F.pow(F.lit(2.0), ring)
+        code = F.lit(0)
+        for at, bit in ((x, 0), (y, 2)):
+            code = code + F.when(F.abs(at) >= size, 1 << bit).otherwise(0) + F.when(at < 0, 2 << bit).otherwise(0)
+        outer = self.side * self.side + ring * 16 + code
+        if self.side == 1:
+            return {"inner": reach < 1, "region": F.when(reach < 1, 0).otherwise(outer)}
+        slab = F.size(F.filter(F.expr(_doubles(self.lon[1:-1])), lambda b: b <= lon))
+        row = F.element_at(F.expr(_doubles([r[1:-1] for r in self.lat])), slab + 1)
+        return {"inner": reach < 1, "region": F.when(reach < 1, slab * self.side + F.size(F.filter(row, lambda b: b <= lat))).otherwise(outer)}
+
+
+def _with_box(df: DataFrame, region: Column, boxes: list, name: str) -> tuple[DataFrame, list[Column]]:
+    """Adds a region's box to the rows; its west, east, south and north."""
+    df = df.withColumn(name, F.element_at(F.expr(_doubles([list(b) for b in boxes])), region + 1))
+    return df, [F.element_at(name, k) for k in (1, 2, 3, 4)]
+
+
+def _largest(lat: Column, lon: Column, box: list[Column]) -> Column:
+    """The largest squared distance to a corner."""
+    w, e, s, n = box
+    dx, dy = F.greatest(F.abs(lon - w), F.abs(lon - e)), F.greatest(F.abs(lat - s), F.abs(lat - n))
+    return dx * dx + dy * dy
+
 
+def _left(lat: Column, lon: Column, by_lat: Column, by_lon: Column, box: list[Column]) -> Column:
+    """The other station is not surely nearer in the whole box: over corners, the
+    least difference of squared distances is no more than the margin."""
+    w, e, s, n = box
+    gain = F.least(*[_sq_distance(y, x, lat, lon) - _sq_distance(y, x, by_lat, by_lon) for x in (w, e) for y in (s, n)])
+    return gain <= _MARGIN * _largest(lat, lon, box)
 
-def _same_point(a: DataFrame, b: DataFrame) -> Column:
-    """The point's key (NULL equals NULL) and place agree."""
-    return a["__pk"].eqNullSafe(b["__pk"]) & (a["__plat"] == b["__plat"]) & (a["__plon"] == b["__plon"])
+
+def build_index(stations: DataFrame, groups: list[str], per_tile: int = PER_TILE) -> tuple[Cells, DataFrame] | None:
+    """The cells and the index ``<groups>, _cell, _candidates`` (structs of
+    code, lat, lon) of stations ``<groups>, _code, _lat, _lon``; None without
+    stations.  The index is written under the checkpoint folder, so that joins
+    see its size.
+
+    The driver reads at most 64 quantiles a slab of at most 64; stations only
+    move with the regions in which they stay candidates.
+    """
+    # of stations in one place only the smallest code can be chosen
+    st = materialise(stations.groupBy(*groups, "_lat", "_lon").agg(F.min("_code").alias("_code")), "nearest-stations")
+    shares = [k / MOST_SLABS for k in range(1, MOST_SLABS)]
+    ext = st.agg(
+        F.count("*").alias("n"),
+        F.approx_count_distinct(F.struct(*groups)).alias("g") if groups else F.lit(1).alias("g"),
+        *[f(c).alias(f"{f.__name__}{c}") for f in (F.min, F.max) for c in ("_lat", "_lon")],
+        F.percentile_approx("_lon", shares, 10_000).alias("q"),
+    ).first()
+    if not ext.n:
+        return None
+    each = ext.n / max(ext.g, 1)
+    side = max(1, min(MOST_SLABS, ceil(sqrt(each / per_tile))))
+    pick = lambda q: [q[k * MOST_SLABS // side - 1] for k in range(1, side)]
+    slabs = pick(ext.q)
+    tiles: list[list[float]] = [[]]
+    if side > 1:
+        slab = F.size(F.filter(F.expr(_doubles(slabs)), lambda b: b <= F.col("_lon")))
+        found = {r[0]: pick(r[1]) for r in st.groupBy(slab).agg(F.percentile_approx("_lat", shares, 10_000)).collect()}
+        tiles = [found.get(i) or next(iter(found.values())) for i in range(side)]
+    spread = max(ext["max_lat"] - ext["min_lat"], ext["max_lon"] - ext["min_lon"])
+    cells = Cells(
+        ((ext["max_lon"] + ext["min_lon"]) / 2, (ext["max_lat"] + ext["min_lat"]) / 2),
+        max(spread / 2 * (1 + 1e-6), 1e-6),
+        slabs,
+        tiles,
+        grid=max(1, ceil(sqrt(each / side / side))),
+    )
+    boxes = cells.regions()
+    every = st.withColumn("_region", F.explode(F.sequence(F.lit(0), F.lit(len(boxes) - 1))))
+    every, box = _with_box(every, F.col("_region"), boxes, "_box")
+    every = every.where(box[0] < box[1])
+    champion = every.groupBy(*groups, "_region").agg(F.min_by(F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon")), _largest(F.col("_lat"), F.col("_lon"), box)).alias("c"))
+    # a row for each group, with as many champions as there are regions
+    best = champion.groupBy(*groups).agg(F.collect_list(F.struct("_region", "c")).alias("_best"))
+    best = materialise(best, "nearest-champions")
+    if groups:
+        both = st.join(best, groups)
+    else:  # one row
+        both = st.withColumn("_one", F.lit(1)).join(F.broadcast(best.withColumn("_one", F.lit(1))), "_one")
+    both = both.select(*groups, "_lat", "_lon", "_code", F.inline("_best"))
+    both, box = _with_box(both, F.col("_region"), boxes, "_box")
+    kept = both.where(_left(F.col("_lat"), F.col("_lon"), F.col("c.lat"), F.col("c.lon"), box))
+    station = F.struct(F.col("_code").alias("code"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
+    lists = kept.groupBy(*groups, "_region").agg(F.collect_list(station).alias("_all"))
+    # a tile's grid takes its candidates from the tile's
+    g, inner = cells.grid, F.col("_region") < cells.side**2
+    lists = lists.withColumn("_sub", F.explode(F.sequence(F.lit(0), F.when(inner, g * g - 1).otherwise(0))))
+    lists, (w, e, s, n) = _with_box(lists, F.col("_region"), boxes, "_tile")
+    dx, dy = F.when(inner, (e - w) / g).otherwise(e - w), F.when(inner, (n - s) / g).otherwise(n - s)
+    i, j = F.floor(F.col("_sub") / g), F.col("_sub") % g
+    lists = lists.withColumn("_box", F.array(w + dx * (i - 2 * _PAD), w + dx * (i + 1 + 2 * _PAD), s + dy * (j - 2 * _PAD), s + dy * (j + 1 + 2 * _PAD)))
+    own = [F.element_at("_box", k) for k in (1, 2, 3, 4)]
+    lists = lists.withColumn("_top", F.array_min(F.transform("_all", lambda t: F.struct(_largest(t["lat"], t["lon"], own).alias("d"), t["lat"].alias("lat"), t["lon"].alias("lon")))))
+    index = lists.select(
+        *groups,
+        (F.col("_region") * F.lit(g * g).cast("long") + F.col("_sub")).alias("_cell"),
+        F.filter("_all", lambda t: _left(t["lat"], t["lon"], F.col("_top.lat"), F.col("_top.lon"), own)).alias("_candidates"),
+    )
+    return cells, materialise(index, "nearest-index")
+
+
+def with_cell(points: DataFrame, cells: Cells, lat: Column, lon: Column, name: str) -> DataFrame:
+    """Adds the cell of every (placed) point."""
+    g, at = cells.grid, cells.region(lat, lon)
+    rows = points.withColumns({f"{name}i": at["inner"], f"{name}r": at["region"]})
+    rows, (w, e, s, n) = _with_box(rows, F.when(F.col(f"{name}i"), F.col(f"{name}r")).otherwise(0), cells.regions()[: cells.side**2], f"{name}t")
+    step = lambda v, a, b: F.least(F.greatest(F.floor((v - a) / (b - a) * g), F.lit(0)), F.lit(g - 1))
+    sub = F.when(F.col(f"{name}i") & (w < e) & (s < n), step(lon, w, e) * g + step(lat, s, n)).otherwise(0)
+    return rows.withColumn(name, F.col(f"{name}r") * F.lit(g * g).cast("long") + sub).drop(f"{name}i", f"{name}r", f"{name}t")
 
 
 def nearest_station(
@@ -59,114 +216,44 @@ def nearest_station(
     station_lat: str = "latitud_wgs84",
     station_lon: str = "longitud_wgs84",
     distance_col: str | None = None,
-    strategy: str = "auto",
-    max_literal_stations: int = MAX_LITERAL_STATIONS,
-    point_key: str | None = None,
+    within: dict[str, str] | None = None,
+    per_tile: int = PER_TILE,
 ) -> DataFrame:
-    """Add ``out`` (and optionally the squared distance) to every point with
-    coordinates; points without coordinates are dropped."""
-    st = (
-        stations.where(_placed(station_lat, station_lon) & F.col(station_key).isNotNull())
-        .select(
-            F.col(station_key).alias("__code"),
-            F.col(station_lat).cast("double").alias("__slat"),
-            F.col(station_lon).cast("double").alias("__slon"),
-        )
-        .distinct()
-    )
-    located = points.where(_placed(lat, lon))
-    rows = None
-    if strategy in ("auto", "literal"):
-        rows = bounded_collect(st.orderBy("__code"), max_literal_stations)
-        if rows is None and strategy == "literal":
-            raise ValueError(f"more than {max_literal_stations} stations; use the grid strategy")
-        strategy = "literal" if rows is not None else "grid"
-    if strategy == "literal":
-        return _nearest_literal(located, rows, out, lat, lon, distance_col)
-    if strategy == "grid":
-        if point_key is None:
-            raise ValueError("the grid strategy needs a point_key")
-        return _nearest_grid(located, st, out, lat, lon, distance_col, point_key)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _nearest_literal(points, rows, out, lat, lon, distance_col):
-    if not rows:
-        return points.where(F.lit(False)).withColumn(out, F.lit(None).cast("string"))
-    arr = F.array(
-        *[
-            F.struct(F.lit(float(r["__slat"])).alias("slat"), F.lit(float(r["__slon"])).alias("slon"), F.lit(r["__code"]).alias("code"))
-            for r in rows
-        ]
-    )
-    best = F.array_min(
-        F.transform(
-            arr,
-            lambda s: F.struct(
-                _sq_distance(F.col(lat), F.col(lon), s["slat"], s["slon"]).alias("d"), s["code"].alias("code")
-            ),
-        )
-    )
-    # A located point always gets a station; saying so (a non-NULL default
-    # that never applies) lets the optimizer drop the NOT NULL filter it would
-    # infer from a later join on the code and push below the projection,
-    # which would compute every distance twice.
-    cols = {out: F.coalesce(best["code"], F.lit(""))}
-    if distance_col:
-        cols[distance_col] = best["d"]
-    return points.withColumns(cols)
-
+    """Add ``out`` (and optionally the squared distance) to every placed point.
 
-def _nearest_grid(points, st, out, lat, lon, distance_col, point_key, max_levels: int = 40):
-    ext = st.agg(
-        F.count("*").alias("n"),
-        F.min("__slat").alias("lat0"),
-        F.max("__slat").alias("lat1"),
-        F.min("__slon").alias("lon0"),
-        F.max("__slon").alias("lon1"),
-    ).first()
-    if not ext["n"]:
-        return points.where(F.lit(False)).withColumn(out, F.lit(None).cast("string"))
-    area = max((ext["lat1"] - ext["lat0"]) * (ext["lon1"] - ext["lon0"]), 1e-12)
-    cell = max(math.sqrt(area / ext["n"]), 1e-6)  # about one station per cell
-    pts = points.select(F.col(point_key).alias("__pk"), F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
-    resolved = []
-    pending = pts
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    for level in range(max_levels):
-        size = cell * (2**level)
-        spread = (
-            st.withColumn("__o", F.explode(offsets))
-            .select(
-                "__code", "__slat", "__slon",
-                (F.floor(F.col("__slon") / size) + F.col("__o.dx")).alias("__cx"),
-                (F.floor(F.col("__slat") / size) + F.col("__o.dy")).alias("__cy"),
-            )
-        )
-        cells = pending.withColumns(
-            {"__cx": F.floor(F.col("__plon") / size), "__cy": F.floor(F.col("__plat") / size)}
-        )
-        best = (
-            cells.join(spread, ["__cx", "__cy"])
-            .groupBy("__pk", "__plat", "__plon")
-            .agg(F.min(F.struct(_sq_distance(F.col("__plat"), F.col("__plon"), F.col("__slat"), F.col("__slon")).alias("d"), F.col("__code").alias("code"))).alias("__b"))
-        )
-        # strictly inside the cell size: exact whatever the rounding of floor()
-        done = materialise(best.where(F.col("__b.d") < (size * 0.999) ** 2), f"nearest_level{level}")
-        resolved.append(done)
-        pending = materialise(pending.join(done, _same_point(pending, done), "left_anti"), f"nearest_pending{level}")
-        # once the cell exceeds every possible distance (< 404 degrees) the
-        # 3x3 block holds every station, so the loop always ends
-        if pending.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"points without a proven nearest station after {max_levels} levels")
-    found = resolved[0]
-    for extra in resolved[1:]:
-        found = found.unionByName(extra)
-    cols = [F.col("__pk"), F.col("__plat"), F.col("__plon"), F.col("__b.code").alias(out)]
+    ``within`` maps columns of the points to columns of the stations: only
+    stations that agree in them count, and a point whose group has none is
+    dropped (a null agrees with nothing).  Points without a place (a null, NaN,
+    infinite or impossible coordinate) are dropped, as the match is inner;
+    stations without a code or a place are no stations.  Ties go to the smaller
+    code.  Repeated points and points with equal keys keep a row each; other
+    columns pass through.  ``per_tile`` only sets how fine the index is.
+    """
+    groups = [f"_g{k}" for k in range(len(within or {}))]
+    st = stations.where(placed(station_lat, station_lon) & F.col(station_key).isNotNull()).select(
+        *[F.col(c).alias(g) for g, c in zip(groups, (within or {}).values())],
+        F.col(station_key).alias("_code"),
+        F.col(station_lat).cast("double").alias("_lat"),
+        F.col(station_lon).cast("double").alias("_lon"),
+    )
+    for g in groups:
+        st = st.where(F.col(g).isNotNull())
+    located = points.where(placed(lat, lon))
+    built = build_index(st, groups, per_tile)
+    if built is None:
+        empty = points.where(F.lit(False)).withColumn(out, F.lit(None).cast(stations.schema[station_key].dataType))
+        return empty.withColumn(distance_col, F.lit(None).cast("double")) if distance_col else empty
+    cells, index = built
+    free = "_" * (1 + max(len(c) for c in points.columns))  # longer than any name of the points
+    own = index.select(*[F.col(c).alias(free + c) for c in index.columns])
+    y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
+    keyed = with_cell(located, cells, y, x, free)
+    same = keyed[free] == own[f"{free}_cell"]
+    for g, c in zip(groups, within or {}):
+        same = same & (keyed[c] == own[free + g])
+    best = F.array_min(F.transform(f"{free}_candidates", lambda s: F.struct(_sq_distance(y, x, s["lat"], s["lon"]).alias("d"), s["code"].alias("code"))))
+    found = keyed.join(own, same).withColumn(f"{free}b", best)
+    cols = {out: F.col(f"{free}b.code")}
     if distance_col:
-        cols.append(F.col("__b.d").alias(distance_col))
-    f = found.select(*cols)
-    cond = points[point_key].eqNullSafe(f["__pk"]) & (points[lat] == f["__plat"]) & (points[lon] == f["__plon"])
-    return points.join(f, cond).drop("__pk", "__plat", "__plon")
+        cols[distance_col] = F.col(f"{free}b.d")
+    return found.withColumns(cols).select(*[c for c in points.columns if c not in cols], *cols)

@@ -68,23 +68,23 @@ def left_join_coords(spark, d):
     return enrich.attach_coords(zones.trusted_readings(spark, d), standins.stations(spark, d))
 
 
-def _nearest(spark, d, strategy):
+def _nearest(spark, d, **index):
     wide = zones.wide_readings_table(spark, d)
     located = enrich.with_nearest_station(
-        zones.trusted_accidents(spark, d), enrich.meteo_stations(wide), distance_col="dist_sq", strategy=strategy
+        zones.trusted_accidents(spark, d), enrich.meteo_stations(wide), distance_col="dist_sq", **index
     )
     return located.select("numero_expedient", "meteo_estacio_proxima", "dist_sq")
 
 
 @register("nearest_station", O.with_ctes("SELECT * FROM nearest"))
 def nearest_station(spark, d):
-    return _nearest(spark, d, "auto")
+    return _nearest(spark, d)
 
 
 @register("nearest_station_grid", O.with_ctes("SELECT * FROM nearest"))
 def nearest_station_grid(spark, d):
-    """The same by the grid, the plan for any number of stations."""
-    return _nearest(spark, d, "grid")
+    """The same through an index with many tiles of few stations."""
+    return _nearest(spark, d, per_tile=2)
 
 
 @register(
@@ -108,6 +108,13 @@ def join_daily_readings(spark, d):
     return enrich.join_daily_readings(zones.located_accidents(spark, d, wide), wide)
 
 
+@register("join_daily_readings_fallback", O.with_ctes("SELECT * FROM with_weather_fallback"))
+def join_daily_readings_fallback(spark, d):
+    """Readings of the nearest station that has any on the accident's day."""
+    wide = zones.wide_readings_table(spark, d)
+    return enrich.join_daily_readings(enrich.located_on_day(zones.trusted_accidents(spark, d), wide), wide)
+
+
 @register("unified", O.with_ctes("SELECT * FROM unified"))
 def unified(spark, d):
     return zones.unified(spark, d)

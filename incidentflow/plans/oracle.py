@@ -132,6 +132,15 @@ SELECT l.*, {", ".join(f'm."{a}"' for a in STANDIN_ACRONYMS)},
        m.latitud_wgs84 AS meteo_latitud_wgs84, m.longitud_wgs84 AS meteo_longitud_wgs84
 FROM located l JOIN t_meteo_wide m
   ON m.data_lectura = CAST(l.data_accident AS DATE) AND m.codi_estacio = l.meteo_estacio_proxima""",
+    "with_weather_fallback": f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT a.*, m.codi_estacio AS meteo_estacio_proxima, {", ".join(f'm."{a}"' for a in STANDIN_ACRONYMS)},
+         m.latitud_wgs84 AS meteo_latitud_wgs84, m.longitud_wgs84 AS meteo_longitud_wgs84,
+         row_number() OVER (PARTITION BY a.numero_expedient ORDER BY {_DIST.replace("s.", "m.")}, m.codi_estacio) AS rn
+  FROM t_accidents_ts a JOIN t_meteo_wide m
+    ON m.data_lectura = CAST(a.data_accident AS DATE)
+   AND a.latitud_wgs84 IS NOT NULL AND a.longitud_wgs84 IS NOT NULL AND m.latitud_wgs84 IS NOT NULL AND m.longitud_wgs84 IS NOT NULL)
+WHERE rn = 1""",
     "unified": """
 SELECT w.*, p.desc_tipus_vehicle_implicat, p.edat, p.descripcio_tipus_persona,
        p.descripcio_motiu_desplacament_conductor

@@ -1,58 +1,12 @@
-"""Integration: pivot, nearest station (both strategies against brute force),
-timestamps and the unified join."""
-
-import random
+"""Integration: pivot, timestamps and the unified join."""
 
 from pyspark.sql import functions as F
 
 from incidentflow.operators import enrich, quality
-from incidentflow.operators.nearest import nearest_station
 from incidentflow.plans import standins
 from tests.conftest import SF01
 
 
-def _brute(points, stations):
-    out = {}
-    for pid, lat, lon in points:
-        if lat is None or lon is None:
-            continue
-        best = min(((lat - s[1]) * (lat - s[1]) + (lon - s[2]) * (lon - s[2]), s[0]) for s in stations)
-        out[pid] = best[1]
-    return out
-
-
-def _random_case(spark, n_points, n_stations, seed):
-    rnd = random.Random(seed)
-    stations = [(f"S{i:03d}", round(rnd.uniform(41.3, 41.5), 3), round(rnd.uniform(2.0, 2.3), 3)) for i in range(n_stations)]
-    stations.append(("S_dup", stations[0][1], stations[0][2]))  # exact tie with S000
-    points = [(i, round(rnd.uniform(41.25, 41.55), 4), round(rnd.uniform(1.95, 2.35), 4)) for i in range(n_points)]
-    points += [(n_points, None, 2.1), (n_points + 1, stations[0][1], stations[0][2])]
-    p = spark.createDataFrame(points, "pid long, latitud_wgs84 double, longitud_wgs84 double")
-    s = spark.createDataFrame(stations, "codi_estacio string, latitud_wgs84 double, longitud_wgs84 double")
-    return points, stations, p, s
-
-
-def test_nearest_literal_and_grid_match_brute_force(spark):
-    points, stations, p, s = _random_case(spark, 300, 40, 7)
-    expected = _brute(points, stations)
-    assert expected[301] == "S000"  # tie broken by the smaller code
-    for strategy in ("literal", "grid"):
-        got = nearest_station(p, s, out="st", strategy=strategy, point_key="pid")
-        assert {r.pid: r.st for r in got.collect()} == expected, strategy
-
-
-def test_nearest_auto_switches_to_grid_beyond_bound(spark):
-    points, stations, p, s = _random_case(spark, 100, 30, 11)
-    got = nearest_station(p, s, out="st", max_literal_stations=5, point_key="pid")
-    assert {r.pid: r.st for r in got.collect()} == _brute(points, stations)
-
-
-def test_literal_plan_has_no_join_or_exchange(spark):
-    _, _, p, s = _random_case(spark, 10, 5, 3)
-    plan = nearest_station(p, s, out="st")._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Exchange" not in plan
-
-
 def test_pivot_one_row_per_day_and_station(spark):
     readings = spark.createDataFrame(
         [("2024-01-01", "A", "tm", 1.0), ("2024-01-01", "A", "TM", 3.0), ("2024-01-01", "A", "PPT", 0.5), ("2024-01-02", "A", "PPT", None)],
@@ -84,22 +38,3 @@ def test_unified_draft_counts(spark):
 def test_station_coords_from_catalogue(spark):
     coords = enrich.station_coords(standins.station_catalogue(spark, SF01), lat="LATITUD", lon="LONGITUD")
     assert coords.count() == 100 and coords.where(F.col("latitud_wgs84").isNull()).count() == 0
-
-
-def test_null_keys_and_nan_places_on_both_strategies(spark):
-    nan = float("nan")
-    pts = [(None, 41.31, 2.01), (None, 41.49, 2.29), (1, nan, 2.1), (2, 41.4, None), (3, 41.4, 2.15)]
-    sts = [("A", 41.3, 2.0), ("B", 41.5, 2.3), (None, 41.4, 2.15), ("C", nan, 2.1), ("D", None, 2.1)]
-    p = spark.createDataFrame(pts, "pid long, latitud_wgs84 double, longitud_wgs84 double")
-    s = spark.createDataFrame(sts, "codi_estacio string, latitud_wgs84 double, longitud_wgs84 double")
-    out = [sorted(map(str, nearest_station(p, s, out="st", strategy=x, point_key="pid").collect())) for x in ("literal", "grid")]
-    assert out[0] == out[1] and len(out[0]) == 3
-
-
-def test_grid_with_repeated_point_keys(spark):
-    _, stations, _, s = _random_case(spark, 5, 20, 5)
-    pts = [(1, 41.31, 2.01), (1, 41.49, 2.29), (2, 41.4, 2.15)]
-    p = spark.createDataFrame(pts, "pid long, latitud_wgs84 double, longitud_wgs84 double")
-    got = sorted((r.pid, r.latitud_wgs84, r.st) for r in nearest_station(p, s, out="st", strategy="grid", point_key="pid").collect())
-    want = sorted((pid, lat, _brute([(0, lat, lon)], stations)[0]) for pid, lat, lon in pts)
-    assert got == want
