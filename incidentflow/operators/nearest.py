@@ -16,9 +16,10 @@ The cells:
 The candidates: a station is left out of a cell only if another one is nearer at
 all four corners.  The difference of two squared distances is linear in the
 point, so it is then nearer everywhere in the cell; a margin far above rounding
-error keeps every station that the computed distances could prefer.  Which
-stations a region's champion (the least largest corner distance) leaves is found
-for tiles and rings first, then for a tile's grid from the tile's list.
+error keeps every station that the computed distances could prefer.  Tiles and
+rings come first: a station of each tile stands for it, five of these champion a
+region, and each station goes to the regions where none of them beats it.  Then
+a tile's list gives the lists of its grid in the same way.
 
 ``within`` matches inside groups: a point only sees the stations of its own group
 (such as those with a reading on its day), each group with candidates of its own.
@@ -26,18 +27,24 @@ for tiles and rings first, then for a tile's grid from the tile's list.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil, log2, sqrt
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentflow.session import materialise
+from incidentflow.session import materialise, ship_package
 
 #: Coordinates beyond this (no place on Earth in degrees or metres) are no places.
 PLACE_LIMIT = 1e9
 #: Tiles along each side at most, and stations in a tile where that suffices.
 MOST_SLABS = 64
 PER_TILE = 16
+#: Stations of a group that one task deals out.
+SHARE_ROWS = 50_000
 _MARGIN = 1e-12  # of a squared distance; rounding errors stay below 1e-14
 _PAD = 1e-9  # of a cell's size, for points that rounding puts in a neighbouring cell
 
@@ -110,19 +117,124 @@ def _with_box(df: DataFrame, region: Column, boxes: list, name: str) -> tuple[Da
     return df, [F.element_at(name, k) for k in (1, 2, 3, 4)]
 
 
-def _largest(lat: Column, lon: Column, box: list[Column]) -> Column:
-    """The largest squared distance to a corner."""
-    w, e, s, n = box
-    dx, dy = F.greatest(F.abs(lon - w), F.abs(lon - e)), F.greatest(F.abs(lat - s), F.abs(lat - n))
-    return dx * dx + dy * dy
-
-
-def _left(lat: Column, lon: Column, by_lat: Column, by_lon: Column, box: list[Column]) -> Column:
-    """The other station is not surely nearer in the whole box: over corners, the
-    least difference of squared distances is no more than the margin."""
-    w, e, s, n = box
-    gain = F.least(*[_sq_distance(y, x, lat, lon) - _sq_distance(y, x, by_lat, by_lon) for x in (w, e) for y in (s, n)])
-    return gain <= _MARGIN * _largest(lat, lon, box)
+# ------------------------------------------------------ candidates as arrays
+def _corners(lat: np.ndarray, lon: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Squared distances of every station to the corners of every box, by corner."""
+    w, e, s, n = boxes.T
+    dw, de, ds, dn = ((v[:, None] - b[None, :]) ** 2 for v, b in ((lon, w), (lon, e), (lat, s), (lat, n)))
+    return np.stack([dw + ds, dw + dn, de + ds, de + dn])
+
+
+def _champions(lat: np.ndarray, lon: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Five stations for each box: the nearest to each corner, and the one whose
+    farthest corner is nearest."""
+    d = _corners(lat, lon, boxes)
+    return np.concatenate([d.argmin(axis=1), d.max(axis=0).argmin(axis=0)[None]])
+
+
+def _remain(lat: np.ndarray, lon: np.ndarray, c_lat: np.ndarray, c_lon: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Which stations (rows) no champion of a box (columns) surely beats in all of it."""
+    d = _corners(lat, lon, boxes)
+    margin = _MARGIN * d.max(axis=0)
+    out = np.ones(d.shape[1:], dtype=bool)
+    w, e, s, n = boxes.T
+    for y, x in zip(c_lat, c_lon):
+        own = np.stack([(v - x) ** 2 + (u - y) ** 2 for v in (w, e) for u in (s, n)])
+        out &= (d - own[:, None, :]).min(axis=0) <= margin
+    return out
+
+
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The stretches of a sorted batch that agree in ``keys``."""
+    if not batch.num_rows:
+        return
+    if not keys:
+        yield (), batch
+        return
+    codes = [pc.dictionary_encode(batch.column(k)).indices.to_numpy() for k in keys]
+    edge = np.flatnonzero(np.any([np.diff(c) != 0 for c in codes], axis=0)) + 1
+    for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows]):
+        yield tuple(batch.column(k)[a].as_py() for k in keys), batch.slice(a, b - a)
+
+
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _deal_regions(boxes: np.ndarray, groups: list[str], chunk: int = 256):
+    """Streams rows sorted by (group, share), a group's representatives first:
+    they give every region's champions, then each station goes to the regions
+    where it stays a candidate.  Memory: the representatives and a chunk."""
+    wide = np.flatnonzero(boxes[:, 0] < boxes[:, 1])
+    real = boxes[wide]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, champions = None, [], None
+        for batch in batches:
+            for key, part in _runs(batch, [*groups, "_share", "_first"]):
+                lat, lon = _column(part, "_lat"), _column(part, "_lon")
+                if key[:-1] != now:
+                    now, held, champions = key[:-1], [], None
+                if key[-1] == 0:  # representatives
+                    held.append((lat, lon))
+                    continue
+                if champions is None:
+                    r_lat, r_lon = (np.concatenate(x) for x in zip(*held))
+                    best = _champions(r_lat, r_lon, real)
+                    champions = r_lat[best], r_lon[best]
+                for a in range(0, len(lat), chunk):
+                    row, region = np.nonzero(_remain(lat[a : a + chunk], lon[a : a + chunk], *champions, real))
+                    taken = part.slice(a, chunk).take(pa.array(row))
+                    cols = [taken.column(c) for c in [*groups, "_code", "_lat", "_lon"]]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(wide[region].astype(np.int32))], names=[*groups, "_code", "_lat", "_lon", "_region"])
+
+    return run
+
+
+def _deal_cells(boxes: np.ndarray, inner: int, grid: int, groups: list[str]):
+    """Streams candidates sorted by (group, region): a region's list gives the
+    lists of its cells (a tile has ``grid`` squared, a ring's square one)."""
+    step = np.arange(grid)
+    i, j = np.repeat(step, grid), np.tile(step, grid)
+
+    def cells(region: int) -> np.ndarray:
+        w, e, s, n = boxes[region]
+        if region >= inner:
+            return boxes[region][None]
+        dx, dy = (e - w) / grid, (n - s) / grid
+        return np.stack([w + dx * (i - 2 * _PAD), w + dx * (i + 1 + 2 * _PAD), s + dy * (j - 2 * _PAD), s + dy * (j + 1 + 2 * _PAD)], axis=1)
+
+    def lists(parts: list[pa.RecordBatch], region: int) -> pa.RecordBatch:
+        all_of = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        lat, lon, own = _column(all_of, "_lat"), _column(all_of, "_lon"), cells(region)
+        cell, row = [], []
+        for a in range(0, len(own), 64):
+            best = _champions(lat, lon, own[a : a + 64])
+            c, r = np.nonzero(_remain(lat, lon, lat[best], lon[best], own[a : a + 64]).T)
+            cell.append(c + a)
+            row.append(r)
+        cell, row = np.concatenate(cell), np.concatenate(row)
+        taken = all_of.take(pa.array(row))
+        entry = pa.StructArray.from_arrays([taken.column(c) for c in ("_code", "_lat", "_lon")], names=["code", "lat", "lon"])
+        edge = np.searchsorted(cell, np.arange(len(own) + 1)).astype(np.int32)
+        first = all_of.slice(0, 1)
+        keys = [first.column(g).take(pa.array(np.zeros(len(own), np.int32))) for g in groups]
+        number = region * grid * grid + np.arange(len(own), dtype=np.int64)
+        return pa.RecordBatch.from_arrays([*keys, pa.array(number), pa.ListArray.from_arrays(pa.array(edge), entry)], names=[*groups, "_cell", "_candidates"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for key, part in _runs(batch, [*groups, "_region"]):
+                if held and key != now:
+                    yield lists(held, now[-1])
+                    held = []
+                now = key
+                held.append(part)
+        if held:
+            yield lists(held, now[-1])
+
+    return run
 
 
 def build_index(stations: DataFrame, groups: list[str], per_tile: int = PER_TILE) -> tuple[Cells, DataFrame] | None:
@@ -131,8 +243,8 @@ def build_index(stations: DataFrame, groups: list[str], per_tile: int = PER_TILE
     stations.  The index is written under the checkpoint folder, so that joins
     see its size.
 
-    The driver reads at most 64 quantiles a slab of at most 64; stations only
-    move with the regions in which they stay candidates.
+    The driver reads at most 64 quantiles a slab of at most 64; stations stream
+    through tasks in shares and move with the regions in which they stay candidates.
     """
     # of stations in one place only the smallest code can be chosen
     st = materialise(stations.groupBy(*groups, "_lat", "_lon").agg(F.min("_code").alias("_code")), "nearest-stations")
@@ -162,37 +274,22 @@ def build_index(stations: DataFrame, groups: list[str], per_tile: int = PER_TILE
         tiles,
         grid=max(1, ceil(sqrt(each / side / side))),
     )
-    boxes = cells.regions()
-    every = st.withColumn("_region", F.explode(F.sequence(F.lit(0), F.lit(len(boxes) - 1))))
-    every, box = _with_box(every, F.col("_region"), boxes, "_box")
-    every = every.where(box[0] < box[1])
-    champion = every.groupBy(*groups, "_region").agg(F.min_by(F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon")), _largest(F.col("_lat"), F.col("_lon"), box)).alias("c"))
-    # a row for each group, with as many champions as there are regions
-    best = champion.groupBy(*groups).agg(F.collect_list(F.struct("_region", "c")).alias("_best"))
-    best = materialise(best, "nearest-champions")
-    if groups:
-        both = st.join(best, groups)
-    else:  # one row
-        both = st.withColumn("_one", F.lit(1)).join(F.broadcast(best.withColumn("_one", F.lit(1))), "_one")
-    both = both.select(*groups, "_lat", "_lon", "_code", F.inline("_best"))
-    both, box = _with_box(both, F.col("_region"), boxes, "_box")
-    kept = both.where(_left(F.col("_lat"), F.col("_lon"), F.col("c.lat"), F.col("c.lon"), box))
-    station = F.struct(F.col("_code").alias("code"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
-    lists = kept.groupBy(*groups, "_region").agg(F.collect_list(station).alias("_all"))
-    # a tile's grid takes its candidates from the tile's
-    g, inner = cells.grid, F.col("_region") < cells.side**2
-    lists = lists.withColumn("_sub", F.explode(F.sequence(F.lit(0), F.when(inner, g * g - 1).otherwise(0))))
-    lists, (w, e, s, n) = _with_box(lists, F.col("_region"), boxes, "_tile")
-    dx, dy = F.when(inner, (e - w) / g).otherwise(e - w), F.when(inner, (n - s) / g).otherwise(n - s)
-    i, j = F.floor(F.col("_sub") / g), F.col("_sub") % g
-    lists = lists.withColumn("_box", F.array(w + dx * (i - 2 * _PAD), w + dx * (i + 1 + 2 * _PAD), s + dy * (j - 2 * _PAD), s + dy * (j + 1 + 2 * _PAD)))
-    own = [F.element_at("_box", k) for k in (1, 2, 3, 4)]
-    lists = lists.withColumn("_top", F.array_min(F.transform("_all", lambda t: F.struct(_largest(t["lat"], t["lon"], own).alias("d"), t["lat"].alias("lat"), t["lon"].alias("lon")))))
-    index = lists.select(
-        *groups,
-        (F.col("_region") * F.lit(g * g).cast("long") + F.col("_sub")).alias("_cell"),
-        F.filter("_all", lambda t: _left(t["lat"], t["lon"], F.col("_top.lat"), F.col("_top.lon"), own)).alias("_candidates"),
-    )
+    boxes, spark = np.array(cells.regions()), st.sparkSession
+    ship_package(spark)
+    # a station of each tile stands for it; large groups are dealt out in shares, each with all of them
+    shares = F.lit(ceil(each / SHARE_ROWS))
+    tile = cells.region(F.col("_lat"), F.col("_lon"))["region"]
+    every = st.withColumns({"_share": F.pmod(F.xxhash64("_lat", "_lon"), shares).cast("int"), "_first": F.lit(1)})
+    of_tile = st.groupBy(*groups, tile.alias("_tile")).agg(F.min(F.struct("_lat", "_lon", "_code")).alias("_s")).select(*groups, "_s.*")
+    of_tile = of_tile.withColumns({"_share": F.explode(F.sequence(F.lit(0), shares - 1)), "_first": F.lit(0)})
+    keys = [*groups, "_share"]
+    streams = every.unionByName(of_tile).repartition(*keys).sortWithinPartitions(*keys, "_first")
+    kinds = {f.name: f.dataType.simpleString() for f in st.schema.fields}
+    station = [f"{g} {kinds[g]}" for g in groups] + [f"_code {kinds['_code']}", "_lat double", "_lon double", "_region int"]
+    kept = streams.mapInArrow(_deal_regions(boxes, groups), ", ".join(station))
+    keys = [*groups, "_region"]
+    schema = ", ".join([f"{g} {kinds[g]}" for g in groups] + [f"_cell long, _candidates array<struct<code:{kinds['_code']},lat:double,lon:double>>"])
+    index = kept.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_deal_cells(boxes, cells.side**2, cells.grid, groups), schema)
     return cells, materialise(index, "nearest-index")
 
 
