@@ -6,7 +6,10 @@ import atexit
 import os
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,25 +131,69 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     _WRITTEN.append(path)
+    if getattr(_OPEN, "scratch", None) is not None:
+        _OPEN.scratch.paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 _WRITTEN: list[str] = []
+_OPEN = threading.local()
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
 
 
 def release(spark: SparkSession) -> int:
     """Removes the tables that :func:`materialise` has written; frames read
     from them can no longer be used.  Returns how many there were.  Called at
     the end of the Python process for a session that is still up."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     paths, _WRITTEN[:] = list(_WRITTEN), []
-    for path in paths:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+    _remove(spark, paths)
     return len(paths)
 
 
+class Scratch:
+    """The tables that :func:`materialise` writes inside :func:`releasing`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.kept = spark, [], []
+
+    def drop_between(self) -> None:
+        """Removes all but the first table written and the last."""
+        self._remove(self.paths[1:-1])
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The last table written stays until :func:`release`."""
+        self.kept.append(self.paths.pop())
+        return df
+
+    def _remove(self, paths: list[str]) -> None:
+        _remove(self.spark, paths)
+        self.paths = [p for p in self.paths if p not in paths]
+        _WRITTEN[:] = [p for p in _WRITTEN if p not in paths]
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[Scratch]:
+    """Removes at its end what was written inside (by this thread), so that
+    rounds and micro-batches do not pile up; what the block returns must be
+    kept (:meth:`Scratch.keep`) or written elsewhere."""
+    outer, scratch = getattr(_OPEN, "scratch", None), Scratch(spark)
+    _OPEN.scratch = scratch
+    try:
+        yield scratch
+    finally:
+        _OPEN.scratch = outer
+        scratch._remove(list(scratch.paths))
+        if outer is not None:
+            outer.paths += scratch.kept
+
+
 @atexit.register
 def _release_at_exit() -> None:
     spark = SparkSession.getActiveSession()
