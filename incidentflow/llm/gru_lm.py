@@ -16,7 +16,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -32,8 +32,11 @@ from incidentflow.session import materialise
 #: The hash that stands for the end of a text (no word has it but by chance of 2**-64).
 END = np.uint64(0x0E4D0F7E8C0DE5A1)
 GROUP = 64
+CACHED = 1024
 #: Targets after which a text goes on from a fresh state in training (scoring carries it on).
 PIECE = 2048
+#: Bytes of text made into words at once, and words that fill the lanes together.
+SLICE, POOL = 1_900_000, 2_500_000
 
 
 # ---------------------------------------------------------------- vocabulary
@@ -70,7 +73,7 @@ def suffixes(words: Words) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
-    for part in common.slices(batches, common.TEXT, 1 << 22):
+    for part in common.slices(batches, common.TEXT, SLICE):
         words = Words(part.column(0), split_on_space=True)
         h, first, n = np.unique(words.hash, return_index=True, return_counts=True)
         held.append(np.array([part.num_rows]))
@@ -188,7 +191,9 @@ class Network:
         ones = np.ones((len(h), 1), dtype=np.float32)
         wide = np.concatenate([h, ones], axis=1)
         part = None if grad is None else (grad["class_w"], grad["class_b"])
-        logp, dh = _softmax(wide, self.class_w, self.class_b, cls, part)
+        # in pieces whose logits stay in a core's cache
+        pieces = [_softmax(wide[a : a + CACHED], self.class_w, self.class_b, cls[a : a + CACHED], part) for a in range(0, len(h), CACHED)]
+        logp, dh = np.concatenate([p for p, _ in pieces]), None if grad is None else np.concatenate([d for _, d in pieces])
         known = np.flatnonzero(word >= 0)
         known = known[np.argsort(cls[known], kind="stable")]
         cut = np.flatnonzero(np.concatenate([[True], np.diff(cls[known]) > 0])) if len(known) else []
@@ -327,16 +332,37 @@ class Lanes:
             yield where, self.before[at], self.begins[at] | ~inside
 
 
-def encode(words: Words, vocab: Vocabulary):
+class Finder:
+    """:class:`HashTable` for many look-ups: the first key of each run of high
+    bits is known, so a hash meets the few keys of its run without a search."""
+
+    def __init__(self, table: HashTable):
+        self.keys, self.order, self.shift = np.append(table.keys, ~np.uint64(0)), np.append(table.order, -1), table.shift
+        runs = np.bincount((table.keys >> table.shift).astype(np.int64), minlength=len(table.mask))
+        self.first = np.append(0, np.cumsum(runs)).astype(np.int32)
+        self.longest = int(runs.max()) if len(runs) else 0
+
+    def entries(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash, -1 where it is not in the table."""
+        run = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[run], self.first[run + 1]
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        for _ in range(self.longest):
+            same = self.keys[at] == hashes
+            same &= at < end
+            out = np.where(same, self.order[at], out)
+            at = np.minimum(at + 1, end)
+        return out
+
+
+def encode(words: Words, vocab: Vocabulary, finder: Finder):
     """For the targets of all texts (their words, then the end): the network's
     input id, class, word in class (-1: none), count (-1: not in the head)."""
     n = len(words.hash) + words.n_docs
     ends = words.first[1:] + np.arange(words.n_docs)
     is_word = np.ones(n, dtype=bool)
     is_word[ends] = False
-    entry = np.full(len(words.hash), -1, dtype=np.int64)
-    at, k = vocab.head.find(words.hash)
-    entry[at] = k
+    entry = finder.entries(words.hash)
     rank = np.zeros(n, dtype=np.int64)  # the end is entry 0
     rank[is_word] = entry
     tail = np.zeros(n, dtype=np.int64)
@@ -346,7 +372,28 @@ def encode(words: Words, vocab: Vocabulary):
     cls = np.where(own, rank // GROUP, vocab.n_groups + tail)
     word = np.where(own, rank % GROUP, -1)
     count = np.where(rank >= 0, vocab.counts[rank], -1)
-    return ids, cls, word, count, is_word
+    return ids.astype(np.int32), cls.astype(np.int32), word.astype(np.int32), count, is_word
+
+
+@dataclass
+class Pool:
+    """Encoded texts of several slices, so that the lanes are full: a lane is
+    as long as the longest text, so few words would leave most lanes idle."""
+
+    ids: list = field(default_factory=list)
+    cls: list = field(default_factory=list)
+    word: list = field(default_factory=list)
+    size: list = field(default_factory=list)  # targets of each text
+    targets: int = 0
+
+    def add(self, ids: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarray) -> None:
+        for held, new in ((self.ids, ids), (self.cls, cls), (self.word, word), (self.size, np.diff(first))):
+            held.append(new)
+        self.targets += len(ids)
+
+    def lanes(self, lanes: int, longest: int | None = None) -> Lanes:
+        first = np.concatenate([[0], np.cumsum(np.concatenate(self.size))])
+        return lay_out(np.concatenate(self.ids), np.concatenate(self.cls), np.concatenate(self.word), first, lanes, longest)
 
 
 def lay_out(ids: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarray, lanes: int, longest: int | None = None) -> Lanes:
@@ -369,7 +416,7 @@ def lay_out(ids: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarra
     end = np.cumsum(size[pieces])
     order = np.repeat(first[pieces] - (end - size[pieces]), size[pieces]) + np.arange(end[-1])
     load = np.array([loads[k] for k in ranked])
-    before = np.concatenate([[0], ids[:-1]])
+    before = np.concatenate([ids[:1] * 0, ids[:-1]])
     begins = np.zeros(len(ids), dtype=bool)
     begins[first[:-1]] = True
     # a text begins after an end (id 0), which is also what comes before it here
@@ -408,6 +455,16 @@ def _targets_first(words: Words) -> np.ndarray:
     return words.first + np.arange(words.n_docs + 1)
 
 
+def _rare(words: Words, rare: np.ndarray) -> pa.ListArray:
+    """Hash and number of each text's words outside the head."""
+    rare = rare[np.lexsort((words.hash[rare], words.doc[rare]))]
+    d, h = words.doc[rare], words.hash[rare]
+    once = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])) if len(rare) else rare
+    offset = pa.array(np.searchsorted(d[once], np.arange(words.n_docs + 1)).astype(np.int32))
+    times = np.diff(np.append(once, len(rare)))
+    return pa.ListArray.from_arrays(offset, pa.StructArray.from_arrays([pa.array(h[once].view(np.int64)), pa.array(times.astype(np.int32))], names=["h", "n"]))
+
+
 def _train_round(texts: DataFrame, vocab: Vocabulary, net: Network, lanes: int, window: int, rate: float, chunk: int = 4096) -> np.ndarray | None:
     """Every partition trains from the same weights; the mean of theirs, each
     weighted by its tokens.  Weights travel in chunks that are added up in the
@@ -420,11 +477,18 @@ def _train_round(texts: DataFrame, vocab: Vocabulary, net: Network, lanes: int,
         own.__dict__.update(start.__dict__)
         own.load(start.flat())
         adam, tokens = Adam(own, rate, lanes * window // 2), 0
-        for part in common.slices(batches, common.TEXT, 1 << 22):
+        finder, pool = Finder(words_of.head), Pool()
+        for part in common.slices(batches, common.TEXT, SLICE):
             words = Words(part.column(0), split_on_space=True)
-            ids, cls, word, _, _ = encode(words, words_of)
-            tokens += len(ids)
-            train_on(own, adam, lay_out(ids, cls, word, _targets_first(words), lanes, PIECE), window)
+            ids, cls, word, _, _ = encode(words, words_of, finder)
+            pool.add(ids, cls, word, _targets_first(words))
+            if pool.targets >= POOL:
+                tokens += pool.targets
+                train_on(own, adam, pool.lanes(lanes, PIECE), window)
+                pool = Pool()
+        if pool.targets:
+            tokens += pool.targets
+            train_on(own, adam, pool.lanes(lanes, PIECE), window)
         adam.rest()
         if tokens:
             flat = own.flat().astype(np.float64) * tokens
@@ -487,34 +551,42 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of, own = shared.value
-        uid = TaskContext.get().partitionId() << 33
+        finder, pool, slices = Finder(words_of.head), Pool(), []
         log_mass = np.log(words_of.tail_mass)
-        for part in common.slices(batches, common.TEXT, 6 << 20):
+        uid = TaskContext.get().partitionId() << 33
+
+        def done() -> Iterator[pa.RecordBatch]:
+            nonlocal uid
+            every = score_on(own, pool.lanes(lanes), pool.targets, window)
+            upto = 0
+            for part, first, cls, word, count, rare in slices:
+                n = len(first) - 1
+                logp, upto = every[upto : upto + len(cls)], upto + len(cls)
+                doc = np.repeat(np.arange(n), np.diff(first))
+                held = count >= 0
+                log_count = np.log(np.where(held, count, 0) + 0.5)
+                tail = word < 0
+                logp[tail] -= log_mass[cls[tail] - words_of.n_groups]
+                logp[tail & held] += log_count[tail & held]
+                total = lambda w: np.bincount(doc, weights=w, minlength=n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(uid + np.arange(n)), part, pa.array(np.diff(first)), pa.array(total((held & (count > 0)).astype(float)).astype(np.int64)),
+                     pa.array(total(np.where(held, log_count, 0.0))), pa.array(total(logp)), rare],
+                    names=["uid", common.ID, "n_tokens", "known", "base", "net", "rare"],
+                )
+                uid += n
+
+        for part in common.slices(batches, common.TEXT, SLICE):
             words = Words(part.column(1), split_on_space=True)
-            ids, cls, word, count, is_word = encode(words, words_of)
+            ids, cls, word, count, is_word = encode(words, words_of, finder)
             first = _targets_first(words)
-            doc = np.repeat(np.arange(words.n_docs), np.diff(first))
-            logp = score_on(own, lay_out(ids, cls, word, first, lanes), len(ids), window)
-            held = count >= 0
-            log_count = np.log(np.where(held, count, 0) + 0.5)
-            tail = word < 0
-            logp[tail] -= log_mass[cls[tail] - words_of.n_groups]
-            logp[tail & held] += log_count[tail & held]
-            total = lambda w: np.bincount(doc, weights=w, minlength=words.n_docs)
-            # words outside the head: hash and how often, by text
-            rare = np.flatnonzero(~held[is_word])
-            rare = rare[np.lexsort((words.hash[rare], words.doc[rare]))]
-            d, h = words.doc[rare], words.hash[rare]
-            once = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])) if len(rare) else rare
-            offset = pa.array(np.searchsorted(d[once], np.arange(words.n_docs + 1)).astype(np.int32))
-            times = np.diff(np.append(once, len(rare)))
-            structs = pa.StructArray.from_arrays([pa.array(h[once].view(np.int64)), pa.array(times.astype(np.int32))], names=["h", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(uid + np.arange(words.n_docs)), part.column(0), pa.array(np.diff(first)), pa.array(total((held & (count > 0)).astype(float)).astype(np.int64)),
-                 pa.array(total(np.where(held, log_count, 0.0))), pa.array(total(logp)), pa.ListArray.from_arrays(offset, structs)],
-                names=["uid", common.ID, "n_tokens", "known", "base", "net", "rare"],
-            )
-            uid += words.n_docs
+            pool.add(ids, cls, word, first)
+            slices.append((part.column(0), first, cls, word, count, _rare(words, np.flatnonzero(count[is_word] < 0))))
+            if pool.targets >= POOL:
+                yield from done()
+                pool, slices = Pool(), []
+        if slices:
+            yield from done()
 
     schema = f"uid long, {common.ID} {kind}, n_tokens long, known long, base double, net double, rare array<struct<h:long,n:int>>"
     scored = materialise(common.per_task(rows, run, schema), "lm-scored")
