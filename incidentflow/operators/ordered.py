@@ -21,7 +21,12 @@ from incidentflow.session import materialise
 
 
 def _in_ranges(df: DataFrame, parts: list[str], order: list[Column]) -> DataFrame:
-    dealt = df.repartitionByRange(*parts, *order).withColumn("__range", F.spark_partition_id())
+    """The input is written once, with every row's place in it: the bounds of
+    the ranges are sampled from that table and its rows dealt out from it, so
+    the input's own joins run once, and rows with equal order keys are told
+    apart by their places, so that they too spread over ranges."""
+    once = materialise(df.withColumn("__at", F.monotonically_increasing_id()), "ordered-input")
+    dealt = once.repartitionByRange(*parts, *order, "__at").withColumn("__range", F.spark_partition_id())
     return materialise(dealt, "ranges")
 
 
@@ -61,16 +66,17 @@ def running_totals(
     out = _with_offsets(ranged, offsets, parts).withColumns(
         {f"{prefix}{v}": F.col(f"__o_{v}") + F.sum(v).over(upto) for v in value_cols}
     )
-    return out.drop("__range", *[f"__o_{v}" for v in value_cols])
+    return out.drop("__range", "__at", *[f"__o_{v}" for v in value_cols])
 
 
 def row_numbers(df: DataFrame, partition_cols: list[str], order: list[Column], out: str) -> DataFrame:
     """Add ``out`` = the row's number, from 1, within its partition in the
-    given order (which should have no ties)."""
+    given order; rows that tie are numbered in the order in which they were
+    written, and lie in several ranges if there are many."""
     parts = list(partition_cols)
     ranged = _in_ranges(df, parts, order)
     sizes = ranged.groupBy(*parts, "__range").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*parts).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*parts, "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
-    inside = Window.partitionBy(*parts, "__range").orderBy(*order)
-    return _with_offsets(ranged, offsets, parts).withColumn(out, F.col("__o") + F.row_number().over(inside)).drop("__range", "__o")
+    inside = Window.partitionBy(*parts, "__range").orderBy(*order, "__at")
+    return _with_offsets(ranged, offsets, parts).withColumn(out, F.col("__o") + F.row_number().over(inside)).drop("__range", "__at", "__o")

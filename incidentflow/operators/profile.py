@@ -10,12 +10,14 @@ copy every row once per column before any reduction.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil, floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from incidentflow.operators.ordered import running_totals
+from incidentflow.operators.selection import values_at
+from incidentflow.session import materialise
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 LOW_CARDINALITY = 50
@@ -148,55 +150,30 @@ def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY
 
 def numeric_summary(df: DataFrame, table_name: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75), digits: int = ROUND) -> DataFrame:
     """count, mean, std, min, exact linear-interpolated quartiles, max per
-    numeric column.  Quantiles come from the distinct values with their
-    running counts (``running_totals``), never from a whole column in one
-    task."""
+    numeric column (a column with only NULLs is omitted).
+
+    The numeric columns are written once; one aggregate gives the moments and
+    :func:`values_at` the quantiles by counting, so no value is shuffled and
+    the driver sees a few numbers a column."""
     cols = numeric_columns(df)
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in cols]))
-    ).where(F.col("value").isNotNull())
-    basic = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    counted = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("k"))
-    cum = running_totals(counted, ["column_name"], "value", ["k"])
-    pos = {}
-    for j, p in enumerate(probs):
-        h = (F.col("count") - 1) * F.lit(float(p))
-        pos[f"__h{j}"] = h
-        pos[f"__lo{j}"] = F.floor(h)
-        pos[f"__hi{j}"] = F.ceil(h)
-    targets = basic.select("column_name", "count").withColumns(pos)
-    # the value at 0-based position t is the one with cum_k - k <= t < cum_k
-    # (a row for each numeric column of the table)
-    sel = cum.join(F.broadcast(targets), "column_name")
-    aggs = []
-    for j in range(len(probs)):
-        for side in ("lo", "hi"):
-            t = F.col(f"__{side}{j}")
-            aggs.append(F.max(F.when((F.col("cum_k") - F.col("k") <= t) & (t < F.col("cum_k")), F.col("value"))).alias(f"__v{side}{j}"))
-        aggs.append(F.first(f"__h{j}").alias(f"__h{j}"))
-        aggs.append(F.first(f"__lo{j}").alias(f"__lo{j}"))
-    picked = sel.groupBy("column_name").agg(*aggs)
-    qcols = {}
-    for j, p in enumerate(probs):
-        lo, hi = F.col(f"__vlo{j}"), F.col(f"__vhi{j}")
-        qcols[f"q{int(round(p * 100))}"] = F.round(lo + (F.col(f"__h{j}") - F.col(f"__lo{j}")) * (hi - lo), digits)
-    quant = picked.select("column_name", *[v.alias(k) for k, v in qcols.items()])
-    return basic.join(quant, "column_name").select(
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        "count",
-        F.round("mean", digits).alias("mean"),
-        F.round("std", digits).alias("std"),
-        "min",
-        *qcols.keys(),
-        "max",
-    )
+    spark = df.sparkSession
+    own = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    own = materialise(own, "numeric-columns") if cols else own
+    stats = [f(f"c{i}").alias(f"{n}{i}") for i in range(len(cols)) for n, f in (("n", F.count), ("av", F.avg), ("sd", F.stddev_samp), ("mn", F.min), ("mx", F.max))]
+    row = own.agg(*stats).first() if cols else None
+    seen = [i for i in range(len(cols)) if row[f"n{i}"]]
+    at = {i: [(row[f"n{i}"] - 1) * float(p) for p in probs] for i in seen}
+    long = own.select(F.inline(F.array(*[F.struct(F.lit(str(i)).alias("column_name"), F.col(f"c{i}").alias("value")) for i in seen]))) if seen else None
+    found = values_at(long.where("value IS NOT NULL"), {str(i): [int(r) for h in at[i] for r in (floor(h), ceil(h))] for i in seen}) if seen else {}
+    names = [f"q{int(round(p * 100))}" for p in probs]
+    rows = []
+    for i in seen:
+        value = found[str(i)]
+        quantiles = [value[floor(h)] + (h - floor(h)) * (value[ceil(h)] - value[floor(h)]) for h in at[i]]
+        rows.append((table_name, cols[i], row[f"n{i}"], row[f"av{i}"], row[f"sd{i}"], row[f"mn{i}"], *quantiles, row[f"mx{i}"]))
+    schema = "table_name string, column_name string, count long, mean double, std double, min double, " + "".join(f"{q} double, " for q in names) + "max double"
+    out = spark.createDataFrame(rows, schema)
+    return out.withColumns({c: F.round(c, digits) for c in ("mean", "std", *names)})
 
 
 def _one_pass_stats(df: DataFrame, table_name: str, digits: int = ROUND) -> DataFrame:
