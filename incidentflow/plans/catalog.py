@@ -558,42 +558,44 @@ SEARCH_DRAWS = 3
 SEARCH_TREES = dict(MO.SEARCH_SPACE, n_estimators=("int", 10, 30))
 
 
-def _model_inputs(spark, d):
-    rows = materialise(MT.encoded_rows(spark, d), "encoded_rows")
-    feats = MT.feature_columns(rows)
-    spec = MO.build_spec(rows, feats, F.col("split") == "train")
-    return rows, spec
+def _model_inputs(spark, d, prepared=None):
+    prepared = MT.materialised_rows(spark, d) if prepared is None else prepared
+    encoders, rows = MT.encode(prepared)
+    rows = materialise(rows, "encoded_rows")
+    spec = MO.build_spec(rows, MT.feature_columns(rows), F.col("split") == "train")
+    return rows, spec, encoders
 
 
-# Rows, features and model of a folder, fitted once in a session.
+# Rows, features, model and encoders of a folder, fitted once in a session.
 _FITTED: dict[tuple[str, str], tuple] = {}
 
 
-def _fitted(spark, d):
+def fitted(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _FITTED:
-        rows, spec = _model_inputs(spark, d)
+        prepared = MT.materialised_rows(spark, d)
+        rows, spec, encoders = _model_inputs(spark, d, prepared)
         model, _ = MO.fit_gbt(rows.where(F.col("split") == "train"), spec)
-        _FITTED[key] = (rows, spec, model)
+        _FITTED[key] = (rows, spec, model, encoders, prepared)
     return _FITTED[key]
 
 
 @register("gbt_scores")
 def gbt_scores(spark, d):
-    rows, spec, model = _fitted(spark, d)
+    rows, spec, model, *_ = fitted(spark, d)
     return MO.score(model, rows, spec).select("split", "numero_expedient", "accident_greu", "score")
 
 
 @register("random_search")
 def random_search(spark, d):
-    rows, spec = _model_inputs(spark, d)
+    rows, spec, _ = _model_inputs(spark, d)
     train = sampling.group_folds(rows.where(F.col("split") == "train"), "numero_expedient", "accident_greu", 3)
     table, _, _ = MO.random_search(train, spec, "fold", n_draws=SEARCH_DRAWS, space=SEARCH_TREES)
     return table
 
 
 def _contributions(spark, d):
-    rows, spec, model = _fitted(spark, d)
+    rows, spec, model, *_ = fitted(spark, d)
     train = rows.where(F.col("split") == "train")
     feats = model.transform(MO.add_missing_indicators(train, spec))
     return CO.contributions(feats, model.stages[-1], ["numero_expedient", "split"]), spec

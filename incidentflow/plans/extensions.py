@@ -1,16 +1,20 @@
 """Queries of what the blueprint names beyond the reference's own operators:
-spatial clusters and their risk, the area under the curve on time windows."""
+spatial clusters and their risk, the area under the curve on time windows,
+encoders of a range of dates, joins on a stored layout, models that are saved."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from incidentflow.functions import labels as L
-from incidentflow.ml import monitor
+from incidentflow.ml import dated, monitor, saved
 from incidentflow.operators import cluster, enrich
+from incidentflow.plans import catalog, standins, zones
+from incidentflow.plans import model_table as MT
 from incidentflow.plans import oracle as O
-from incidentflow.plans import standins, zones
 from incidentflow.plans.catalog import register
+from incidentflow.session import materialise, scratch_path
+from incidentflow.sources import layout
 
 # --------------------------------------------------------------- clusters
 CELL, LEAST = 0.004, 6
@@ -77,3 +81,52 @@ def auc_windows(spark, d):
     """The area under the ROC curve of every day's scores, alerted below 0.9."""
     out = monitor.auc_windows(_timed_scores(spark, d), "scored_at", "1 day")
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------- layouts
+@register("unify_persons_layout", catalog.SQL["unify_persons"])
+def unify_persons_layout(spark, d):
+    """Accidents and persons stored for their join: bucketed by accident, heavy
+    accidents apart; the join moves no ordinary row."""
+    acc = materialise(zones.trusted_accidents(spark, d), "layout-accidents")
+    per = zones.trusted_persons(spark, d)
+    per = materialise(per.select("numero_expedient", *[c for c in enrich.PERSON_COLUMNS if c in per.columns]), "layout-persons")
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sides = [layout.write_layout(df, "numero_expedient", buckets) for df in (acc, per)]
+    return layout.join_layouts(*sides).select(*acc.columns, *per.columns[1:])
+
+
+# ------------------------------------------------------------------ dates
+_RANGE = ("2024-01-08", "2024-01-15")
+
+
+@register(
+    "target_encode_dated",
+    O.with_ctes(
+        "SELECT numero_expedient, ROUND(ratio_greu_barri, 9) AS ratio_greu_barri FROM w_enc",
+        {
+            "w_all": f"SELECT *, {O.LABEL_SQL} AS accident_greu, CASE WHEN date_trunc('week', make_timestamp(nk_any, mes_any, dia_mes, 0, 0, 0)) "
+            f"BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}' THEN 'train' ELSE 'other' END AS split FROM s_accidents",
+            **O.te_ctes("w", "w_all"),
+        },
+    ),
+)
+def target_encode_dated(spark, d):
+    """Every accident encoded by the statistics of two weeks, merged from what
+    is kept per week (in two batches, as rows come in)."""
+    acc = enrich.with_event_timestamp(standins.accidents(spark, d)).withColumn("accident_greu", L.severity_label())
+    path, levels = scratch_path(spark, "dated"), MT.HIERARCHY
+    for batch in (0, 1):
+        dated.add_batch(acc.where(F.col("numero_expedient") % 2 == batch), path, f"b{batch}", levels, "accident_greu", "data_accident", "week")
+    model = dated.encoder_for(spark, path, levels, *_RANGE)
+    return model.transform(acc).select("numero_expedient", F.round("ratio_greu_barri", 9).alias("ratio_greu_barri"))
+
+
+# ----------------------------------------------------------------- models
+@register("saved_model_scores")
+def saved_model_scores(spark, d):
+    """Every prepared row scored by the model after it was saved and loaded."""
+    _, spec, model, encoders, rows = catalog.fitted(spark, d)
+    path = scratch_path(spark, "model")
+    saved.save_model(saved.whole_pipeline(encoders, spec, model), path)
+    return saved.score_rows(saved.load_model(path), rows).select("split", "numero_expedient", "accident_greu", "score")

@@ -59,10 +59,13 @@ def prepared_rows(spark: SparkSession, d: str) -> DataFrame:
     return apply_groupings(rows, STANDIN_GROUPINGS)
 
 
-def target_encoded(rows: DataFrame) -> DataFrame:
+def target_encoder(rows: DataFrame):
     enc = FE.HierarchicalTargetEncoder(levelCols=HIERARCHY, labelCol=LABEL, outputCol="ratio_greu_barri")
-    model = enc.fit(rows.where(F.col("split") == "train"))
-    return model.transform(rows)
+    return enc.fit(rows.where(F.col("split") == "train"))
+
+
+def target_encoded(rows: DataFrame) -> DataFrame:
+    return target_encoder(rows).transform(rows)
 
 
 def materialised_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -71,13 +74,18 @@ def materialised_rows(spark: SparkSession, d: str) -> DataFrame:
     return materialise(prepared_rows(spark, d), "model_rows")
 
 
+def encode(rows: DataFrame) -> tuple[list, DataFrame]:
+    """The encoders fitted on the training rows, and all rows encoded."""
+    te = target_encoder(rows)
+    out = te.transform(rows).drop(*HIERARCHY)
+    cats = FE.categorical_columns(out, exclude=["split"])
+    oe = FE.OrdinalEncoder(inputCols=cats).fit(out.where(F.col("split") == "train"))
+    return [te, oe], oe.transform(out)
+
+
 def encoded_rows(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     """Fully encoded rows: numeric features, label, split and key."""
-    rows = materialised_rows(spark, d) if rows is None else rows
-    rows = target_encoded(rows).drop(*HIERARCHY)
-    cats = FE.categorical_columns(rows, exclude=["split"])
-    model = FE.OrdinalEncoder(inputCols=cats).fit(rows.where(F.col("split") == "train"))
-    return model.transform(rows)
+    return encode(materialised_rows(spark, d) if rows is None else rows)[1]
 
 
 def feature_columns(df: DataFrame) -> list[str]:
