@@ -76,20 +76,58 @@ def numeric_profile(df: DataFrame, table_name: str, digits: int = ROUND) -> Data
     return wide.select(F.lit(table_name).alias("table_name"), rows).where(F.col("min_val").isNotNull())
 
 
-def _distinct_pairs(df: DataFrame) -> DataFrame:
-    """Distinct (column_name, value) pairs of every column in one pass: the
-    table is unpivoted to text values (a value's text form is unique to it)
-    and de-duplicated, with map-side partial aggregation, so the shuffle
-    carries at most the distinct values of each partition."""
-    def text(c: str):
-        x = F.col(c)
-        dtype = dict(df.dtypes)[c]
-        if dtype in ("double", "float"):
-            x = F.when(x == 0, F.lit(0.0).cast(dtype)).otherwise(x)  # -0.0 and 0.0 are one value
-        return x.cast("string")
-
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in df.columns]))
-    return df.select(pairs).distinct()
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+#: Values of one bitmap of ``bitmap_construct_agg`` and its bytes.
+_BITMAP_VALUES, _BITMAP_BYTES = 32_768, 4_096
+
+
+def _comparable(df: DataFrame, c: str):
+    """The column with one form for each value: -0.0 is 0.0, a map is text."""
+    dtype, x = df.schema[c].dataType, F.col(c)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.when(x == 0, F.lit(0.0).cast(dtype)).otherwise(x)
+    return x if isinstance(dtype, T.AtomicType) else x.cast("string")
+
+
+def _dense(df: DataFrame) -> list[str]:
+    """Integer columns whose bitmaps take less room than a hash a value, by
+    their range and rows (one aggregate)."""
+    ints = [f.name for f in df.schema.fields if isinstance(f.dataType, _INTEGRAL)]
+    if not ints:
+        return []
+    aggs = [x for i, c in enumerate(ints) for x in (F.count(c).alias(f"n{i}"), F.min(c).cast("long").alias(f"lo{i}"), F.max(c).cast("long").alias(f"hi{i}"))]
+    row = df.agg(*aggs).first()
+    small = lambda i: row[f"n{i}"] and (row[f"hi{i}"] - row[f"lo{i}"]) // _BITMAP_VALUES * _BITMAP_BYTES <= 16 * row[f"n{i}"]
+    return [c for i, c in enumerate(ints) if small(i)]
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """``column_name, n_distinct, has_null`` of every column, exact, without
+    moving a value: a dense integer column becomes bitmaps, merged by
+    ``bitmap_or``; of any other column 128-bit hashes are de-duplicated, before
+    the shuffle and after it, by ranges of the hash.  The table is read once
+    for the ranges of its integers, once for the bitmaps and once for the hashes.
+    """
+    dense = _dense(df)
+    parts = []
+    if dense:
+        number = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("v")) for c in dense]))
+        rows = df.select(number)
+        bucket = F.when(F.col("v").isNotNull(), F.bitmap_bucket_number("v"))
+        maps = rows.groupBy("column_name", bucket.alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.coalesce("v", F.lit(0)))).alias("m"))
+        counted = F.when(F.col("b").isNotNull(), F.bitmap_count("m")).otherwise(0)
+        parts.append(maps.groupBy("column_name").agg(F.sum(counted).alias("n_distinct"), F.max(F.col("b").isNull()).alias("has_null")))
+    others = [c for c in df.columns if c not in dense]
+    if others:
+
+        def hashed(c: str):
+            x = _comparable(df, c)
+            known = F.col(c).isNotNull()
+            return F.struct(F.lit(c).alias("column_name"), F.when(known, F.xxhash64(F.lit(0), x)).alias("h1"), F.when(known, F.xxhash64(F.lit(1), x)).alias("h2"))
+
+        seen = df.select(F.inline(F.array(*[hashed(c) for c in others]))).distinct()
+        parts.append(seen.groupBy("column_name").agg(F.count("h1").alias("n_distinct"), F.max(F.col("h1").isNull()).alias("has_null")))
+    return _of_every_column(df, _union(parts), {"n_distinct": 0, "has_null": False})
 
 
 def _of_every_column(df: DataFrame, counts: DataFrame, zero: dict) -> DataFrame:
@@ -99,52 +137,42 @@ def _of_every_column(df: DataFrame, counts: DataFrame, zero: dict) -> DataFrame:
 
 
 def distinct_profile(df: DataFrame, table_name: str) -> DataFrame:
-    """Exact COUNT(DISTINCT) per column, NULL not counted (one pass); 0 for
-    every column of an empty table."""
-    counts = _distinct_pairs(df).groupBy("column_name").agg(F.count("value").alias("n_distinct"))
-    counts = _of_every_column(df, counts, {"n_distinct": 0})
-    return counts.select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct")
+    """Exact COUNT(DISTINCT) per column, NULL not counted; 0 for every column
+    of an empty table."""
+    return distinct_counts(df).select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct")
 
 
 def distinct_with_null(df: DataFrame, table_name: str) -> DataFrame:
-    """Distinct count where NULL counts as one more value (one pass)."""
-    counts = _distinct_pairs(df).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct_with_null"))
-    counts = _of_every_column(df, counts, {"n_distinct_with_null": 0})
-    return counts.select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct_with_null")
+    """Distinct count where NULL counts as one more value."""
+    both = F.col("n_distinct") + F.col("has_null").cast("long")
+    return distinct_counts(df).select(F.lit(table_name).alias("table_name"), "column_name", both.alias("n_distinct_with_null"))
+
+
+def _listed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_name, distinct_values``: the sorted values, as text, of columns
+    known to have few."""
+    numeric = set(numeric_columns(df))
+    none = F.lit(None).cast("double")
+    one = lambda c: F.struct(
+        F.lit(c).alias("column_name"), (F.col(c).cast("double") if c in numeric else none).alias("num"), _comparable(df, c).cast("string").alias("text")
+    )
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, distinct_values string")
+    rows = df.select(F.inline(F.array(*[one(c) for c in columns]))).where("text IS NOT NULL").distinct()
+    values = F.transform(F.array_sort(F.collect_list(F.struct("num", "text"))), lambda x: x["text"])
+    return rows.groupBy("column_name").agg(F.array_join(values, ", ").alias("distinct_values"))
 
 
 def low_card_values(df: DataFrame, table_name: str, limit: int = LOW_CARDINALITY, list_up_to: int = LIST_VALUES_UP_TO) -> DataFrame:
     """Columns with fewer than ``limit`` distinct values; for those with at
-    most ``list_up_to``, the sorted values as text.  Built on the one-pass
-    distinct pairs; values are gathered only for columns already known to
-    have at most ``list_up_to`` of them, so the lists are bounded."""
-    pairs = _distinct_pairs(df)
-    counts = pairs.groupBy("column_name").agg(
-        F.count("value").alias("n_distinct"), F.max(F.col("value").isNull()).alias("has_null")
-    )
-    counts = _of_every_column(df, counts, {"n_distinct": 0, "has_null": False})
-    numeric = numeric_columns(df)
-    short = counts.where(F.col("n_distinct") <= list_up_to).select("column_name")
-    order = F.struct(
-        F.when(F.col("column_name").isin(numeric), F.col("value").cast("double")).alias("num"),
-        F.col("value").alias("text"),
-    )
-    listed = (
-        pairs.where(F.col("value").isNotNull())
-        .join(short, "column_name")
-        .groupBy("column_name")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["text"]), ", ").alias("listed"))
-    )
+    most ``list_up_to``, the sorted values as text.  The counts (a row for each
+    column) come first, so values are gathered only where they are few."""
+    counts = materialise(distinct_counts(df), "distinct-counts")
+    short = [r[0] for r in counts.where(F.col("n_distinct").between(1, list_up_to)).select("column_name").collect()]
     return (
         counts.where(F.col("n_distinct") < limit)
-        .join(listed, "column_name", "left")
-        .select(
-            F.lit(table_name).alias("table_name"),
-            "column_name",
-            "n_distinct",
-            F.col("listed").alias("distinct_values"),
-            F.coalesce(F.col("has_null"), F.lit(False)).alias("has_null"),
-        )
+        .join(_listed(df, short), "column_name", "left")
+        .select(F.lit(table_name).alias("table_name"), "column_name", "n_distinct", "distinct_values", "has_null")
     )
 
 
@@ -235,3 +263,14 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
             )
         )
     return _union(frames)
+
+
+def full_profile(tables: dict[str, DataFrame], list_up_to: int = LIST_VALUES_UP_TO) -> DataFrame:
+    """:func:`table_profile` of every table with its number of columns and, for
+    columns of at most ``list_up_to`` distinct values, the values."""
+    frames = []
+    for name, df in tables.items():
+        profile = materialise(table_profile({name: df}), "profile")
+        short = [r[0] for r in profile.where(F.col("n_distinct").between(1, list_up_to)).select("column_name").collect()]
+        frames.append(profile.withColumn("n_columns", F.lit(len(df.columns))).join(_listed(df, short), "column_name", "left"))
+    return _union(frames)

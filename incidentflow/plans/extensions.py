@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from incidentflow.functions import labels as L
 from incidentflow.ml import dated, monitor, saved
-from incidentflow.operators import cluster, enrich
+from incidentflow.operators import cluster, enrich, profile
 from incidentflow.plans import catalog, standins, zones
 from incidentflow.plans import model_table as MT
 from incidentflow.plans import oracle as O
@@ -130,3 +130,19 @@ def saved_model_scores(spark, d):
     path = scratch_path(spark, "model")
     saved.save_model(saved.whole_pipeline(encoders, spec, model), path)
     return saved.score_rows(saved.load_model(path), rows).select("split", "numero_expedient", "accident_greu", "score")
+
+
+# --------------------------------------------------------------- profiles
+_TABLES = {
+    "accidents": ("s_accidents", O.ACCIDENT_COLUMNS),
+    "persons": ("s_persons", [("numero_expedient", "bigint"), ("desc_tipus_vehicle_implicat", "string"), ("edat", "double"),
+                              ("descripcio_tipus_persona", "string"), ("descripcio_motiu_desplacament_conductor", "string")]),
+    "readings": ("s_meteo", [("data_lectura", "date"), ("codi_estacio", "string"), ("acronim", "string"), ("valor", "double")]),
+}
+
+
+@register("full_profile", O.full_profile_sql(_TABLES))
+def full_profile(spark, d):
+    """All three tables, every column: types, rows, nulls, distinct values (and
+    which, where they are few), numeric statistics."""
+    return profile.full_profile({name: getattr(standins, name)(spark, d) for name in _TABLES})

@@ -270,9 +270,9 @@ def numeric_summary_sql(table="accidents", source="s_accidents"):
     )
 
 
-def table_profile_sql(table="accidents", source="s_accidents"):
+def _profile_rows(table, source, columns, more=None):
     parts = []
-    for i, (c, t) in enumerate(ACCIDENT_COLUMNS):
+    for i, (c, t) in enumerate(columns):
         if t in ("bigint", "int", "double"):
             stats = (
                 f"CAST(MIN({c}) AS DOUBLE) AS min_val, CAST(MAX({c}) AS DOUBLE) AS max_val, "
@@ -285,8 +285,23 @@ def table_profile_sql(table="accidents", source="s_accidents"):
             f"COUNT(*) AS row_count, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
             f"CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / COUNT(*) * 100 "
             f"ELSE CAST(0 AS DOUBLE) END AS null_pct, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct, "
-            f"{stats} FROM {source}"
+            f"{stats}{more(c) if more else ''} FROM {source}"
+        )
+    return parts
+
+
+def table_profile_sql(table="accidents", source="s_accidents"):
+    return _u(_profile_rows(table, source, ACCIDENT_COLUMNS))
+
+
+def full_profile_sql(tables):
+    parts = []
+    for table, (source, columns) in tables.items():
+        listed = lambda c: (
+            f", {len(columns)} AS n_columns, CASE WHEN COUNT(DISTINCT {c}) <= 10 THEN (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) "
+            f"FROM (SELECT DISTINCT {c} AS v FROM {source} WHERE {c} IS NOT NULL)) END AS distinct_values"
         )
+        parts += _profile_rows(table, source, columns, listed)
     return _u(parts)
 
 
