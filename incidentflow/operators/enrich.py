@@ -162,10 +162,15 @@ def unify(accidents: DataFrame, persons: DataFrame, wide: DataFrame, how: str =
         raise ValueError(f"unknown fallback {fallback!r}")
     located = located_on_day(accidents, wide) if fallback else with_nearest_station(accidents, meteo_stations(wide))
     with_weather = join_daily_readings(located, wide, how)
+    return with_persons(with_weather, persons, accidents.columns, how)
+
+
+def with_persons(with_weather: DataFrame, persons: DataFrame, acc_cols: list[str], how: str = "inner") -> DataFrame:
+    """The accidents with their readings joined to the persons, columns in the
+    unified table's order."""
     person_cols = [c for c in PERSON_COLUMNS if c in persons.columns]
     p = persons.select(F.col("numero_expedient").alias("__pk"), *person_cols)
     joined = with_weather.join(p, with_weather["numero_expedient"] == p["__pk"], how).drop("__pk")
-    acc_cols = [c for c in accidents.columns]
     weather_cols = [c for c in with_weather.columns if c not in acc_cols and c != "meteo_estacio_proxima"]
     meteo_coords = ["meteo_latitud_wgs84", "meteo_longitud_wgs84"]
     value_cols = [c for c in weather_cols if c not in meteo_coords]

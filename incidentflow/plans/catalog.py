@@ -379,8 +379,8 @@ def label_distribution(spark, d):
 
 @register("projection_policy", O.policy_sql(FE.SELECTION_POLICY, O.with_ctes("SELECT * FROM u_split", O.model_ctes(MT.STANDIN_GROUPINGS))))
 def projection_policy(spark, d):
-    # only the names count: no split is run for them
-    return FE.projection_policy(MT.labeled_unified(spark, d).withColumn("split", F.lit("")))
+    # only the names count: nothing is run for them
+    return FE.projection_policy(zones.unified_columns(spark, d).withColumns({"accident_greu": F.lit(0), "split": F.lit("")}))
 
 
 # ------------------------------------------------------------- 5. features

@@ -177,6 +177,14 @@ def quarantine_sql() -> str:
     return with_ctes(body)
 
 
+def quarantined_sql(source: str, rules) -> str:
+    """The rows that a rule rejects or cannot judge, with the rules' names."""
+    named = lambda test: "concat_ws(',', " + ", ".join(f"CASE WHEN {test.format(f'({p})')} THEN '{n}' END" for n, p in rules) + ")"
+    return with_ctes(
+        f"SELECT *, {named('{}')} AS violated_rules, {named('{} IS NULL')} AS unknown_rules FROM {source} WHERE ({_or(rules)}) IS NOT FALSE"
+    )
+
+
 # ------------------------------------------------------------------ profile
 # (column, Spark type name) of the stand-in accidents, in order.
 ACCIDENT_COLUMNS = [

@@ -4,6 +4,7 @@ trusted (cleaned) accidents, persons and readings, wide readings, unified."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from incidentflow.operators import enrich, quality
 from incidentflow.plans import standins
@@ -50,5 +51,13 @@ def located_accidents(spark: SparkSession, d: str, wide: DataFrame) -> DataFrame
     return enrich.with_nearest_station(trusted_accidents(spark, d), enrich.meteo_stations(wide))
 
 
+def unified_columns(spark: SparkSession, d: str) -> DataFrame:
+    """An empty frame with the unified table's columns, known without running
+    any of its joins."""
+    wide = wide_readings(spark, d).limit(0)
+    located = trusted_accidents(spark, d).limit(0).withColumn("meteo_estacio_proxima", F.lit(""))
+    return enrich.with_persons(enrich.join_daily_readings(located, wide), trusted_persons(spark, d).limit(0), located.columns[:-1])
+
+
 def unified(spark: SparkSession, d: str) -> DataFrame:
     return enrich.unify(trusted_accidents(spark, d), trusted_persons(spark, d), wide_readings_table(spark, d))
