@@ -18,7 +18,7 @@ from math import ceil, exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentflow.llm import common
@@ -40,13 +40,27 @@ FIRST_RUNS = 3
 WHOLE = 256
 
 
-def runs_for(recall: float, similarity: float, depth: int = 3) -> int:
+def survival(similarity: float, depth: int) -> float:
+    """The chance that a pair at ``similarity`` still shares a bucket after so
+    many levels: a node chooses 1 / similarity tokens on average (see
+    :func:`_children`), each of which the pair shares with that probability."""
+    least = int(1 / similarity)
+    more = 1 / similarity - least
+    q = 1.0
+    for _ in range(depth):
+        miss = 1 - similarity * q
+        q = 1 - (1 - more) * miss**least - more * miss ** (least + 1)
+    return q
+
+
+def runs_for(recall: float, similarity: float) -> int:
     """Runs after which a pair at the threshold has met with probability
-    ``recall``: at each level a pair keeps 1 chosen token on average (Poisson),
-    so the chance to survive ``depth`` levels follows from that of one less."""
+    ``recall``; never fewer than if one token were shared on average (Poisson)
+    in three levels, which leaves room for what a finite signature varies."""
     p = 1.0
-    for _ in range(depth):
+    for _ in range(3):
         p = 1 - exp(-p)
+    p = min(p, survival(similarity, DEPTH))
     return ceil(log(1 - recall) / log(1 - p))
 
 
@@ -105,7 +119,8 @@ def _describer(k: int):
             size, fp1, fp2, sig = describe(*shingle_sets(Words(part.column(1)), k))
             flat = pa.array(sig.ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * SIGNATURE), flat)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size.astype(np.int64)), pa.array(fp1), pa.array(fp2), lists], names=[common.ID, "n", "fp1", "fp2", "sig"])
+            arrays = [part.column(0), part.column(2), pa.array(size.astype(np.int64)), pa.array(fp1), pa.array(fp2), lists]
+            yield pa.RecordBatch.from_arrays(arrays, names=[common.ID, "digest", "n", "fp1", "fp2", "sig"])
 
     return run
 
@@ -115,13 +130,19 @@ def _child(path: Column, coordinate: Column) -> Column:
     return F.xxhash64(path, coordinate, F.element_at("sig", coordinate.cast("int") + 1))
 
 
-def _children(path: Column) -> Column:
-    """A node chooses one coordinate, and a second one every fourth time:
-    1.25 tokens, 1 / 0.8, on average."""
-    one = F.pmod(F.xxhash64(path, F.lit(1)), F.lit(SIGNATURE))
-    two = F.pmod(F.xxhash64(path, F.lit(2)), F.lit(SIGNATURE))
-    both = (F.pmod(F.xxhash64(path, F.lit(3)), F.lit(4)) == 0) & (one != two)
-    return F.when(both, F.array(_child(path, one), _child(path, two))).otherwise(F.array(_child(path, one)))
+def _children(path: Column, similarity: float) -> Column:
+    """The children of a node that a set goes to: 1 / similarity coordinates on
+    average, chosen by hashes of the path (the last one as often as the
+    fraction says)."""
+    least = int(1 / similarity)
+    more = round((1 / similarity - least) * 10_000)
+    chosen = [F.pmod(F.xxhash64(path, F.lit(i + 1)), F.lit(SIGNATURE)) for i in range(least)]
+    always = F.array_distinct(F.array(*chosen))
+    if more:
+        last = F.pmod(F.xxhash64(path, F.lit(-1)), F.lit(SIGNATURE))
+        both = F.array_distinct(F.array(*chosen, last))
+        always = F.when(F.pmod(F.xxhash64(path, F.lit(0)), F.lit(10_000)) < more, both).otherwise(always)
+    return F.transform(always, lambda c: _child(path, c))
 
 
 def _with_keys(rows: DataFrame, whole: int, blocks: Column) -> DataFrame:
@@ -173,13 +194,13 @@ def _bucket_edges(least_equal: int):
     return run
 
 
-def _met(sets: DataFrame, runs: range, least_equal: int) -> DataFrame:
+def _met(sets: DataFrame, runs: range, least_equal: int, similarity: float) -> DataFrame:
     """Edges between groups whose sets (``id, group, sig``) meet in a bucket of
     some of the runs and whose signatures agree."""
     roots = F.array(*[F.lit(r).cast("long") for r in runs])
     # the root of each run holds all sets
     no_parent = F.lit(2**62).alias("parent")
-    rows = sets.select("id", "group", "sig", F.explode(roots).alias("path")).select("id", "group", no_parent, F.explode(_children(F.col("path"))).alias("path"))
+    rows = sets.select("id", "group", "sig", F.explode(roots).alias("path")).select("id", "group", no_parent, F.explode(_children(F.col("path"), similarity)).alias("path"))
     found = None
     for level in range(1, DEPTH + 1):
         # a bucket of a single group has nothing to compare
@@ -194,7 +215,7 @@ def _met(sets: DataFrame, runs: range, least_equal: int) -> DataFrame:
         rest = met.where(~final)
         if level == DEPTH or rest.isEmpty():
             break
-        rows = rest.join(sets.select("id", "sig"), "id").select("id", "group", F.col("size").alias("parent"), F.explode(_children(F.col("path"))).alias("path"))
+        rows = rest.join(sets.select("id", "sig"), "id").select("id", "group", F.col("size").alias("parent"), F.explode(_children(F.col("path"), similarity)).alias("path"))
     return found
 
 
@@ -203,9 +224,9 @@ def candidate_groups(sets: DataFrame, recall: float, similarity: float) -> DataF
     standard deviations below the threshold) connect, of those that met."""
     least_equal = int(SIGNATURE * similarity - 4 * (SIGNATURE * similarity * (1 - similarity)) ** 0.5)
     runs = runs_for(recall, similarity)
-    first = components(_met(sets.withColumn("group", F.col("id")), range(min(FIRST_RUNS, runs)), least_equal))
+    first = components(_met(sets.withColumn("group", F.col("id")), range(min(FIRST_RUNS, runs)), least_equal, similarity))
     joined = sets.join(first, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("group"), "sig")
-    later = _met(materialise(joined, "joined-sets"), range(FIRST_RUNS, runs), least_equal)
+    later = _met(materialise(joined, "joined-sets"), range(FIRST_RUNS, runs), least_equal, similarity)
     return components(later.unionAll(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
@@ -271,8 +292,8 @@ def links(docs: DataFrame, sets: DataFrame, groups: DataFrame, similarity: float
     sizes = groups.groupBy("component").agg(F.count("*").alias("size")).where("size > 1")
     rows = groups.join(sizes, "component").select(F.col("node").alias("id"), F.col("component").alias("path"), "size")
     rows = _with_keys(rows, WHOLE, F.col("size") / F.greatest(F.lit(64), F.least(F.lit(256), F.col("size") / 32)))
-    rows = rows.join(sets.select("id", "fp1"), "id")
-    texts = docs.join(rows, docs[common.ID] == rows["id"]).select("id", common.TEXT, "fp1", "keys")
+    rows = rows.join(sets.select("id", "first", "fp1"), "id")
+    texts = docs.join(rows, docs[common.ID] == rows["first"]).select("id", common.TEXT, "fp1", "keys")
     kept = common.per_task(texts, _shingles(k), "id long, keys array<struct<key:long,block:int>>, shingles array<long>")
     kept = kept.select("id", F.explode("keys").alias("at"), "shingles").select("at.key", "at.block", "id", "shingles")
     return common.per_task(
@@ -280,6 +301,37 @@ def links(docs: DataFrame, sets: DataFrame, groups: DataFrame, similarity: float
     )
 
 
+def _classified(df: DataFrame, similarity: float, k: int, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """For every row its ``doc_id``, the ``digest`` of its text, the size ``n``
+    and fingerprints of its shingle set, the set's ``first`` document,
+    ``links`` and ``copies``, the class's first document ``class_first`` and
+    whether the set ``stands`` for its class (has that document; of several the
+    one with the smallest number).
+
+    Sets are numbered when they are written, so that an id with several texts
+    lends its number to none of them."""
+    docs = common.texts(df, id_col, text_col)
+    docs = docs.select(F.col(common.ID).cast("long").alias(common.ID), common.TEXT, F.xxhash64(common.TEXT).alias("digest"))
+    own = materialise(common.per_task(docs, _describer(k), f"{common.ID} long, digest long, n long, fp1 long, fp2 long, sig array<int>"), "sets")
+    usable = own.where("doc_id IS NOT NULL AND n > 0")
+    # min(sig) is any signature of the set: they are equal
+    sets = usable.groupBy("fp1", "fp2", "n").agg(F.min(common.ID).alias("first"), F.count_distinct(common.ID).alias("copies"), F.min("sig").alias("sig"))
+    sets = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "distinct-sets")
+    groups = candidate_groups(sets, recall, similarity)
+    found = materialise(links(docs.where("doc_id IS NOT NULL"), sets, groups, similarity, k), "links")
+    total = found.groupBy("id").agg(F.sum("links").alias("links"))
+    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    members = classes.join(sets.select(F.col("id").alias("node"), "first"), "node")
+    heads = members.groupBy("component").agg(F.min(F.struct("first", "node")).alias("head"))
+    classes = classes.join(heads, "component").select("node", "head")
+    known = sets.select("fp1", "fp2", "n", "id", "first", "copies").join(total, "id", "left").join(classes, F.col("id") == F.col("node"), "left")
+    known = known.select(
+        "fp1", "fp2", "n", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"),
+        F.coalesce("head.first", "first").alias("class_first"), (F.coalesce("head.node", "id") == F.col("id")).alias("stands"),
+    )
+    return own.select(common.ID, "digest", "n", "fp1", "fp2").join(known, ["fp1", "fp2", "n"], "left")
+
+
 def ngram_join(
     df: DataFrame, similarity: float = 0.8, k: int = 5, recall: float = 0.999, id_col: str = common.ID, text_col: str = common.TEXT
 ) -> DataFrame:
@@ -292,37 +344,32 @@ def ngram_join(
     document is linked to, ``copies`` the documents that share its own set
     (itself included).  A null or wordless text links to nothing and is its own
     class; a row without id has class null, 0 links and 0 copies; repeated rows
-    give a row each and count as one document; an empty table gives none.
+    give a row each and count as one document; rows of one id with different
+    texts are documents of their own; an empty table gives none; other columns
+    of ``df`` are ignored.
     """
-    docs = common.texts(df, id_col, text_col)
-    docs = docs.select(F.col(common.ID).cast("long").alias(common.ID), common.TEXT)
-    own = materialise(common.per_task(docs, _describer(k), f"{common.ID} long, n long, fp1 long, fp2 long, sig array<int>"), "sets")
-    usable = own.where("doc_id IS NOT NULL AND n > 0")
-    # min(sig) is any signature of the set: they are equal
-    sets = materialise(usable.groupBy("fp1", "fp2", "n").agg(F.min(common.ID).alias("id"), F.count_distinct(common.ID).alias("copies"), F.min("sig").alias("sig")), "distinct-sets")
-    groups = candidate_groups(sets, recall, similarity)
-    found = materialise(links(docs.where("doc_id IS NOT NULL"), sets, groups, similarity, k), "links")
-    total = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    known = sets.select("fp1", "fp2", "n", "id", "copies").join(total, "id", "left").join(classes, F.col("id") == F.col("node"), "left")
-    known = known.select("fp1", "fp2", "n", F.coalesce("component", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), "copies")
-    rows = own.select(common.ID, "n", "fp1", "fp2").join(known, ["fp1", "fp2", "n"], "left")
+    rows = _classified(df, similarity, k, recall, id_col, text_col)
     has_id = F.col(common.ID).isNotNull()
     return rows.select(
         common.ID,
-        F.when(has_id, F.coalesce("class_id", common.ID)).alias("class_id"),
+        F.when(has_id, F.coalesce("class_first", common.ID)).alias("class_id"),
         F.when(has_id, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("links"),
         F.when(has_id, F.coalesce("copies", F.lit(1))).otherwise(0).cast("long").alias("copies"),
     )
 
 
-def one_of_each(df: DataFrame, **options) -> DataFrame:
-    """The rows of ``df``, all columns, whose document is the smallest of its
-    class (of repeated rows one stays; rows without id stay).  ``options`` as
-    for :func:`ngram_join`."""
-    id_col, text_col = options.get("id_col", common.ID), options.get("text_col", common.TEXT)
-    first = ngram_join(df, **options).where("doc_id = class_id").select(F.col(common.ID).alias("_first")).distinct()
-    kept = df.join(first, F.col(id_col).cast("long") == F.col("_first"), "left_semi")
-    order = Window.partitionBy(F.col(id_col).cast("long")).orderBy(text_col)
-    kept = kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
-    return kept.unionByName(df.where(F.col(id_col).isNull()))
+def one_of_each(df: DataFrame, similarity: float = 0.8, k: int = 5, recall: float = 0.999, id_col: str = common.ID, text_col: str = common.TEXT) -> DataFrame:
+    """The rows of ``df``, all columns, whose document is the first of its
+    class: the smallest id, and of one id's texts in a class one.  Of repeated
+    rows one stays; rows without id stay; a wordless text is its own class.
+    Rows of one id with texts of different classes stay for each.  Columns may
+    have any names."""
+    rows = _classified(df, similarity, k, recall, id_col, text_col).where("doc_id IS NOT NULL")
+    alone = rows.where("n = 0").select(common.ID, "digest")
+    heads = rows.where(F.col("stands") & (F.col(common.ID) == F.col("first"))).groupBy(common.ID, "fp1", "fp2", "n").agg(F.min("digest").alias("digest"))
+    name = "_" * (1 + max(len(c) for c in df.columns))
+    first = alone.unionAll(heads.select(common.ID, "digest")).distinct().toDF(f"{name}id", f"{name}digest")
+    keyed = df.withColumns({f"{name}i": F.col(f"`{id_col}`").cast("long"), f"{name}d": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
+    kept = keyed.join(first, (F.col(f"{name}i") == F.col(f"{name}id")) & (F.col(f"{name}d") == F.col(f"{name}digest")), "left_semi")
+    kept = kept.dropDuplicates([f"{name}i", f"{name}d"]).drop(f"{name}i", f"{name}d")
+    return kept.unionByName(df.where(F.col(f"`{id_col}`").isNull()))

@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 from incidentflow.llm import ngram_join, substring_dedup
@@ -82,6 +83,40 @@ def test_components_of_a_path_and_a_star(spark):
 
 def test_runs_reach_the_recall():
     assert ngram_join.runs_for(0.999, 0.8) >= 14
+    assert abs(ngram_join.survival(0.8, 1) - (1 - (0.75 * 0.2 + 0.25 * 0.04))) < 1e-12
+    for s in (0.5, 0.6, 0.7, 0.9):
+        assert (1 - ngram_join.survival(s, ngram_join.DEPTH)) ** ngram_join.runs_for(0.999, s) <= 0.001
+
+
+def test_recall_at_the_threshold(spark, monkeypatch):
+    """10,000 sets, half of them a pair at the threshold: small buckets are
+    split through all levels, and 0.9 of the pairs at least are found."""
+    monkeypatch.setattr(ngram_join, "SMALL", 16)
+    pick, rows, pairs = random.Random(6), [], set()
+    for i in range(2500):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(94)]
+        # 90 shingles; one replaced word spoils five, the two texts share 85 or 80 of 95 or 100
+        other = list(words)
+        for at in (20, 60)[: 1 + i % 2]:
+            other[at] = f"w{pick.randrange(10**6)}"
+        rows += [(2 * i, " ".join(words), 0), (2 * i + 1, " ".join(other), 0)]
+        pairs.add((2 * i, 2 * i + 1))
+    rows += [(10_000 + i, " ".join(f"w{pick.randrange(10**6)}" for _ in range(60)), 0) for i in range(5000)]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, SCHEMA)).where("class_id <> doc_id").collect()
+    found = {(r.class_id, r.doc_id) for r in got}
+    assert found <= pairs  # nothing else is linked
+    assert len(found) >= 0.99 * len(pairs)
+
+
+def test_one_id_with_other_texts_and_columns_of_any_name(spark):
+    near = edited(prose(40, 120), 100, 1)
+    rows = [(5, prose(40, 120)), (5, prose(41, 120)), (5, prose(41, 120)), (3, near), (9, prose(41, 120)), (7, None), (7, ""), (7, "!"), (None, prose(41, 120))]
+    df = spark.createDataFrame([(i, t, k, "x", k, 1.0) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _row int, _first string, id int, `a.b` double")
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted(str((r.doc_id, r.text or "")) for r in kept.collect())  # an empty text and none are one document
+    # 5 has two texts: one is a near copy of 3's, the other comes first of its class
+    assert got == sorted(map(str, [(3, near), (5, prose(41, 120)), (7, ""), (7, "!"), (None, prose(41, 120))]))
 
 
 PASSAGE = " ".join(f"Sentence number {i} of a passage says this and that again." for i in range(7))
