@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from incidentflow.llm import common
 from incidentflow.llm.common import Words, mix
 from incidentflow.llm.components import components
-from incidentflow.session import materialise
+from incidentflow.session import materialise, releasing
 
 SIGNATURE = 64
 _RANDOM = np.random.default_rng(77_003)
@@ -312,24 +312,27 @@ def _classified(df: DataFrame, similarity: float, k: int, recall: float, id_col:
     lends its number to none of them."""
     docs = common.texts(df, id_col, text_col)
     docs = docs.select(F.col(common.ID).cast("long").alias(common.ID), common.TEXT, F.xxhash64(common.TEXT).alias("digest"))
-    own = materialise(common.per_task(docs, _describer(k), f"{common.ID} long, digest long, n long, fp1 long, fp2 long, sig array<int>"), "sets")
-    usable = own.where("doc_id IS NOT NULL AND n > 0")
-    # min(sig) is any signature of the set: they are equal
-    sets = usable.groupBy("fp1", "fp2", "n").agg(F.min(common.ID).alias("first"), F.count_distinct(common.ID).alias("copies"), F.min("sig").alias("sig"))
-    sets = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "distinct-sets")
-    groups = candidate_groups(sets, recall, similarity)
-    found = materialise(links(docs.where("doc_id IS NOT NULL"), sets, groups, similarity, k), "links")
-    total = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    members = classes.join(sets.select(F.col("id").alias("node"), "first"), "node")
-    heads = members.groupBy("component").agg(F.min(F.struct("first", "node")).alias("head"))
-    classes = classes.join(heads, "component").select("node", "head")
-    known = sets.select("fp1", "fp2", "n", "id", "first", "copies").join(total, "id", "left").join(classes, F.col("id") == F.col("node"), "left")
-    known = known.select(
-        "fp1", "fp2", "n", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"),
-        F.coalesce("head.first", "first").alias("class_first"), (F.coalesce("head.node", "id") == F.col("id")).alias("stands"),
-    )
-    return own.select(common.ID, "digest", "n", "fp1", "fp2").join(known, ["fp1", "fp2", "n"], "left")
+    # sets, buckets and edges go once every row has its class
+    with releasing(df.sparkSession) as scratch:
+        own = materialise(common.per_task(docs, _describer(k), f"{common.ID} long, digest long, n long, fp1 long, fp2 long, sig array<int>"), "sets")
+        usable = own.where("doc_id IS NOT NULL AND n > 0")
+        # min(sig) is any signature of the set: they are equal
+        sets = usable.groupBy("fp1", "fp2", "n").agg(F.min(common.ID).alias("first"), F.count_distinct(common.ID).alias("copies"), F.min("sig").alias("sig"))
+        sets = materialise(sets.withColumn("id", F.monotonically_increasing_id()), "distinct-sets")
+        groups = candidate_groups(sets, recall, similarity)
+        found = materialise(links(docs.where("doc_id IS NOT NULL"), sets, groups, similarity, k), "links")
+        total = found.groupBy("id").agg(F.sum("links").alias("links"))
+        classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        members = classes.join(sets.select(F.col("id").alias("node"), "first"), "node")
+        heads = members.groupBy("component").agg(F.min(F.struct("first", "node")).alias("head"))
+        classes = classes.join(heads, "component").select("node", "head")
+        known = sets.select("fp1", "fp2", "n", "id", "first", "copies").join(total, "id", "left").join(classes, F.col("id") == F.col("node"), "left")
+        known = known.select(
+            "fp1", "fp2", "n", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"),
+            F.coalesce("head.first", "first").alias("class_first"), (F.coalesce("head.node", "id") == F.col("id")).alias("stands"),
+        )
+        rows = own.select(common.ID, "digest", "n", "fp1", "fp2").join(known, ["fp1", "fp2", "n"], "left")
+        return scratch.keep(materialise(rows, "classified"))
 
 
 def ngram_join(

@@ -37,6 +37,35 @@ GRAM = 16
 PLACE = "cast(doc AS decimal(20,0)) * cast(2147483648 AS decimal(10,0)) + cast(pos AS decimal(10,0))"
 
 
+def _name(df: DataFrame) -> str:
+    """A name that none of the frame's columns has or begins with."""
+    return "_" * (1 + max(len(c) for c in df.columns))
+
+
+def _own(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, digest, text`` of the rows that take part."""
+    own = df.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(F.col(f"`{text_col}`")).alias("digest"), F.col(f"`{text_col}`").alias(common.TEXT))
+    return own.where("doc IS NOT NULL AND text IS NOT NULL")
+
+
+def _marked(df: DataFrame, marks: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
+    """``columns`` of every row, then its positions, named by their numbers
+    (a task takes no column with a dot in its name)."""
+    name = _name(df)
+    keyed = df.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{id_col}`").cast("long").alias(f"{name}doc"), F.xxhash64(F.col(f"`{text_col}`")).alias(f"{name}digest"))
+    marks = marks.toDF(f"{name}d", f"{name}g", f"{name}positions")
+    same = (F.col(f"{name}doc") == F.col(f"{name}d")) & (F.col(f"{name}digest") == F.col(f"{name}g"))
+    found = keyed.join(marks, same, "left").select(*[F.col(f"`{c}`") for c in columns], f"{name}positions")
+    return found.toDF(*[f"c{i}" for i in range(len(columns) + 1)])
+
+
+def _rewritten(marked: DataFrame, cut, columns: list[str], more: str = "") -> DataFrame:
+    """The rows that ``cut`` makes of :func:`_marked` ones, under their names."""
+    kinds = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(marked.schema.fields[:-1])]
+    added = [m.split()[0] for m in more.split(", ") if m]
+    return common.per_task(marked, cut, ", ".join([*kinds, *([more] if more else [])])).toDF(*columns, *added)
+
+
 def _spans(run: int):
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches, common.TEXT, 1 << 22):
@@ -84,27 +113,26 @@ def dedup_spans(df: DataFrame, run: int = 2, min_words: int = 25, id_col: str =
     ``n_sentences`` and ``n_removed`` (they replace columns of that name).
 
     The id must be an integer.  Rows with a null id or text take no part and
-    stay as they are (0 sentences for a null text).  Rows of one id count as
+    stay as they are (0 sentences for a null text).  Other columns may have any
+    names.  Rows of one id count as
     one document: where a run occurs again in a repeated row, at the same
     place, nothing is cut.  An empty text has no sentence.  Shuffled are 128
     bits, id and position of each run (partial counts first, so that a run with
     a million copies is no hot key), and the documents once, by id.
     """
-    own = df.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias(common.TEXT))
-    own = own.where("doc IS NOT NULL AND text IS NOT NULL")
+    own = _own(df, id_col, text_col)
     spans = common.per_task(own, _spans(run), "h1 long, h2 long, doc long, digest long, pos int").withColumn("place", F.expr(PLACE))
     repeated = spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1").drop("n")
     # written once, so that both sides of the join are plain shuffles, of which Spark splits a hot run's part
     repeated = materialise(repeated, "repeated-runs")
     later = spans.join(repeated, ["h1", "h2"]).where("place <> first")
-    marks = later.groupBy("doc", "digest").agg(F.collect_set("pos").alias("_positions"))
+    marks = later.groupBy("doc", "digest").agg(F.collect_set("pos").alias("positions"))
     rest = [c for c in df.columns if c not in ("n_sentences", "n_removed")]
-    keyed = df.select(*rest, F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_digest"))
-    marked = keyed.join(marks, (F.col("_doc") == F.col("doc")) & (F.col("_digest") == F.col("digest")), "left").select(*rest, "_positions")
+    marked = _marked(df, marks, id_col, text_col, rest)
     at = rest.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches, text_col, 1 << 22):
+        for part in common.slices(batches, f"c{at}", 1 << 22):
             done = [
                 (None, 0, 0) if t is None else _cut(t, p or [], run, min_words)
                 for t, p in zip(part.column(at).to_pylist(), part.column(len(rest)).to_pylist())
@@ -112,10 +140,10 @@ def dedup_spans(df: DataFrame, run: int = 2, min_words: int = 25, id_col: str =
             columns = [part.column(i) for i in range(len(rest))]
             columns[at] = pa.array([d[0] for d in done], part.column(at).type)
             columns += [pa.array([d[k] for d in done], pa.int64()) for k in (1, 2)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*rest, "n_sentences", "n_removed"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_sentences", "n_removed"])
 
-    schema = df.select(*rest).schema.add("n_sentences", "long").add("n_removed", "long")
-    return common.per_task(marked, cut, schema)
+    names = [f"c{i}" for i in range(len(rest))]
+    return _rewritten(marked, cut, rest, "n_sentences long, n_removed long")
 
 
 # ------------------------------------------------------------------ passages
@@ -226,9 +254,9 @@ def cut_passages(df: DataFrame, words: int = 51, id_col: str = common.ID, text_c
     (some one in 18 words), the same for windows around repeated picks, and the
     documents by id, once for these windows and once for the cut.  Rows with a
     null id or text stay as they are; rows of one id take nothing from each other.
+    Columns may have any names; an empty table gives none.
     """
-    own = df.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias(common.TEXT))
-    own = own.where("doc IS NOT NULL AND text IS NOT NULL")
+    own = _own(df, id_col, text_col)
     picks = common.per_task(own, _fingerprints(words), "h long, doc long, digest long, pos int")
     again = materialise(picks.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-picks")
     seeds = picks.join(again, "h").groupBy("doc", "digest").agg(F.collect_set("pos").alias("seeds"))
@@ -237,18 +265,17 @@ def cut_passages(df: DataFrame, words: int = 51, id_col: str = common.ID, text_c
     repeated = windows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where("n > 1").drop("n")
     repeated = materialise(repeated, "repeated-passages")
     later = windows.join(repeated, ["h1", "h2"]).where((F.col("doc") > F.col("first")) | (F.col("pos") - F.col("own") >= words))
-    marks = later.groupBy("doc", "digest").agg(F.collect_set("pos").alias("_positions"))
-    keyed = df.select("*", F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_digest"))
-    marked = keyed.join(marks, (F.col("_doc") == F.col("doc")) & (F.col("_digest") == F.col("digest")), "left").select(*df.columns, "_positions")
+    marks = later.groupBy("doc", "digest").agg(F.collect_set("pos").alias("positions"))
+    marked = _marked(df, marks, id_col, text_col, df.columns)
     at = df.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches, text_col, 1 << 22):
+        for part in common.slices(batches, f"c{at}", 1 << 22):
             columns = [part.column(i) for i in range(len(part.columns) - 1)]
             places = part.column(len(columns)).to_pylist()
             if any(places):
                 columns[at] = pa.array([_without(t, p, words) if p else t for t, p in zip(columns[at].to_pylist(), places)], columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=df_columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    df_columns = list(df.columns)
-    return common.per_task(marked, cut, df.schema)
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return _rewritten(marked, cut, df.columns)

@@ -146,6 +146,18 @@ def test_rows_without_id_stay_and_repeated_rows_agree(spark):
     assert substring_dedup.dedup_spans(df.limit(0)).count() == 0
 
 
+def test_columns_of_any_name(spark):
+    text = "doc string, digest string, _doc string, _positions string, pos int, `a.b` double"
+    rows = [(1, PASSAGE), (2, "Mine. " + PASSAGE), (3, "Other. Words.")]
+    df = spark.createDataFrame([(t, i, "d", "g", "x", "p", k, 0.5) for k, (i, t) in enumerate(rows)], f"`t.t` string, id long, {text}")
+    out = substring_dedup.dedup_spans(df, id_col="id", text_col="t.t")
+    assert out.columns == [*df.columns, "n_sentences", "n_removed"]
+    assert {r.id: r["t.t"].strip() for r in out.collect()} == {1: PASSAGE, 2: "Mine.", 3: "Other. Words."}
+    cut = substring_dedup.cut_passages(df, id_col="id", text_col="t.t")
+    assert cut.columns == df.columns and {r.id: r["a.b"] for r in cut.collect()} == {1: 0.5, 2: 0.5, 3: 0.5}
+    assert {r.id: r["t.t"].strip() for r in cut.collect()} == {1: PASSAGE, 2: "Mine.", 3: "Other. Words."}
+
+
 def brute_passages(rows, k=51):
     """Texts as words, without those in a window that occurs before."""
     first, out = {}, []
