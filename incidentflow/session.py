@@ -167,6 +167,10 @@ class Scratch:
         """Removes all but the first table written and the last."""
         self._remove(self.paths[1:-1])
 
+    def drop_older(self) -> None:
+        """Removes all but the last table written."""
+        self._remove(self.paths[:-1])
+
     def keep(self, df: DataFrame) -> DataFrame:
         """The last table written stays until :func:`release`."""
         self.kept.append(self.paths.pop())
