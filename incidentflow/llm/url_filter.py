@@ -27,6 +27,8 @@ SUFFIXES = {
     "path_start": "split_part(_path, '/', 2)",
     "path_end": r"regexp_extract(_path, '\\.([^./]{1,8})$', 1)",
 }
+#: Parts into which hosts are dealt for the training rows' rates.
+FOLDS = 5
 FEATURES = [
     "url_len", "host_len", "path_len", "query_len", "depth", "host_labels", "digit_ratio", "entropy", "params", "hyphens", "escapes",
     "has_fragment", "has_www", "mean_segment", *[f"rate_{s}" for s in SUFFIXES],
@@ -91,11 +93,27 @@ def lexical(df: DataFrame) -> DataFrame:
     return df.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in made.items()} | {f"key_{s}": F.expr(e) for s, e in SUFFIXES.items()})
 
 
-def with_rates(df: DataFrame, rates: dict[str, DataFrame], prior: float) -> DataFrame:
-    """Adds each suffix's block rate; unseen suffixes have the prior.  The
-    tables grow with the labelled URLs: Spark chooses how to join them."""
-    for s, table in rates.items():
-        df = df.join(table, f"key_{s}", "left").withColumn(f"rate_{s}", F.coalesce(f"rate_{s}", F.lit(prior)))
+def suffix_sums(labelled: DataFrame, suffix: str, fold: bool) -> DataFrame:
+    """Blocked and all labelled URLs of each suffix (and fold)."""
+    by = [F.expr(SUFFIXES[suffix]).alias(f"key_{suffix}"), *([F.col("fold")] if fold else [])]
+    name = "own" if fold else "all"
+    return labelled.groupBy(*by).agg(F.sum("label").alias(f"{name}_blocked"), F.count("*").alias(f"{name}_n"))
+
+
+def with_rates(df: DataFrame, sums: dict[str, DataFrame], prior: float, smooth: float, own: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Adds each suffix's smoothed block rate; unseen suffixes have the prior.
+    With ``own`` (the sums by suffix and fold; rows need a ``fold``) a row's
+    rate leaves out all URLs of its fold, whole hosts with its own among them,
+    so that it does not repeat the row's label.  The tables grow with the
+    labelled URLs: Spark chooses how to join them."""
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    for s, table in sums.items():
+        df = df.join(table, f"key_{s}", "left")
+        blocked, n, drop = zero("all_blocked"), zero("all_n"), ["all_blocked", "all_n"]
+        if own is not None:
+            df = df.join(own[s], [f"key_{s}", "fold"], "left")
+            blocked, n, drop = blocked - zero("own_blocked"), n - zero("own_n"), [*drop, "own_blocked", "own_n"]
+        df = df.withColumn(f"rate_{s}", (blocked + smooth * prior) / (n + smooth)).drop(*drop)
     return df
 
 
@@ -106,8 +124,10 @@ def judge(
 
     ``rules`` are (``host/path``, verdict) pairs, written by hand: they become
     part of the plan.  At most about ``most_rows`` labelled URLs, chosen by a
-    hash of the URL, train the trees (a URL that repeats counts once); the
-    suffixes' block rates are those of all labelled URLs.
+    hash of the URL, train the trees (a URL that repeats counts once).  The
+    suffixes' block rates are those of all labelled URLs; for a training row
+    those of other hosts' (hosts are dealt to ``FOLDS`` folds by a hash, and a
+    row's own fold is left out), as they are for a URL of a new host.
     ``block_score`` is the trees' probability of ``block``, null where a rule
     decides.  Without labelled URLs of both verdicts, what no rule decides gets
     the one verdict that there is, or ``allow``.  A null URL, or one without
@@ -116,7 +136,7 @@ def judge(
     """
     rows = df.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host_of(F.col(url_col)).alias("_host"), path_of(F.col(url_col)).alias("_path"))
     rows = rows.withColumn("_rule", longest_rule(rules, F.col("_host"), F.col("_path")))
-    labelled = rows.where("_rule IS NOT NULL").select("_url", "_host", "_path", (F.col("_rule.verdict") == BLOCK).cast("double").alias("label")).distinct()
+    labelled = rows.where("_rule IS NOT NULL").select("_url", "_host", "_path", F.pmod(F.xxhash64("_host"), F.lit(FOLDS)).alias("fold"), (F.col("_rule.verdict") == BLOCK).cast("double").alias("label")).distinct()
     labelled = materialise(labelled, "urls")
     n, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     result = [F.col("_id").alias(id_col), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule")]
@@ -126,14 +146,12 @@ def judge(
     share = min(1.0, most_rows / n)
     sample = materialise(lexical(labelled.where(F.pmod(F.xxhash64("_url"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))), "url-sample")
     prior = blocked / n
-    rates = {
-        s: materialise(labelled.groupBy(F.expr(e).alias(f"key_{s}")).agg(((F.sum("label") + smooth * prior) / (F.count("*") + smooth)).alias(f"rate_{s}")), "url-rates")
-        for s, e in SUFFIXES.items()
-    }
+    sums = {x: materialise(suffix_sums(labelled, x, False), "url-suffixes") for x in SUFFIXES}
+    own = {x: materialise(suffix_sums(labelled, x, True), "url-fold-suffixes") for x in SUFFIXES}
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     trees_of = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, featuresCol="features", labelCol="label")
-    model = trees_of.fit(assemble.transform(with_rates(sample, rates, prior)).select("features", "label"))
-    judged = model.transform(assemble.transform(with_rates(lexical(rows), rates, prior)))
+    model = trees_of.fit(assemble.transform(with_rates(sample, sums, prior, smooth, own)).select("features", "label"))
+    judged = model.transform(assemble.transform(with_rates(lexical(rows), sums, prior, smooth)))
     score = vector_to_array("probability")[1]
     return judged.select(
         *result,
