@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentflow.llm import common
+from incidentflow.operators.ordered import row_numbers
 
 ROLES = ("system", "user", "assistant")
 START = len(ROLES)  # the state before a conversation
@@ -137,17 +138,21 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str | None = "role", text_col: str = "text") -> DataFrame:
     """The turns with the keys of their conversation and piece; rows that
-    repeat count once, a row without conversation is one of its own."""
+    repeat count once, a row without conversation is one of its own.  Pieces
+    are cut by the rows' numbers in the order of turn (null first), text and
+    role, so turns without number, or of one number, make no larger piece."""
     role = F.lower(F.trim(F.col(role_col))) if role_col else F.lit(None).cast("string")
     rows = df.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), role.alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
     alone = F.concat(F.lit("row:"), F.xxhash64("turn", "role", "text").cast("string"))
     rows = rows.withColumn("key", F.when(F.col("conv_id").isNull(), alone).otherwise(F.concat(F.lit("id:"), F.col("conv_id").cast("string"))))
-    rows = rows.withColumn("piece", F.coalesce(F.floor(F.col("turn") / PIECE), F.lit(-(2**40))).cast("long"))
+    order = [F.col(c).asc_nulls_first() for c in ("turn", "text", "role")]
+    rows = row_numbers(rows, ["key"], order, "number")
+    rows = rows.withColumn("piece", F.floor((F.col("number") - 1) / PIECE).cast("long")).drop("number")
     return rows.withColumn("group", F.xxhash64("key", "piece"))
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.repartition("group").sortWithinPartitions("group", "key", "piece", "turn", "text")
+    return rows.repartition("group").sortWithinPartitions("group", "key", "piece", "turn", "text", "role")
 
 
 def fit(rows: DataFrame, usable: Column | None = None) -> Model:
