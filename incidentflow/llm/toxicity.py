@@ -103,11 +103,14 @@ def _kind(says: tuple[str, ...]) -> int:
     return KINDS.index(("threat" if threat and (target or not insult) else "insult", "target" if target else "none", soft))
 
 
-KINDS = list(product(("insult", "threat"), ("target", "none"), ("direct", "negated", "reported")))
+#: How a clause means what it says.
+SOFT = ("direct", "negated", "reported")
+KINDS = list(product(("insult", "threat"), ("target", "none"), SOFT))
 KIND_OF = np.array([_kind(s) for s in SAYS])
-N_FEATURES = len(KINDS) + 2
-#: Weights before any fit: kinds, largest insult weight, summed insult weight, constant.
-DEFAULT = np.array([{"direct": 2.0, "negated": 0.5, "reported": 0.7}[k[2]] * (0.3 if k[0] == "threat" and k[1] == "none" else 1.0) for k in KINDS] + [0.5, 0.1, -2.5])
+N_FEATURES = len(KINDS) + 2 * len(SOFT)
+#: Weights before any fit: kinds, then the largest and the summed word weight of
+#: direct, negated and reported clauses, constant.
+DEFAULT = np.array([{"direct": 2.0, "negated": 0.5, "reported": 0.7}[k[2]] * (0.3 if k[0] == "threat" and k[1] == "none" else 1.0) for k in KINDS] + [0.5, 0.1, 0.1, 0.0, 0.15, 0.0, -2.5])
 
 
 class Lexicon:
@@ -145,8 +148,9 @@ class Lexicon:
         return kind, weight
 
     def features(self, words: Words) -> np.ndarray:
-        """For each text: log counts of matched clauses by kind, and the
-        largest and the summed (log) weight of insults and threats in them."""
+        """For each text: log counts of matched clauses by kind, and for direct,
+        negated and reported clauses each the largest and the summed (log)
+        weight of the insults and threats in them."""
         out = np.zeros((words.n_docs, N_FEATURES))
         kind, weight = self.read(words)
         hot = np.flatnonzero((kind == INSULT) | (kind == THREAT))
@@ -157,15 +161,19 @@ class Lexicon:
         new[1:] = (breaks[words.start[1:]] > breaks[words.end[:-1]]) | (words.doc[1:] != words.doc[:-1])
         clause = np.cumsum(new) - 1
         first = np.append(np.flatnonzero(new), len(kind))
+        verdict = np.zeros(len(first), dtype=np.int64)
         for c in np.unique(clause[hot]).tolist():
             state = 0
             for k in kind[first[c] : first[c + 1]].tolist():
                 state = GRAMMAR[state, k]
-            out[words.doc[first[c]], KIND_OF[state]] += 1
-        np.maximum.at(out[:, len(KINDS)], words.doc[hot], weight[hot])
-        np.add.at(out[:, len(KINDS) + 1], words.doc[hot], weight[hot])
+            verdict[c] = KIND_OF[state]
+            out[words.doc[first[c]], verdict[c]] += 1
+        # a word weighs in as its clause means it (the last part of the kind)
+        column = len(KINDS) + 2 * (verdict[clause[hot]] % len(SOFT))
+        np.maximum.at(out, (words.doc[hot], column), weight[hot])
+        np.add.at(out, (words.doc[hot], column + 1), weight[hot])
         out[:, : len(KINDS)] = np.log1p(out[:, : len(KINDS)])
-        out[:, -1] = np.log1p(out[:, -1])
+        out[:, len(KINDS) + 1 :: 2] = np.log1p(out[:, len(KINDS) + 1 :: 2])
         return out
 
 
@@ -221,7 +229,7 @@ def surprise(bad: np.ndarray, total: np.ndarray, prior: float) -> np.ndarray:
     return np.where(p > prior, total * kl, 0.0)
 
 
-def learn_terms(rows: DataFrame, n_bad: int, n_rows: int, precision: float, most_terms: int) -> list[tuple[int, int, float]]:
+def learn_terms(rows: DataFrame, n_bad: int, n_rows: int, precision: float) -> list[tuple[int, int, float]]:
     """Words and stems that go with the label beyond chance: the chance bound
     is divided by the number of candidates, and at least ``precision`` of
     their documents have the label."""
@@ -239,7 +247,7 @@ def learn_terms(rows: DataFrame, n_bad: int, n_rows: int, precision: float, most
     bad, total = np.array([r.bad for r in found]), np.array([r.total for r in found])
     sure = surprise(bad, total, prior) > np.log(len(candidates) / 0.05)
     weight = np.log((bad + 0.5) / (total - bad + 0.5)) - np.log(prior / (1 - prior))
-    order = [i for i in np.lexsort((-weight, -bad)).tolist() if sure[i]][:most_terms]
+    order = [i for i in np.lexsort((-weight, -bad)).tolist() if sure[i]]
     return [(found[i].n, int(np.int64(found[i].term).view(np.uint64)), float(weight[i])) for i in order]
 
 
@@ -258,14 +266,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray, ridge: float = 1.
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, usable: Column | None = None, most_rows: int = 40_000, precision: float = 0.9, most_terms: int = 20_000,
+    docs: DataFrame, labels: DataFrame, usable: Column | None = None, most_rows: int = 40_000, precision: float = 0.9,
     id_col: str = common.ID, text_col: str = common.TEXT, label_col: str = "toxic",
 ) -> Model:
     """Lexicon and weights from labelled rows.
 
     ``usable`` is a condition on ``doc_id`` for the labels that may be used
     (default: all).  At most about ``most_rows`` labelled documents, chosen by
-    a hash of the id, are used; ``most_terms`` bounds the lexicon.  Null ids,
+    a hash of the id, are used, which bounds the lexicon.  Null ids,
     texts and labels are left out; of several labels of a document the largest
     holds; repeated texts count once.  Without rows of both labels the fixed
     lists and default weights hold.
@@ -285,7 +293,7 @@ def fit(
     n_rows, n_bad = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < n_bad < n_rows:
         return Model(Lexicon(), DEFAULT)
-    lexicon = Lexicon(learn_terms(rows, n_bad, n_rows, precision, most_terms))
+    lexicon = Lexicon(learn_terms(rows, n_bad, n_rows, precision))
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +323,9 @@ def score(df: DataFrame, model: Model, id_col: str = common.ID, text_col: str =
 
 
 def drop_toxic(df: DataFrame, model: Model, threshold: float = 0.5, text_col: str = common.TEXT) -> DataFrame:
-    """The rows of ``df``, all columns, that score below ``threshold``."""
+    """The rows of ``df``, all columns, that score below ``threshold``.  A null
+    text is the empty one; repeated rows and null ids stay or go each by their
+    text; an empty table stays empty."""
     shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

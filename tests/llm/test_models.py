@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,37 @@ def test_grammar_names_clauses():
     assert kind(I, N, I) == ("insult", "none", "direct")
 
 
+def _by_hand(text):
+    """Matched clauses and word weights by kind, clause by clause."""
+    words_in = {w: c for c, ws in toxicity.LISTS.items() for w in ws.split()}
+    counts, heavy, summed = Counter(), Counter(), Counter()
+    for clause in re.split(r"[.!?;:\n]+", lower(text)):
+        kinds = [words_in.get(w, 0) for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", clause)]
+        hot = [k for k in kinds if k in (toxicity.INSULT, toxicity.THREAT)]
+        if not hot:
+            continue
+        state = 0
+        for k in kinds:
+            state = toxicity.GRAMMAR[state, k]
+        kind = toxicity.KINDS[toxicity.KIND_OF[state]]
+        counts[kind] += 1
+        heavy[kind[2]] = max(heavy[kind[2]], 2.0)
+        summed[kind[2]] += 2.0 * len(hot)
+    out = [math.log1p(counts[k]) for k in toxicity.KINDS]
+    for soft in toxicity.SOFT:
+        out += [heavy[soft], math.log1p(summed[soft])]
+    return out
+
+
+def test_every_weight_goes_through_its_clause():
+    texts = ["You are an idiot.", "You are not an idiot.", "He said you are an idiot.", "A fine day.", "You idiot! you are not stupid, he said you are stupid", "", "idiot " * 5]
+    got = toxicity.Lexicon().features(toxicity.Words(pa.array(texts)))
+    for t, x in zip(texts, got):
+        assert x.tolist() == pytest.approx(_by_hand(t)), t
+    score, _ = toxicity.Model(toxicity.Lexicon(), toxicity.DEFAULT).score(toxicity.Words(pa.array(texts)))
+    assert score[0] > score[2] > score[3] and score[0] > score[1] > score[3]
+
+
 def test_learned_words_and_stems_are_found(spark):
     docs, labels = [], []
     for i in range(300):
@@ -120,25 +152,56 @@ def test_entropy(spark):
     assert got == pytest.approx([0, 0, 1, 2])
 
 
-def test_trees_learn_held_out_rule_urls(spark):
-    """URLs that a rule decides, held out of the rules that the trees see."""
-    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    known = url_filter.judge(pages, [("example.com/en/", "block"), ("net/es/", "block"), ("net/fr/", "block"), ("com/", "allow"), ("org/", "allow")])
-    # the same without the rule for half of the blocked hosts' pages
-    part = url_filter.judge(pages.where("page_id % 3 > 0"), [("net/es/", "block"), ("example.com/", "allow"), ("example.org/", "allow")])
-    both = known.select("page_id", F.col("verdict").alias("truth")).join(part.where("rule IS NULL AND path LIKE '/es/%'"), "page_id")
-    assert both.count() == 0 or both.where("truth = verdict").count() / both.count() > 0.5
+def _trees(monkeypatch):
+    """Keeps the fitted trees of the next call."""
+    kept, real = [], url_filter.GBTClassifier.fit
+    monkeypatch.setattr(url_filter.GBTClassifier, "fit", lambda self, df: kept.append(real(self, df)) or kept[-1])
+    return kept
+
+
+def test_trees_judge_urls_of_a_rule_they_never_saw(spark, monkeypatch):
+    """Blocked URLs look alike on every host (deep, many digits and
+    parameters) and share no path; one host has no rule and its URLs are judged."""
+    pick, rows = np.random.default_rng(4), []
+    for i in range(3000):
+        bad = i % 3 == 0
+        name = "".join(pick.choice(list("bcdefgh"), 8))
+        path = f"/a{pick.integers(10**9)}/{pick.integers(10**9)}?a={i}&b={pick.integers(99)}&c=1" if bad else f"/{name}/page-{name[:4]}"
+        rows.append((i, f"http://h{i % 6}.com{path}"))
+    rules = [(f"h{k}.com/a", "block") for k in range(5)] + [(f"h{k}.com/", "allow") for k in range(5)]
+    kept = _trees(monkeypatch)
+    out = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule IS NULL").collect()
+    assert len(out) == 500
+    right = sum((r.verdict == "block") == (r.page_id % 3 == 0) for r in out)
+    assert right >= 0.95 * len(out)
+    weight = dict(zip(url_filter.FEATURES, kept[0].featureImportances.toArray()))
+    assert sum(w for f, w in weight.items() if not f.startswith("rate_")) > 0.2
+
+
+def test_rates_cover_labelled_urls_outside_the_sample_and_leave_out_the_own_fold(spark, monkeypatch):
+    rows = [(i, f"http://s{i // 4}.com/{'bad' if i % 4 < i // 4 % 4 else 'ok'}/{i}") for i in range(400)]
+    seen, real = [], url_filter.with_rates
 
+    def with_rates(df, *more):
+        seen.append(real(df, *more))
+        return seen[-1]
 
-def test_rates_cover_labelled_urls_outside_the_sample(spark, monkeypatch):
-    rows = [(i, f"http://s{i // 4}.com/{'bad' if i % 4 < i // 4 % 4 else 'ok'}/{i}") for i in range(400)]
-    seen, own = {}, url_filter.with_rates
-    monkeypatch.setattr(url_filter, "with_rates", lambda df, rates, prior: seen.update(rates) or own(df, rates, prior))
+    monkeypatch.setattr(url_filter, "with_rates", with_rates)
     rules = [("com/bad", "block"), ("com/", "allow")]
     assert url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, most_rows=40, trees=2).count() == 400
-    prior = sum("bad" in u for _, u in rows) / 400
-    expected = {f"s{k}.com": pytest.approx((k % 4 + 10 * prior) / 14) for k in range(100)}
-    assert {r.key_host_2: r.rate_host_2 for r in seen["host_2"].collect()} == expected
+    bad = lambda u: "/bad/" in u
+    prior = sum(bad(u) for _, u in rows) / 400
+    train, judged = seen
+    for r in judged.select("_url", "rate_host_2").collect():
+        k = int(re.search(r"s(\d+)", r._url)[1])
+        assert r.rate_host_2 == pytest.approx((k % 4 + 10 * prior) / 14)
+    sampled = train.select("_url", "rate_host_2").collect()
+    assert 10 < len(sampled) < 100
+    assert [r.rate_host_2 for r in sampled] == pytest.approx([prior] * len(sampled))  # a host's own URLs are all there is of it
+    fold = {r.u: r.f for r in judged.select(F.col("_url").alias("u"), F.pmod(F.xxhash64("_host"), F.lit(url_filter.FOLDS)).alias("f")).collect()}
+    for r in train.select("_url", "rate_host_1").collect():
+        others = [bad(u) for _, u in rows if fold[u] != fold[r._url]]
+        assert r.rate_host_1 == pytest.approx((sum(others) + 10 * prior) / (len(others) + 10))
 
 
 # --------------------------------------------------------------- transcripts
@@ -158,6 +221,44 @@ def test_pieces_decode_as_one_sequence(spark, monkeypatch):
     assert whole == sorted((r.conv_id, r.turn, r.role) for r in transcripts.parse(transcripts.turns(df), model).collect())
 
 
+def test_turns_without_numbers_are_dealt_into_pieces(spark, monkeypatch):
+    """A conversation whose turns have no number, or all the same, is cut by rows."""
+    monkeypatch.setattr(transcripts, "PIECE", 50)
+    rows = [(1, None, None, f"Human: {i:04d}" if i % 2 else f"{i:04d} Sure, here it is.") for i in range(400)]
+    rows += [(2, 7, None, f"{i:04d} {prose(i, 6)}") for i in range(300)] + [(3, i, None, prose(i, 5)) for i in range(120)]
+    parsed = transcripts.turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    sizes = parsed.groupBy("key", "piece").count().collect()
+    assert max(r["count"] for r in sizes) == 50 and len(sizes) == 8 + 6 + 3
+
+
+def test_roles_equal_viterbi_over_whole_conversations(spark, monkeypatch):
+    monkeypatch.setattr(transcripts, "PIECE", 16)
+    pick = np.random.default_rng(8)
+    rows = []
+    for c in range(6):
+        for t in range(int(pick.integers(1, 90))):
+            mark = ["User: ", "Assistant: ", "", "", "", "System: "][pick.integers(6)]
+            rows.append((c, t, ["user", "assistant", None][pick.integers(3)], mark + prose(c * 1000 + t, int(pick.integers(1, 40))) + ["?", ".", ""][pick.integers(3)]))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parsed = transcripts.turns(df)
+    model = transcripts.fit(parsed)
+    got = {(r.conv_id, r.turn): r.role for r in transcripts.parse(parsed, model).collect()}
+    for c in range(6):
+        texts = [t for i, _, _, t in rows if i == c]
+        emit = []
+        for i, t in enumerate(texts):
+            emit.append([sum(table[role, v] for table, v in zip(model.emits, transcripts.features(t, i == 0))) for role in range(len(transcripts.ROLES))])
+
+        def total(path):
+            return sum(e[r] for e, r in zip(emit, path)) + sum(model.moves[a, b] for a, b in zip([transcripts.START, *path], path))
+
+        best = [(model.moves[transcripts.START, r] + emit[0][r], [r]) for r in range(len(transcripts.ROLES))]
+        for e in emit[1:]:
+            best = [max(((s + model.moves[p[-1], r] + e[r], [*p, r]) for s, p in best), key=lambda x: x[0]) for r in range(len(transcripts.ROLES))]
+        found = [transcripts.ROLES.index(got[c, t]) for t in range(len(texts))]
+        assert total(found) == pytest.approx(max(s for s, _ in best))  # as good as the best path (ties may differ)
+
+
 def test_markers_and_odd_rows(spark):
     rows = [(1, 0, None, "Human: hi"), (1, 1, None, "**Assistant:** hello"), (1, 1, None, "**Assistant:** hello"), (1, 2, None, None), (None, 0, "user", "x"), (None, None, None, ""), (2, None, "bot?", "[User]: q?")]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
