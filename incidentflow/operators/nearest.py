@@ -251,13 +251,15 @@ def build_index(stations: DataFrame, groups: list[str], per_tile: int = PER_TILE
     shares = [k / MOST_SLABS for k in range(1, MOST_SLABS)]
     ext = st.agg(
         F.count("*").alias("n"),
-        F.approx_count_distinct(F.struct(*groups)).alias("g") if groups else F.lit(1).alias("g"),
         *[f(c).alias(f"{f.__name__}{c}") for f in (F.min, F.max) for c in ("_lat", "_lon")],
         F.percentile_approx("_lon", shares, 10_000).alias("q"),
     ).first()
     if not ext.n:
         return None
-    each = ext.n / max(ext.g, 1)
+    largest, n_groups = ext.n, 1
+    if groups:
+        largest, n_groups = st.groupBy(*groups).count().agg(F.max("count"), F.count("*")).first()
+    each = ext.n / n_groups
     side = max(1, min(MOST_SLABS, ceil(sqrt(each / per_tile))))
     pick = lambda q: [q[k * MOST_SLABS // side - 1] for k in range(1, side)]
     slabs = pick(ext.q)
@@ -277,7 +279,7 @@ def build_index(stations: DataFrame, groups: list[str], per_tile: int = PER_TILE
     boxes, spark = np.array(cells.regions()), st.sparkSession
     ship_package(spark)
     # a station of each tile stands for it; large groups are dealt out in shares, each with all of them
-    shares = F.lit(ceil(each / SHARE_ROWS))
+    shares = F.lit(ceil(largest / SHARE_ROWS))
     tile = cells.region(F.col("_lat"), F.col("_lon"))["region"]
     every = st.withColumns({"_share": F.pmod(F.xxhash64("_lat", "_lon"), shares).cast("int"), "_first": F.lit(1)})
     of_tile = st.groupBy(*groups, tile.alias("_tile")).agg(F.min(F.struct("_lat", "_lon", "_code")).alias("_s")).select(*groups, "_s.*")

@@ -8,6 +8,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from incidentflow.functions.labels import severity_label
 from incidentflow.functions.mapping import MOTIVE_GROUPS, VEHICLE_GROUPS, apply_groupings
 from incidentflow.ml import features as FE
 from incidentflow.ml import metrics as ME
@@ -129,7 +130,7 @@ def _two_models(spark, d):
     return rows.select(F.lit("first").alias("model"), "*").unionByName(other.select(F.lit("second").alias("model"), "*"))
 
 
-def _mm(body: str) -> str:
+def _mm(body: str, more: dict[str, str] | None = None) -> str:
     both = (
         "SELECT 'first' AS model, split, row_key, label, score FROM scored UNION ALL "
         "SELECT 'second', split, row_key, label, (row_key * 104729 % 1000) / CAST(1000 AS DOUBLE) FROM scored"
@@ -140,7 +141,7 @@ def _mm(body: str) -> str:
         sql = O.SCORED[name].replace("s.split", "s.model, s.split").replace("PARTITION BY split", "PARTITION BY model, split")
         sql = sql.replace("GROUP BY split", "GROUP BY model, split").replace("SELECT split", "SELECT model, split")
         by_model[f"m_{name}"] = re.sub(r"FROM (scored|sweep_raw|sweep|sc)\b", r"FROM m_\1", sql)
-    return O.with_ctes(body, catalog._MODEL, catalog._MET, by_model)
+    return O.with_ctes(body, catalog._MODEL, catalog._MET, by_model, more or {})
 
 
 @register(
@@ -155,6 +156,40 @@ def metric_summary_by_model(spark, d):
     return ME.metric_summary(_two_models(spark, d), "split", "val", model="model")
 
 
+@register(
+    "reports_at_chosen_threshold",
+    _mm(
+        O.report_sql().replace("SELECT split,", "SELECT model, split,").replace("FROM cm", "FROM m_cm"),
+        {
+            "m_at": "SELECT s.model, s.split, s.label, s.score >= b.threshold AS pos FROM m_scored s "
+            "JOIN m_ranked b ON b.model = s.model AND b.split = 'val' AND b.rank = 1",
+            "m_cm": "SELECT model, split, COUNT(*) FILTER (WHERE label = 0 AND NOT pos) AS tn, COUNT(*) FILTER (WHERE label = 0 AND pos) AS fp, "
+            "COUNT(*) FILTER (WHERE label = 1 AND NOT pos) AS fn, COUNT(*) FILTER (WHERE label = 1 AND pos) AS tp FROM m_at GROUP BY model, split",
+        },
+    ),
+)
+def reports_at_chosen_threshold(spark, d):
+    """Classification report of every model and split at the threshold that is
+    best for the model on the validation rows."""
+    scored = materialise(_two_models(spark, d), "two-models")
+    chosen = ME.chosen_thresholds(scored, "split", "val", "model")
+    decided = ME.at_chosen_threshold(scored, chosen, "model").withColumn("margin", F.col("score") - F.col("threshold"))
+    return ME.classification_report(decided, ["model", "split"], 0.0, score="margin")
+
+
+@register(
+    "risk_by_place_and_hour",
+    catalog._m(
+        "SELECT nom_barri, hora_dia, COUNT(accident_greu) AS volumen, ROUND(AVG(CAST(accident_greu AS DOUBLE)), 9) AS tasa_graves "
+        "FROM a_lab WHERE nom_barri IS NOT NULL AND hora_dia IS NOT NULL GROUP BY nom_barri, hora_dia HAVING COUNT(accident_greu) > 20"
+    ),
+)
+def risk_by_place_and_hour(spark, d):
+    """Risk by neighbourhood and hour, where there are more than 20 accidents."""
+    acc = standins.accidents(spark, d).withColumn("accident_greu", severity_label())
+    return FE.risk_by(acc, ["nom_barri", "hora_dia"]).withColumn("tasa_graves", F.round("tasa_graves", 9))
+
+
 # ----------------------------------------------------------------- models
 @register("score_checks", catalog._m("SELECT split, COUNT(*) AS n_rows, COUNT(*) AS n_probabilities, COUNT(*) AS n_same_when_loaded FROM u_split GROUP BY split"))
 def score_checks(spark, d):
