@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import tempfile
@@ -196,6 +197,9 @@ def releasing(spark: SparkSession) -> Iterator[Scratch]:
         scratch._remove(list(scratch.paths))
         if outer is not None:
             outer.paths += scratch.kept
+        # Spark removes the shuffle files of frames that both sides have let go
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 @atexit.register
